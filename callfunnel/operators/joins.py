@@ -1,0 +1,25 @@
+"""Joins against dimension-sized sides, broadcast only behind a row-count check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def within_rows(df: DataFrame, max_rows: int) -> bool:
+    """True if `df` has at most `max_rows` rows. Reads at most max_rows + 1 rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def sized(df: DataFrame, max_rows: int) -> DataFrame:
+    """`df` with a broadcast hint if its row count is proven <= max_rows.
+
+    Otherwise the plain DataFrame is returned and the planner (with AQE's
+    runtime size checks) picks a shuffle join.
+    """
+    return F.broadcast(df) if within_rows(df, max_rows) else df
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
+                   max_rows: int = 2_000_000) -> DataFrame:
+    return fact.join(sized(dim, max_rows), on, how)
