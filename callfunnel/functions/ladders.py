@@ -283,3 +283,34 @@ def _cond_sql(cond, x: str) -> str:
 def ladder_sql(ladder: Ladder, x: str) -> str:
     whens = " ".join(f"WHEN {_cond_sql(c, x)} THEN {sql_str(label)}" for c, label in ladder.rungs)
     return f"CASE {whens} ELSE {sql_str(ladder.otherwise)} END"
+
+
+# ---------------------------------------------------------------- integer-coded labels
+def label_codes(ladder: Ladder) -> tuple:
+    """All labels of a ladder in byte order; a label's code is its position.
+
+    MAX over codes picks the same label as MAX over the label strings (byte-wise
+    comparison), but aggregates in a fixed-width hash buffer instead of forcing a
+    sort-based aggregate.
+    """
+    labels = {label for _, label in ladder.rungs} | {ladder.otherwise}
+    return tuple(sorted(labels, key=lambda s: s.encode("utf-8")))
+
+
+def ladder_code_column(ladder: Ladder, text, lowered=None) -> Column:
+    """Like `ladder_column`, but yields the label's integer code."""
+    codes = {label: i for i, label in enumerate(label_codes(ladder))}
+    raw = F.col(text) if isinstance(text, str) else text
+    low = F.lower(raw) if lowered is None else (F.col(lowered) if isinstance(lowered, str) else lowered)
+    out = None
+    for cond, label in ladder.rungs:
+        c = _cond_col(cond, raw, low)
+        out = F.when(c, F.lit(codes[label])) if out is None else out.when(c, F.lit(codes[label]))
+    return out.otherwise(F.lit(codes[ladder.otherwise]))
+
+
+def decode_label(ladder: Ladder, code) -> Column:
+    """Integer code -> label (NULL stays NULL)."""
+    c = F.col(code) if isinstance(code, str) else code
+    # guard NULL explicitly: element_at with a NULL index must not be relied on
+    return F.when(c.isNotNull(), F.element_at(F.array(*[F.lit(x) for x in label_codes(ladder)]), c + 1))

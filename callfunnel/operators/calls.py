@@ -82,16 +82,16 @@ def call_base(appointments: DataFrame, call_types: DataFrame, providers: DataFra
         L.call_type_column("type_name", "location_id", cfg.online_locations).alias("ctype"))
 
 
-def encounter_rollups(t, cfg: FunnelConfig) -> dict[str, DataFrame]:
-    """The seven per-encounter rollups over a `Tables` bundle."""
+def encounter_rollups(t, cfg: FunnelConfig, coded: bool = True) -> dict[str, DataFrame]:
+    """The seven per-encounter rollups over a `Tables` bundle (labels as codes by default)."""
     paid = R.paid_items(t.invoices, t.invoice_items, cfg)
     return {
         "drug": R.drug_rollup(t.drug_orders_src, t.drug_inventory, t.invoices, t.invoice_items, cfg, paid=paid),
         "lab": R.lab_rollup(t.lab_orders_src, t.invoices, t.invoice_items, cfg, paid=paid),
         "ther": R.therapy_rollup(t.therapy_orders_src, cfg),
         "inv": R.invoice_flags(t.invoices, t.invoice_items, cfg),
-        "reasons": R.reason_pivot(t.form_answers, cfg),
-        "optout": R.optout_pivot(t.preferences, cfg),
+        "reasons": R.reason_pivot(t.form_answers, cfg, coded=coded),
+        "optout": R.optout_pivot(t.preferences, cfg, coded=coded),
         "dss": R.recommendation_flags(t.encounter_tags, cfg),
     }
 
@@ -106,9 +106,10 @@ def encounter_flags(encounters: DataFrame, rollups: dict[str, DataFrame], cfg: F
                                *[F.col(c).alias("l_" + c) for c in ("has_rec", "has_ess", "rec_paid", "ess_paid")])
     th = rollups["ther"].select(ENC, F.lit(1).alias("t_present"), F.col("consumed").alias("t_consumed"),
                                 *[F.col(c).alias("t_" + c) for c in ("has_rec", "has_ess", "rec_paid", "ess_paid")])
+    marked = {k: rollups[k].withColumn(f"{k}_present", F.lit(1)) for k in ("inv", "reasons", "optout", "dss")}
     j = (e.join(d, ENC, "left").join(lb, ENC, "left").join(th, ENC, "left")
-         .join(rollups["inv"], ENC, "left").join(rollups["reasons"], ENC, "left")
-         .join(rollups["optout"], ENC, "left").join(rollups["dss"], ENC, "left"))
+         .join(marked["inv"], ENC, "left").join(marked["reasons"], ENC, "left")
+         .join(marked["optout"], ENC, "left").join(marked["dss"], ENC, "left"))
     return j.withColumn("ther_conv_e", F.greatest(F.coalesce(F.col("t_consumed"), F.lit(0)),
                                                   F.coalesce(F.col("ther_paid"), F.lit(0))))
 
@@ -127,13 +128,13 @@ def call_rollup(base: DataFrame, per_call: DataFrame) -> DataFrame:
     j = base.join(per_call, base.appt_id == per_call.appointment_id, "left")
     cols = [F.col(k) for k in CALL_KEYS]
     cols += [F.coalesce(F.col(out), F.lit(default)).alias(out) for out, _, _, default in INT_FLAGS]
-    cols += [F.col(c) for c in TEXT_COLS]
+    cols += [L.decode_label(R.LABEL_LADDERS[c], c).alias(c) for c in TEXT_COLS]
     return j.select(*cols)
 
 
 def build_calls(t, cfg: FunnelConfig, rollups: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Full call table (without diagnosis) from a `Tables` bundle."""
-    rollups = rollups or encounter_rollups(t, cfg)
+    """Full call table (without diagnosis) from a `Tables` bundle (rollups with coded labels)."""
+    rollups = rollups or encounter_rollups(t, cfg, coded=True)
     base = call_base(t.appointments, t.call_types, t.providers, cfg)
     return call_rollup(base, flags_per_call(encounter_flags(t.encounters, rollups, cfg)))
 

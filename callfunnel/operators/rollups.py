@@ -137,22 +137,38 @@ def invoice_flags(invoices: DataFrame, items: DataFrame, cfg: FunnelConfig) -> D
 
 
 # ---------------------------------------------------------------- form answers
-def reason_pivot(form_answers: DataFrame, cfg: FunnelConfig) -> DataFrame:
-    """Six reason labels per encounter: MAX(label) over the answers of each question."""
+# reason column -> (question filter, ladder)
+REASON_COLUMNS = {
+    "meds_norx": ((L.TITLE_MEDS_SKIP,), L.MEDS_SKIP),
+    "meds_norx_fb": (L.TITLES_NO_RX_NEEDED, L.NO_RX_NEEDED),
+    "meds_noreq": ((L.TITLE_MEDS_NOT_REQUIRED,), L.MEDS_NOT_REQUIRED),
+    "elig_reason": ((L.TITLE_ELIGIBILITY,), L.ELIGIBILITY),
+    "tests_norx": ((L.TITLE_TESTS,), L.TESTS),
+    "ther_norx": (L.TITLES_THERAPY, L.THERAPY),
+}
+OPTOUT_COLUMNS = {"opt_drug": "drug", "opt_lab": "lab_test", "opt_ther": "consultation", "opt_enc": "encounter"}
+# every text column of the call row and the ladder its labels come from
+LABEL_LADDERS = {**{c: lad for c, (_, lad) in REASON_COLUMNS.items()}, **{c: L.OPTOUT for c in OPTOUT_COLUMNS}}
+
+
+def decode_labels(df: DataFrame, cols) -> DataFrame:
+    """Replace integer label codes by their label strings."""
+    return df.select(*[L.decode_label(LABEL_LADDERS[c], c).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
+def reason_pivot(form_answers: DataFrame, cfg: FunnelConfig, coded: bool = False) -> DataFrame:
+    """Six reason labels per encounter: MAX(label) over the answers of each question.
+
+    Aggregated as integer codes (hash aggregate); `coded=False` decodes at the end.
+    """
     fa = (since(live(form_answers), cfg.sub_start).filter(F.col("title").isin(*L.REASON_TITLES))
           .select(ENC, "title", "value", F.lower(F.col("value")).alias("_lv")))
     t = F.col("title")
-
-    def pick(cond: Column, ladder: L.Ladder) -> Column:
-        return F.max(F.when(cond, L.ladder_column(ladder, "value", "_lv")))
-
-    return fa.groupBy(ENC).agg(
-        pick(t == L.TITLE_MEDS_SKIP, L.MEDS_SKIP).alias("meds_norx"),
-        pick(t.isin(*L.TITLES_NO_RX_NEEDED), L.NO_RX_NEEDED).alias("meds_norx_fb"),
-        pick(t == L.TITLE_MEDS_NOT_REQUIRED, L.MEDS_NOT_REQUIRED).alias("meds_noreq"),
-        pick(t == L.TITLE_ELIGIBILITY, L.ELIGIBILITY).alias("elig_reason"),
-        pick(t == L.TITLE_TESTS, L.TESTS).alias("tests_norx"),
-        pick(t.isin(*L.TITLES_THERAPY), L.THERAPY).alias("ther_norx"))
+    aggs = [F.max(F.when(t.isin(*titles), L.ladder_code_column(lad, "value", "_lv"))).alias(col)
+            for col, (titles, lad) in REASON_COLUMNS.items()]
+    out = fa.groupBy(ENC).agg(*aggs)
+    return out if coded else decode_labels(out, REASON_COLUMNS)
 
 
 def recommendation_flags(tags: DataFrame, cfg: FunnelConfig) -> DataFrame:
@@ -167,17 +183,14 @@ def recommendation_flags(tags: DataFrame, cfg: FunnelConfig) -> DataFrame:
                                kind("consultation").alias("dss_ther"))
 
 
-def optout_pivot(preferences: DataFrame, cfg: FunnelConfig) -> DataFrame:
+def optout_pivot(preferences: DataFrame, cfg: FunnelConfig, coded: bool = False) -> DataFrame:
     """Per encounter: bucketed opt-out reason per preference type (MAX label)."""
     p = (since(live(preferences), cfg.sub_start).filter(F.col("opt_out") == 1)
-         .select(ENC, "preference_type", L.ladder_column(L.OPTOUT, "opt_out_reason").alias("_bucket")))
+         .select(ENC, "preference_type", L.ladder_code_column(L.OPTOUT, "opt_out_reason").alias("_bucket")))
     pt = F.col("preference_type")
-
-    def of(kind: str) -> Column:
-        return F.max(F.when(pt == kind, F.col("_bucket")))
-
-    return p.groupBy(ENC).agg(of("drug").alias("opt_drug"), of("lab_test").alias("opt_lab"),
-                              of("consultation").alias("opt_ther"), of("encounter").alias("opt_enc"))
+    out = p.groupBy(ENC).agg(*[F.max(F.when(pt == kind, F.col("_bucket"))).alias(col)
+                               for col, kind in OPTOUT_COLUMNS.items()])
+    return out if coded else decode_labels(out, OPTOUT_COLUMNS)
 
 
 # ---------------------------------------------------------------- latest per key
