@@ -202,6 +202,43 @@ ALL_LADDERS = {lad.name: lad for lad in
                (OPTOUT, DIAGNOSIS, MEDS_SKIP, NO_RX_NEEDED, MEDS_NOT_REQUIRED, ELIGIBILITY, TESTS, THERAPY)}
 
 
+# ---------------------------------------------------------------- Spark SQL text
+# Large CASE ladders are handed to Catalyst as one `F.expr` string: one JVM round
+# trip instead of one per `when`/`contains`/`lit`, and the same expression tree.
+def spark_str(s: str) -> str:
+    """A Spark SQL string literal (backslash escapes)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _cond_spark(cond, raw: str, low: str) -> str:
+    if isinstance(cond, Has):
+        return "(" + " OR ".join(f"{low} LIKE {spark_str('%' + n + '%')}" for n in cond.needles) + ")"
+    if isinstance(cond, Trimmed):
+        return f"lower(trim({raw})) IN (" + ", ".join(spark_str(v) for v in cond.values) + ")"
+    if isinstance(cond, TrimmedPrefix):
+        return "(" + " OR ".join(f"lower(trim({raw})) LIKE {spark_str(p + '%')}" for p in cond.prefixes) + ")"
+    if isinstance(cond, ShortTrimmed):
+        return f"length(trim({raw})) <= {cond.n}"
+    if isinstance(cond, IsNull):
+        return f"{raw} IS NULL"
+    if isinstance(cond, AnyOf):
+        return "(" + " OR ".join(_cond_spark(p, raw, low) for p in cond.parts) + ")"
+    if isinstance(cond, AllOf):
+        return "(" + " AND ".join(_cond_spark(p, raw, low) for p in cond.parts) + ")"
+    raise TypeError(f"unknown rule condition {cond!r}")
+
+
+def _ladder_expr(ladder: Ladder, text: str, lowered: str | None, label_sql) -> Column:
+    raw = _ident(text)
+    low = _ident(lowered) if lowered else f"lower({raw})"
+    whens = " ".join(f"WHEN {_cond_spark(c, raw, low)} THEN {label_sql(label)}" for c, label in ladder.rungs)
+    return F.expr(f"CASE {whens} ELSE {label_sql(ladder.otherwise)} END")
+
+
 # ---------------------------------------------------------------- Spark side
 def _cond_col(cond, raw: Column, low: Column) -> Column:
     if isinstance(cond, Has):
@@ -300,6 +337,8 @@ def label_codes(ladder: Ladder) -> tuple:
 def ladder_code_column(ladder: Ladder, text, lowered=None) -> Column:
     """Like `ladder_column`, but yields the label's integer code."""
     codes = {label: i for i, label in enumerate(label_codes(ladder))}
+    if isinstance(text, str) and (lowered is None or isinstance(lowered, str)):
+        return _ladder_expr(ladder, text, lowered, lambda label: str(codes[label]))
     raw = F.col(text) if isinstance(text, str) else text
     low = F.lower(raw) if lowered is None else (F.col(lowered) if isinstance(lowered, str) else lowered)
     out = None
@@ -313,4 +352,5 @@ def decode_label(ladder: Ladder, code) -> Column:
     """Integer code -> label (NULL stays NULL)."""
     c = F.col(code) if isinstance(code, str) else code
     # guard NULL explicitly: element_at with a NULL index must not be relied on
-    return F.when(c.isNotNull(), F.element_at(F.array(*[F.lit(x) for x in label_codes(ladder)]), c + 1))
+    arr = F.expr("array(" + ", ".join(spark_str(x) for x in label_codes(ladder)) + ")")
+    return F.when(c.isNotNull(), F.element_at(arr, c + 1))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from callfunnel.functions.ladders import spark_str
 from callfunnel.sources.fixture_text import CALL_TYPES, PHRASES, TITLES
 from callfunnel.sources.tables import Tables
 
@@ -22,10 +23,13 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _pick(options, idx: Column) -> Column:
-    """options[idx] for a 0-based integer column (NULL entries allowed)."""
-    arr = F.array(*[F.lit(o).cast("string") for o in options])
-    return F.element_at(arr, (idx + 1).cast("int"))
+def _array_sql(options) -> str:
+    return "array(" + ", ".join("CAST(NULL AS STRING)" if o is None else spark_str(o) for o in options) + ")"
+
+
+def _pick(options, idx_sql: str) -> Column:
+    """options[idx] for a 0-based integer SQL expression (NULL entries allowed)."""
+    return F.expr(f"element_at({_array_sql(options)}, CAST(({idx_sql}) + 1 AS INT))")
 
 
 def _null_ts() -> Column:
@@ -130,14 +134,13 @@ def adapter_tables(spark: SparkSession, sf_dir: str) -> Tables:
         F.when(li.l_returnflag == "N", _consultation_id(li)).otherwise(li.l_partkey).alias("type_id"),
         _null_ts().alias("deleted_at"))
 
-    title_no = li.l_partkey % len(TITLES)
+    title_no = f"l_partkey % {len(TITLES)}"
     title = _pick([t for t, _ in TITLES], title_no)
-    phrase_ix = li.l_partkey * 7 + li.l_suppkey
-    value = None
-    for i, (_, fam) in enumerate(TITLES):
-        opts = PHRASES[fam]
-        v = _pick(opts, phrase_ix % len(opts))
-        value = F.when(title_no == i, v) if value is None else value.when(title_no == i, v)
+    arms = " ".join(
+        f"WHEN {i} THEN element_at({_array_sql(PHRASES[fam])}, "
+        f"CAST(((l_partkey * 7 + l_suppkey) % {len(PHRASES[fam])}) + 1 AS INT))"
+        for i, (_, fam) in enumerate(TITLES))
+    value = F.expr(f"CASE {title_no} {arms} END")
     form_answers = li.select(
         _enc(li).alias("encounter_id"), title.alias("title"), value.alias("value"),
         li.l_shipdate.alias("created_at"), F.when(li.l_quantity < 1.5, li.l_shipdate).alias("deleted_at"))
@@ -154,7 +157,7 @@ def adapter_tables(spark: SparkSession, sf_dir: str) -> Tables:
          .when(events.event_type == "click", "consultation").when(events.event_type == "signup", "encounter")
          .alias("preference_type"),
         F.when(events.event_id % 7 == 0, 0).otherwise(1).alias("opt_out"),
-        _pick(optout_opts, events.user_id % len(optout_opts)).alias("opt_out_reason"),
+        _pick(optout_opts, f"user_id % {len(optout_opts)}").alias("opt_out_reason"),
         events.ts.alias("created_at"), _null_ts().alias("deleted_at"))
 
     return Tables(appointments=appointments, call_types=call_types, providers=providers, encounters=encounters,
