@@ -214,9 +214,26 @@ def _ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _needle_spark(n: str, low: str) -> str:
+    """Substring test; `a%b` = an `a` with a `b` somewhere after it.
+
+    The two-part form is written as two linear `locate` scans (first `a`, then
+    `b` after it) instead of a backtracking LIKE regex over long texts; taking
+    the first `a` leaves the most room for `b`, so the test is exact.
+    """
+    parts = n.split("%")
+    if len(parts) == 1:
+        return f"{low} LIKE {spark_str('%' + n + '%')}"
+    if len(parts) == 2 and all(parts):
+        a, b = parts
+        first = f"locate({spark_str(a)}, {low})"
+        return f"({first} > 0 AND locate({spark_str(b)}, {low}, {first} + {len(a)}) > 0)"
+    return f"{low} LIKE {spark_str('%' + n + '%')}"
+
+
 def _cond_spark(cond, raw: str, low: str) -> str:
     if isinstance(cond, Has):
-        return "(" + " OR ".join(f"{low} LIKE {spark_str('%' + n + '%')}" for n in cond.needles) + ")"
+        return "(" + " OR ".join(_needle_spark(n, low) for n in cond.needles) + ")"
     if isinstance(cond, Trimmed):
         return f"lower(trim({raw})) IN (" + ", ".join(spark_str(v) for v in cond.values) + ")"
     if isinstance(cond, TrimmedPrefix):

@@ -108,7 +108,9 @@ def q(fn: Callable[[Ctx], DataFrame]) -> Callable[[SparkSession, str], DataFrame
 # ---------------------------------------------------------------- generic: ladders on documents
 def _ladder_on_documents(ladder: L.Ladder):
     def f(c: Ctx) -> DataFrame:
-        return c.driver("documents").select("doc_id", L.ladder_column(ladder, "text").alias("label"))
+        # lower(text) is projected once and shared by every rung of the ladder
+        d = c.driver("documents").select("doc_id", "text", F.lower(F.col("text")).alias("_lv"))
+        return d.select("doc_id", L.ladder_column(ladder, "text", "_lv").alias("label"))
     f.__name__ = f"ladder_{ladder.name}"
     return f
 

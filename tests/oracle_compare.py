@@ -82,8 +82,8 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict:
                 print(f"{name:28s} {results[name]} spark {ts:.1f}s", flush=True)
             continue
         try:
-            cur = con.execute(oracle[name])
-            ot = cur.fetch_arrow_table() if hasattr(cur, "fetch_arrow_table") else cur.to_arrow_table()
+
+            ot = con.sql(oracle[name]).to_arrow_table()
         except Exception as e:  # noqa: BLE001
             results[name] = f"ORACLE ERROR {type(e).__name__}: {str(e)[:300]}"
             if verbose:
