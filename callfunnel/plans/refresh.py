@@ -63,8 +63,9 @@ def refresh(spark: SparkSession, t: Tables, cfg: FunnelConfig | None = None,
     # both grains are small (cells x reasons); keep them for the several folds below
     tabs = tabs.persist()
     funnel = funnel.persist()
-    cells = CE.grain_cells(tabs)
-    reasons = CE.grain_reason_counts(tabs)
+    # cells and reason counts feed the envelope, metrics and encodings: compute once
+    cells = CE.grain_cells(tabs).persist()
+    reasons = CE.grain_reason_counts(tabs).persist()
     return RefreshOutputs(
         calls=calls, tabs=tabs, funnel=funnel, cells=cells, reasons=reasons,
         envelope=CE.cell_envelope(cells), totals=CE.reconcile_totals(tabs),
@@ -80,7 +81,15 @@ def check_totals(out: RefreshOutputs) -> str:
 
 
 def publish(spark: SparkSession, out: RefreshOutputs, out_root: str, updated: DataFrame) -> None:
-    """Write the normalized tables and the page document under `out_root`."""
-    P.write_tables(out.tables(), f"{out_root.rstrip('/')}/tables",
+    """Write the normalized tables, then the page document built from the written tables.
+
+    The document reads back `rows`, `er` and the dimension tables instead of
+    recomputing the encodings, so each output is computed exactly once.
+    """
+    root = out_root.rstrip("/")
+    P.write_tables(out.tables(), f"{root}/tables",
                    partition_by={"grain_cells": "wk", "grain_reason_counts": "wk"})
-    P.write_document(P.document_lines(out.encoded, updated), f"{out_root.rstrip('/')}/document")
+    rd = lambda name: spark.read.parquet(f"{root}/tables/{name}")
+    written = P.Encoded(rows=rd("rows"), er=rd("er"), weeks=rd("dim_weeks"), providers=rd("dim_providers"),
+                        reasons=rd("reasons"))
+    P.write_document(P.document_lines(written, updated), f"{root}/document")
