@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analysed workload has no stream, watermark, window or state: every input is
+a full-table batch read and weekly buckets are a batch week truncation of the
+call start time (the current week is simply partial). A refresh is a batch job
+(`callfunnel.plans.refresh`), re-run on a schedule.
+"""
