@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callfunnel.llm import quality_rules
+from callfunnel.llm import bpe, quality_rules
 from callfunnel.llm.common import table
 
 
@@ -12,8 +13,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op9_quality_rules": op9_quality_rules,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE_SQL = {
