@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callfunnel.llm import bpe, quality_rules
+from callfunnel.llm import bpe, near_dup, quality_rules
 from callfunnel.llm.common import table
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -18,6 +22,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_minhash": op8_minhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
 }
