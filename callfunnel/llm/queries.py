@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callfunnel.llm import bpe, near_dup, quality_rules
+from callfunnel.llm import bpe, near_dup, quality_classifier, quality_rules
 from callfunnel.llm.common import table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
@@ -22,6 +26,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op8_minhash": op8_minhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
