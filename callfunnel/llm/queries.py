@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callfunnel.llm import bpe, near_dup, quality_classifier, quality_rules
+from callfunnel.llm import bpe, line_dedup, mixing, near_dup, quality_classifier, quality_rules
 from callfunnel.llm.common import table
 
 
@@ -13,6 +13,14 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture_report(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
@@ -27,11 +35,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_mixing": op3_mixing,
     "op8_minhash": op8_minhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
 }
 
 ORACLE_SQL = {
+    "op2_line_dedup": line_dedup.ORACLE,
+    "op3_mixing": mixing.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
 }
