@@ -50,11 +50,11 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     """
     known = stored(boilerplate(docs, host_col, text_col, max_ratio, min_pages), "boilerplate")
     known = known.select(F.col("host").alias("_host"), F.col("lines").alias("_lines"))
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda line: ~F.coalesce(
-        F.array_contains(F.col("_lines"), line_key(line)), F.lit(False))), "\n")
+    kept = F.array_join(F.filter(F.split(docs[text_col], "\n"), lambda line: ~F.coalesce(
+        F.array_contains(known["_lines"], line_key(line)), F.lit(False))), "\n")
     names = [f"`{c}`" for c in docs.columns]
-    out = docs.select(*[docs[n] for n in names]).join(known, docs[host_col].cast("string").eqNullSafe(F.col("_host")), "left")
-    return out.select(*[F.when(F.col("_lines").isNull(), docs[text_col]).otherwise(kept).alias(text_col)
+    out = docs.join(known, docs[host_col].cast("string").eqNullSafe(known["_host"]), "left")
+    return out.select(*[F.when(known["_lines"].isNull(), docs[text_col]).otherwise(kept).alias(text_col)
                         if c == text_col else docs[n] for c, n in zip(docs.columns, names)])
 
 

@@ -285,3 +285,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs` to keep: one of each class, its smallest id; columns unchanged.
+
+    Of rows that repeat the same id and text one stays, rows without an id all stay. Ids that go
+    are written first, so the planner knows their size: few are broadcast, many are joined by id.
+    """
+    verdicts = near_duplicates(docs, id_col, text_col, shingle, percent)
+    gone = stored(verdicts.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    left = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    named = left.filter(left[id_col].isNotNull())
+    twice = stored(named.groupBy(named[id_col].alias("_id")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_id"), "twice")
+    once = left.join(twice, left[id_col] == twice["_id"], "left_anti")
+    again = named.join(twice, named[id_col] == twice["_id"], "left_semi").dropDuplicates([id_col, text_col])
+    return once.unionByName(again)

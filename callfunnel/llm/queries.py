@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callfunnel.llm import bpe, line_dedup, mixing, near_dup, quality_classifier, quality_rules
+from callfunnel.llm import bpe, license_scan, line_dedup, mixing, near_dup, quality_classifier, quality_rules
 from callfunnel.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_report(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
@@ -37,6 +41,7 @@ QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_line_dedup": op2_line_dedup,
     "op3_mixing": op3_mixing,
+    "op5_license_scan": op5_license_scan,
     "op8_minhash": op8_minhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
@@ -45,5 +50,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op3_mixing": mixing.ORACLE,
+    "op5_license_scan": license_scan.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
 }
