@@ -23,13 +23,17 @@ import json
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 CHUNK = 1 << 16
-CACHED_WORDS = 200_000  # memory bound of the memo of merged pieces; it is emptied when full
-CACHED_LENGTH = 64
+CACHED_WORDS = 150_000  # memory bound of each of the two generations of the memo of merged pieces
+NEVER = 1 << 30  # rank of a pair that doesn't merge
+SHIFT = 30
+CACHED_LENGTH = 32  # symbols of the longest piece that is kept in the memo
+TOGETHER = 1 << 20  # characters whose pieces are merged together
 MAX_VOCABULARY_BYTES = 64 << 20  # what is broadcast is checked against this
 
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
@@ -43,19 +47,6 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
-def unassigned() -> regex.Pattern:
-    """Code points this Python's Unicode doesn't know; a newer library may class them otherwise."""
-    spans, start = [], None
-    for cp in range(0x110001):
-        unknown = cp < 0x110000 and unicodedata.category(chr(cp)) == "Cn"
-        if unknown and start is None:
-            start = cp
-        elif not unknown and start is not None:
-            spans.append(f"\\U{start:08x}-\\U{cp - 1:08x}")
-            start = None
-    return regex.compile("[" + "".join(spans) + "]")
-
-
 def lookahead(merges: list[tuple[str, str]], suffix: str) -> int:
     """Symbols to the right of a boundary that suffice to know whether it is final.
 
@@ -109,15 +100,20 @@ class Vocabulary:
         self.suffix: str = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
         self.merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
-        self.ranks = {pair: r for r, pair in enumerate(self.merges)}
+        #: by the pair's two ids in one number: its rank; by rank: the id that the pair becomes
+        self.ranks = {self.ids[a] << SHIFT | self.ids[b]: r for r, (a, b) in enumerate(self.merges)}
+        self.made = [self.ids[a + b] for a, b in self.merges]
+        if not all(c + end in self.ids for c in byte_symbols() for end in ("", self.suffix)):
+            raise ValueError("every byte needs a token")
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.tokens = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
         self.reach = lookahead(self.merges, self.suffix) if reach is None else reach
-        self.longest = max(len(t) for t in self.ids)
+        self.lengths = {i: len(t.removesuffix(self.suffix)) for t, i in self.ids.items()}
+        self.longest = max(self.lengths.values())
 
 
-#: A piece's number of tokens, its ids joined by a space, the text they decode to, and the ids.
-Merged = tuple[int, str, str, tuple[int, ...]]
+#: A piece's number of tokens, its ids joined by a space, and the text they decode to.
+Merged = tuple[int, str, str]
 
 
 class Encoder:
@@ -126,106 +122,181 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = v = vocabulary
         self.symbols = {b: s for b, s in enumerate(byte_symbols())}
+        self.inner = {c: v.ids[c] for c in byte_symbols()}
+        self.final = {c: v.ids[c + v.suffix] for c in byte_symbols()}
+        self.tables = np.zeros((2, 1024), np.int64)  # the same by code point
+        for c in byte_symbols():
+            self.tables[:, ord(c)] = self.inner[c], self.final[c]
+        order = sorted(v.ranks)
+        self.keys, self.key_ranks = np.array(order), np.array([v.ranks[k] for k in order])
+        self.made = np.array(v.made)
         self.piece = regex.compile(PIECE)
-        self.strange = unassigned()
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(v.special, key=len, reverse=True))) + ")") if v.special else None
-        self.window = 3 * v.reach + v.longest
+        self.window = max(3 * v.reach + v.longest, CACHED_LENGTH)
         self.words: dict[str, Merged] = {}
+        self.older: dict[str, Merged] = {}  # the generation before; what is used again moves up
         self.library = None
 
-    def merged(self, parts: list[str]) -> list[str]:
-        """`parts` after all merges, smallest rank first and leftmost among equals."""
-        ranks, n = self.v.ranks, len(parts)
-        if n < 2:
-            return parts
-        if n <= 24:
-            while True:
-                best = min(((ranks.get(p, 1 << 30), i) for i, p in enumerate(zip(parts, parts[1:]))), default=(1 << 30, 0))
-                if best[0] == 1 << 30:
-                    return parts
-                i = best[1]
-                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+    def merged(self, ids: list[int]) -> list[int]:
+        """`ids` after all merges, smallest rank first and leftmost among equals."""
+        rank, made, n = self.v.ranks.get, self.v.made, len(ids)
+        order = [rank(a << SHIFT | b, NEVER) for a, b in zip(ids, ids[1:])]
+        if n <= 48:
+            while order:
+                first = min(order)
+                if first == NEVER:
+                    break
+                i = order.index(first)
+                ids[i] = made[first]
+                del ids[i + 1], order[i]
+                if i:
+                    order[i - 1] = rank(ids[i - 1] << SHIFT | ids[i], NEVER)
+                if i < len(order):
+                    order[i] = rank(ids[i] << SHIFT | ids[i + 1], NEVER)
+            return ids
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, p) for i, p in enumerate(zip(parts, parts[1:])) if (r := ranks.get(p)) is not None]
+        heap = [(r, i) for i, r in enumerate(order) if r != NEVER]
         heapq.heapify(heap)
+        order.append(NEVER)
         while heap:
-            _, i, (a, b) = heapq.heappop(heap)
-            j = after[i]
-            if parts[i] != a or j >= n or parts[j] != b:
+            r, i = heapq.heappop(heap)
+            if order[i] != r:
                 continue
-            parts[i], parts[j] = a + b, ""
-            after[i] = after[j]
+            j = after[i]
+            ids[i], ids[j], order[j], after[i] = made[r], -1, NEVER, after[j]
             if after[i] < n:
                 before[after[i]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y < n and (r := ranks.get((parts[x], parts[y]))) is not None:
-                    heapq.heappush(heap, (r, x, (parts[x], parts[y])))
-        return [p for p in parts if p]
+                if x >= 0:
+                    order[x] = rank(ids[x] << SHIFT | ids[y], NEVER) if y < n else NEVER
+                    if order[x] != NEVER:
+                        heapq.heappush(heap, (order[x], x))
+        return [i for i in ids if i >= 0]
 
-    def stream(self, symbols: str) -> Iterator[str]:
+    def stream(self, symbols: str) -> Iterator[int]:
         """The tokens of one piece, each given out once no later symbol can change it."""
-        suffix, at = self.v.suffix, 0
+        at, lengths = 0, self.v.lengths
         while len(symbols) - at > self.window:
             end = at + self.window
             final = end - self.v.reach
-            for token in self.merged(list(symbols[at:end])):
-                if at + len(token) > final:
+            for token in self.merged([self.inner[c] for c in symbols[at:end]]):
+                if at + lengths[token] > final:
                     break
-                at += len(token)
+                at += lengths[token]
                 yield token
-        rest = list(symbols[at:])
-        rest[-1] += suffix
-        yield from self.merged(rest)
+        yield from self.merged([*map(self.inner.__getitem__, symbols[at:-1]), self.final[symbols[-1]]])
+
+    def bulk(self, words: list[str]) -> list[list[int]]:
+        """As `merged`, for many short pieces at once: one row each, one merge a row and round."""
+        n, size = len(words), np.fromiter(map(len, words), np.int64, len(words))
+        width = int(size.max()) + 1
+        ids = np.full((n, width), -1)
+        symbols = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        ids[np.arange(width) < size[:, None]] = self.tables[0][symbols]
+        ids[np.arange(n), size - 1] = self.tables[1][symbols[np.cumsum(size) - 1]]
+        rank, out, row = self.pair_ranks(ids[:, :-1], ids[:, 1:]), np.full((n, width), -1), np.arange(n)
+        at_id, at_rank = np.arange(width), np.arange(width - 1)
+        while len(row):
+            at = rank.argmin(axis=1)
+            best = rank[np.arange(len(row)), at]
+            more = best < NEVER
+            out[row[~more]] = ids[~more]
+            row, ids, rank, at, best = row[more], ids[more], rank[more], at[more], best[more]
+            every = np.arange(len(row))
+            ids[every, at] = self.made[best]
+            ids = np.take_along_axis(ids, np.minimum(at_id + (at_id > at[:, None]), width - 1), axis=1)
+            rank = np.take_along_axis(rank, np.minimum(at_rank + (at_rank >= at[:, None]), width - 2), axis=1)
+            ids[:, -1], rank[:, -1] = -1, NEVER
+            rank[every, at] = self.pair_ranks(ids[every, at], ids[every, at + 1])
+            inner = np.flatnonzero(at)
+            rank[inner, at[inner] - 1] = self.pair_ranks(ids[inner, at[inner] - 1], ids[inner, at[inner]])
+        return [r[:k] for r, k in zip(out.tolist(), (out >= 0).sum(axis=1).tolist())]
+
+    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = np.where((left < 0) | (right < 0), -1, left << SHIFT | right)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.key_ranks[at], NEVER)
+
+    def shown(self, ids: list[int]) -> Merged:
+        names = self.v.tokens
+        return len(ids), " ".join(map(str, ids)), " ".join([names[i] for i in ids])
 
     def of_symbols(self, symbols: str) -> Merged:
-        ids = tuple(self.v.ids[t] for t in self.stream(symbols) if t in self.v.ids)
-        return len(ids), " ".join(map(str, ids)), Decoder(self.v).feed(ids), ids
-
-    def of_piece(self, piece: str) -> Merged:
-        got = self.of_symbols(piece.encode().decode("latin-1").translate(self.symbols))
-        if len(piece) <= CACHED_LENGTH:
-            if len(self.words) >= CACHED_WORDS:
-                self.words.clear()
-            self.words[piece] = got
-        return got
-
-    def plain(self, text: str) -> Iterator[Merged]:
-        """Pieces of a stretch without special tokens, merged."""
+        return self.shown(list(self.stream(symbols)))
+
+    def pieces(self, text: str) -> list[str | Merged]:
+        """The pieces of a stretch without special tokens."""
         if not text.isascii():
-            if self.strange.search(text):
-                yield from self.by_library(text)
-                return
+            if any(unicodedata.category(c) == "Cn" for c in set(text)):  # a newer library may class these otherwise
+                return self.by_library(text)
             text = unicodedata.normalize("NFC", text)
         text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-        known = self.words.get
-        for piece in self.piece.findall(text):
-            yield known(piece) or self.of_piece(piece)
+        return self.piece.findall(text)
 
-    def by_library(self, text: str) -> Iterator[Merged]:
-        """As `plain`, with normalising and cutting left to the library, whose Unicode is its own."""
+    def by_library(self, text: str) -> list[str | Merged]:
+        """As `pieces`, with normalising and cutting left to the library, whose Unicode is its own."""
         if self.library is None:
             from tokenizers import Tokenizer
             self.library = Tokenizer.from_str(self.v.spec)
-        for symbols, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text)):
-            yield self.of_symbols(symbols)
+        cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [self.of_symbols(symbols) for symbols, _ in cut]
 
-    def chunks(self, text: str) -> Iterator[list[Merged]]:
-        """The text's pieces, chunk after chunk. No piece or special token crosses white space."""
+    def chunks(self, text: str) -> Iterator[tuple[int, list[str | Merged]]]:
+        """The text's pieces, chunk after chunk (with its length). No piece or special token crosses white space."""
         at = 0
         while at < len(text):
             cut = SPACE.search(text, at + CHUNK)
             end = cut.end() if cut else len(text)
-            chunk, at = text[at:end], end
+            chunk, size, at = text[at:end], end - at, end
             if self.marks is None or "<" not in chunk:
-                yield list(self.plain(chunk))
+                yield size, self.pieces(chunk)
                 continue
-            pieces: list[Merged] = []
+            found: list[str | Merged] = []
             for k, part in enumerate(self.marks.split(chunk)):
-                pieces += [(1, str(i := self.v.special[part]), part, (i,))] if k % 2 else self.plain(part)
-            yield pieces
+                found += [(1, str(self.v.special[part]), part)] if k % 2 else self.pieces(part)
+            yield size, found
+
+    def known(self, chunks: list[list[str | Merged]]) -> dict:
+        """What every piece of the chunks becomes; pieces seen before come from the memo."""
+        out = {}
+        for piece in set().union(*chunks):
+            out[piece] = piece if type(piece) is tuple else self.words.get(piece) or self.older.get(piece)
+        new = [p for p, got in out.items() if got is None]
+        short = []
+        for piece in new:
+            symbols = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.symbols)
+            if len(symbols) <= CACHED_LENGTH:
+                short.append((piece, symbols))
+            else:
+                out[piece] = self.of_symbols(symbols)
+        for at in range(0, len(short), 4096):
+            some = short[at:at + 4096]
+            for (piece, _), ids in zip(some, self.bulk([s for _, s in some])):
+                out[piece] = self.shown(ids)
+        if len(self.words) + len(short) > CACHED_WORDS:
+            self.older, self.words = self.words, {}
+        self.words.update((p, out[p]) for p, _ in short[:CACHED_WORDS])
+        return out
+
+    def run(self, texts: list[str]) -> Iterator[tuple[int, list[Merged]]]:
+        """(number of the text, merged pieces of its next chunk), some chunks being merged together."""
+        held, size = [], 0
+        for k, text in enumerate(texts):
+            for length, chunk in self.chunks(text):
+                held.append((k, chunk))
+                size += length
+                if size >= TOGETHER:
+                    yield from self.flush(held)
+                    held, size = [], 0
+        yield from self.flush(held)
+
+    def flush(self, held: list) -> Iterator[tuple[int, list[Merged]]]:
+        merged = self.known([c for _, c in held])
+        for k, chunk in held:
+            yield k, list(map(merged.__getitem__, chunk))
 
     def ids(self, text: str) -> list[int]:
-        return [i for chunk in self.chunks(text) for piece in chunk for i in piece[3]]
+        return [i for _, chunk in self.run([text]) for piece in chunk for i in map(int, piece[1].split())]
 
 
 class Decoder:
@@ -305,24 +376,22 @@ def encode_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     """
     shared = _shared(docs, tokenizer_path)
 
-    def digest(encoder: Encoder, text: str) -> tuple[int, str, str]:
-        n, ids, decoded, gap = 0, hashlib.sha256(), hashlib.sha256(), ""
-        for chunk in encoder.chunks(text):
-            chunk = [c for c in chunk if c[0]]
-            if chunk:
-                counts, x, y, _ = zip(*chunk)
-                n += sum(counts)
-                ids.update((gap + " ".join(x)).encode())
-                decoded.update((gap + " ".join(y)).encode())
-                gap = " "
-        return n, ids.hexdigest(), decoded.hexdigest()
-
     def run(batches):
         encoder = _encoder(*shared.value)
         for batch in batches:
-            got = [digest(encoder, t or "") for t in batch.column(1).to_pylist()]
-            n, x, y = zip(*got) if got else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(x, pa.string()), pa.array(y, pa.string())],
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            counts, gaps = [0] * len(texts), [""] * len(texts)
+            ids, decoded = ([hashlib.sha256() for _ in texts] for _ in range(2))
+            for k, chunk in encoder.run(texts):
+                chunk = [c for c in chunk if c[0]]
+                if chunk:
+                    n, x, y = zip(*chunk)
+                    counts[k] += sum(n)
+                    ids[k].update((gaps[k] + " ".join(x)).encode())
+                    decoded[k].update((gaps[k] + " ".join(y)).encode())
+                    gaps[k] = " "
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array([h.hexdigest() for h in ids], pa.string()),
+                                              pa.array([h.hexdigest() for h in decoded], pa.string())],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return _map(docs, id_col, text_col, run, "n_tokens long, ids_sha256 string, decoded_sha256 string")
