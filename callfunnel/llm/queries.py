@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callfunnel.llm import ann, bpe, license_scan, line_dedup, mixing, near_dup, quality_classifier, quality_rules
+from callfunnel.llm import ann, bpe, html_text, license_scan, line_dedup, mixing, near_dup, quality_classifier, quality_rules
 from callfunnel.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_report(spark, table(spark, sf_dir, "documents"))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_mixing": op3_mixing,
     "op5_license_scan": op5_license_scan,
+    "op6_main_text": op6_main_text,
     "op7_nearest": op7_nearest,
     "op8_minhash": op8_minhash,
     "op9_quality_rules": op9_quality_rules,
