@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callfunnel.llm import ann, bpe, html_text, license_scan, line_dedup, mixing, near_dup, quality_classifier, quality_rules
+from callfunnel.llm import ann, bpe, html_text, license_scan, line_dedup, mixing, near_dup, pii, quality_classifier, quality_rules
 from callfunnel.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_report(table(spark, sf_dir, "documents"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_report(spark, table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_line_dedup": op2_line_dedup,
     "op3_mixing": op3_mixing,
+    "op4_personal_data": op4_personal_data,
     "op5_license_scan": op5_license_scan,
     "op6_main_text": op6_main_text,
     "op7_nearest": op7_nearest,
