@@ -85,8 +85,10 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def license_report(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, digest, license (null if none), notices (comma-joined)."""
-    return scan(docs, known_licenses(spark)).withColumn("notices", F.array_join("notices", ","))
+    """Per document: doc_id, digest, license and notices (comma-joined), all empty where there is none."""
+    none = F.lit("")
+    return scan(docs, known_licenses(spark)).select(
+        "doc_id", F.coalesce("digest", none).alias("digest"), F.coalesce("license", none).alias("license"), F.array_join("notices", ",").alias("notices"))
 
 
 def _sql(value: str) -> str:
@@ -111,6 +113,6 @@ t AS (SELECT row_number() OVER () AS r, doc_id, {_canonical_sql("coalesce(text,
 w AS (SELECT r, doc_id, plain, {_SQUEEZE.format("plain")} AS c FROM t),
 l AS (SELECT DISTINCT r, {_SQUEEZE.format("line")} AS c FROM (SELECT r, unnest(string_split(plain, chr(10))) AS line FROM t)),
 n AS (SELECT r, string_agg(license, ',' ORDER BY license) AS notices FROM l JOIN known ON known.digest = sha256(c) GROUP BY r)
-SELECT doc_id, CASE WHEN c <> '' THEN sha256(c) END AS digest, license, coalesce(notices, '') AS notices
+SELECT doc_id, CASE WHEN c <> '' THEN sha256(c) ELSE '' END AS digest, coalesce(license, '') AS license, coalesce(notices, '') AS notices
 FROM w LEFT JOIN known ON known.digest = CASE WHEN c <> '' THEN sha256(c) END LEFT JOIN n ON n.r = w.r
 """
