@@ -1,47 +1,18 @@
 """Labelled test phrases used by the adapter views (our fixtures, not source data).
 
-Each family starts with NULL (index 0), then one phrase per ladder rung, then
-order and NULL traps. The adapter picks a phrase by index arithmetic on the
-driver tables, so every rung is exercised at every scale factor.
+`phrases`: per family NULL first (index 0), then one phrase per ladder rung, then order and NULL
+traps; the adapter picks one by index arithmetic on the driver tables. `probes`: per ladder the
+family's phrases and one text for every alternative pattern of every rung. They are in a JSON file
+because the oracle, which imports nothing from this package, reads the same inputs.
 """
 
-# (title, family) by title number 0..10
-TITLES = (
-    ("Provisional Diagnosis", "diagnosis"),
-    ("Reason for not prescribing a recommended medication", "skip"),
-    ("Why does the patient not need a prescription?", "fallback"),
-    ("What is the reason for the patient not needing a prescription?", "fallback"),
-    ("Why are medications not required for this patient?", "noreq"),
-    ("What is the reason for non-eligibility?", "elig"),
-    ("Why were no diagnostic tests recommended?", "tests"),
-    ("Why is therapy not being recommended?", "therapy"),
-    ("Why is therapy beneficial but not essential for this patient?", "therapy"),
-    ("Why doesn't the patient believe in therapy?", "therapy"),
-    ("Unrelated question", "tests"),
-)
+import json
+import os
 
-PHRASES = {
-    "diagnosis": (None, "mental health concern, mild", "Given guidance today", "Post-Exposure prophylaxis",
-                  "Erectile Dysfunction and premature ejaculation", "erectile dysfunction",
-                  "Premature Ejaculation", "General check"),
-    "skip": (None, '[{"reason":"Not clinically indicated"}]', "Already taking it", "Lifestyle changes now",
-             "Awaiting test", "Known allergy", "Cheaper option asked", "Not needed", "misc"),
-    "fallback": (None, "RM", "Completely treated", "RR today", "pt q only", "Reference given", "N/E",
-                 "Counselling done", "ok", "some long answer"),
-    "noreq": (None, "test results pending", "Counselling first", "Watchful waiting", "already taken",
-              "No symptoms", "zzz"),
-    "elig": (None, "Phimosis seen", "NSSD", "Testing done, specialist visit", "Sex Ed talk", "Proxy call",
-             "A minor", "na", "something else"),
-    "tests": (None, "Not clinically indicated", "Empirical treatment", "Will follow up", "Done last month",
-              "Cannot afford", "unsure"),
-    "therapy": (None, "not clinically indicated now", "Reassess later", "Mild case", "Out of scope",
-                "Receiving sessions", "Coping support", "Meds first", "Privacy worry", "Cannot afford",
-                "unsure"),
-    "optout": (None, "Left the clinic early", "Phlebo not available", "Will buy later - no stock",
-               "Will buy later - known pharmacy", "Will buy later - budget", "Does not believe", "Side effects",
-               "Doctor said optional", "Try medicine a while", "Recent report exists", "At a later date",
-               "Will buy later", "Doesn't really want it", "hmm"),
-}
+with open(os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixture_text.json"), encoding="utf-8") as _f:
+    _DATA = json.load(_f)
 
-CALL_TYPES = ((1, "Screening Call"), (2, "Follow Up"), (3, "Patient Queries"), (4, "Report Reading"),
-              (5, "Other"))
+TITLES: list = _DATA["titles"]            # (title, family) by title number
+PHRASES: dict = _DATA["phrases"]
+CALL_TYPES: list = [tuple(x) for x in _DATA["call_types"]]
+PROBES: dict = _DATA["probes"]

@@ -1,37 +1,38 @@
 """DuckDB oracle SQL for `__spark_entry__.oracle_sql()`.
 
-The adapter views of FIXTURES.md §2 are written here as SQL CTEs over the
-driver's pre-registered tables, followed by an independent SQL formulation of
-the funnel: the literal join order (calls LEFT JOIN encounters LEFT JOIN the
-rollups, then GROUP BY call) and the comma-joined diagnosis string. The Spark
-side uses the skew-free rewrites, so equality of results checks both.
+Nothing is imported from the package: the adapter views (FIXTURES.md §2), the
+rule ladders and every derived relation are stated here once more, in another
+formulation. Ladders are a table of patterns that texts are joined to; what is
+known about encounters and calls is one tall relation of facts (who, fact),
+unnested from lists; outcomes and measures are small tables of flag tuples
+that the calls' tuples are joined to. Only the test phrases, which are inputs,
+are read from the JSON file that the adapters read.
 """
 
 from __future__ import annotations
 
-from callfunnel.config import FunnelConfig
-from callfunnel.functions import ladders as L
-from callfunnel.operators.funnel import COMPONENTS, MEASURE_NAMES, NR_REASONS
-from callfunnel.operators.status import (GRAIN, NO_REASON, NOOPT_NO_INVOICE, NOOPT_UNPAID,
-                                         NOOPT_UNSERVICEABLE, TAB_SPEC, TABS)
-from callfunnel.sources.fixture_text import CALL_TYPES, PHRASES, TITLES
+import json
+import os
 
-S = L.sql_str
-CFG = FunnelConfig()
+with open(os.path.join(os.path.dirname(os.path.abspath(__file__)), "callfunnel", "sources", "fixture_text.json"), encoding="utf-8") as _f:
+    _FIXTURES = json.load(_f)
+TITLES, PHRASES, PROBES = _FIXTURES["titles"], _FIXTURES["phrases"], _FIXTURES["probes"]
+CALL_TYPES = _FIXTURES["call_types"]
 
-
-def _list(values) -> str:
-    return "[" + ", ".join("NULL" if v is None else S(v) for v in values) + "]"
+# run parameters that fit the driver tables
+SUB = "TIMESTAMP '1995-06-01 00:00:00'"
+APPT = "TIMESTAMP '1995-07-03 00:00:00'"
+SHIFT = "INTERVAL 330 MINUTE"
+ONLINE = "0, 1, 2, 3, 4"
+THER = "1"
 
 
-def _ts(d) -> str:
-    return f"TIMESTAMP '{d.strftime('%Y-%m-%d %H:%M:%S') if hasattr(d, 'hour') else d.isoformat() + ' 00:00:00'}'"
+def S(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
 
-SUB = _ts(CFG.sub_start)
-SHIFT = f"INTERVAL {CFG.shift_hours * 60 + CFG.shift_minutes} MINUTE"
-ONLINE = ", ".join(str(x) for x in CFG.online_locations)
-THER = str(CFG.therapy_id)
+def _list(values) -> str:
+    return "[" + ", ".join("NULL" if v is None else S(v) for v in values) + "]"
 
 
 def _form_value() -> str:
@@ -44,7 +45,7 @@ def _form_value() -> str:
 
 ADAPTERS = f"""
 appointments AS (
-  SELECT o.o_orderkey AS id, o.o_custkey AS patient_id, o.o_custkey % 10 AS provider_id,
+  SELECT o.o_orderkey AS id, o.o_custkey AS patient_id, o.o_custkey // 15 AS provider_id,
          CAST(substr(o.o_orderpriority, 1, 1) AS BIGINT) AS type_id,
          CAST(c.c_nationkey AS BIGINT) AS location_id,
          CASE o.o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'RECONSULTED'
@@ -113,234 +114,272 @@ preferences AS (
          ts AS created_at, CAST(NULL AS TIMESTAMP) AS deleted_at FROM events)"""
 
 
-def _b(cond: str) -> str:
-    """0/1 INTEGER of a condition over a group (NULL condition counts as false)."""
-    return f"CAST(bool_or(({cond}) IS TRUE) AS INTEGER)"
+# FIXED VALUES: the rule ladders. Per ladder, what a null text and any other text is, then the
+# rungs: a label, and per group of alternatives (all groups must match) regular expressions that are
+# searched for in the lower-case text. `~` stands for any run of characters.
+SHORT = "^ *([^ ]|[^ ].?[^ ])? *$"
+LADDERS = {
+    "optout": ("Opt-out logged (no reason)", "Other opt-out", [
+        ("Left clinic before purchase chat", ["left the clinic"]),
+        ("Phlebo not available", ["phlebo"]),
+        ("Not serviceable / no stock", ["unservi|not servi|no stock|not available"]),
+        ("Will buy / do it outside", ["outside|known pharmacy|known lab|preferred lab|elsewhere"]),
+        ("Budget / price", ["budget|price|money|afford|financial"]),
+        ("Does not believe in therapy", ["believe"]),
+        ("Fear of side effects", ["side effect"]),
+        ("Doctor marked optional", ["optional"]),
+        ("Wants to try meds first", ["check if medicine|medicines work|medicine work|try medicine|few days|helps"]),
+        ("Already has it / done recently", ["already|recent report|recently"]),
+        ("Test due later", ["due date|later date"]),
+        ("Wants to buy later / needs time", ["later|time to think|discuss|second opinion|decide"]),
+        ("Not interested / not needed", ["not interested|not needed|not required|are needed|doesn~want|don~want"])]),
+    "diagnosis": ("Others", "Others", [
+        ("MH", ["mental health concern"]),
+        ("STI", ["genito urinary infection|gui|post-exposure"]),
+        ("ED+PE+", ["premature ejaculation", "erectile dysfunction"]),
+        ("ED+", ["erectile dysfunction"]),
+        ("PE+", ["premature ejaculation"])]),
+    "meds_skip": ("Other", "Other", [
+        ("Not clinically indicated", ["not clinically indicated"]),
+        ("Already on equivalent medication", ["already"]),
+        ("Deferred - lifestyle/therapy first", ["deferred|lifestyle|therapy-first|therapy advised"]),
+        ("Awaiting test results", ["awaiting test|test result|waiting"]),
+        ("Contraindication / adverse reaction", ["contraindication|allergy|adverse|side effect"]),
+        ("Cost concerns", ["cost|expense|cheaper"]),
+        ("Not required", ["not required|not needed|not requiring"])]),
+    "no_rx_needed": ("Other", "Other", [
+        ("Has meds already / remaining", ["remain|has med|have med|already|medicines are there|rx complete|^ *(has|rm) *$"]),
+        ("Completely treated", ["treat"]),
+        ("Report reading / reports normal", ["report|^ *rr|wnl|normal|negative"]),
+        ("Query session", ["^ *pq|quer|^ *pt q"]),
+        ("Referred out", ["refer"]),
+        ("Not eligible", ["eligib|^ *(ne|n/e) *$"]),
+        ("Counseled - no treatment needed", ["counsel"]),
+        ("Not specified", [SHORT])]),
+    "meds_not_required": ("Other", "Other", [
+        ("Awaiting test results", ["awaiting test|test result"]),
+        ("Therapy first - meds not needed now", ["therapy|counsel"]),
+        ("Mild / watchful waiting", ["mild|watchful|situational"]),
+        ("Already has / taken meds", ["already"]),
+        ("No symptoms", ["no symptom"])]),
+    "eligibility": ("Other", "Other", [
+        ("Anatomical / physical concern", ["anatomical|physical|phimosis"]),
+        ("Not a sexual-health concern", ["not a sexual health|nssd|other issues"]),
+        ("STI referral to specialist", ["sti", "referral|specialist"]),
+        ("Sex-ed / doubts only", ["sex ed|education|doubt|quer|myth"]),
+        ("Proxy consultation", ["proxy"]),
+        ("Minor (underage)", ["minor"]),
+        ("Not specified", [SHORT])]),
+    "tests": ("Other", "Other", [
+        ("Not clinically indicated", ["not clinically indicated"]),
+        ("Clinical dx sufficient (empirical Rx)", ["empirical|diagnosis sufficient"]),
+        ("Deferred to follow-up", ["defer|follow"]),
+        ("Recently / already done", ["already|recently|done"]),
+        ("Affordability", ["afford"])]),
+    "therapy": ("Other", "Other", [
+        ("Not clinically indicated", ["not clinically indicated"]),
+        ("Deferred - reassess at follow-up", ["defer|reassess|follow"]),
+        ("Mild - meds/lifestyle enough", ["mild"]),
+        ("Needs outside specialist", ["scope|specialist"]),
+        ("Already in / had therapy", ["already|receiving|elsewhere|pending session"]),
+        ("Beneficial but optional - supports meds", ["supports|strengthens|sustains|relationship|couple|coping|anxiety|relapse"]),
+        ("Patient prefers meds first", ["medication first|meds first"]),
+        ("Skeptical / stigma concerns", ["skeptical|stigma|privacy"]),
+        ("Affordability", ["afford"])]),
+}
 
+# FIXED VALUES: form questions, and the reason column and ladder that each feeds.
+QUESTIONS = [
+    ("Reason for not prescribing a recommended medication", "meds_norx", "meds_skip"),
+    ("Why are medications not required for this patient?", "meds_noreq", "meds_not_required"),
+    ("What is the reason for non-eligibility?", "elig_reason", "eligibility"),
+    ("Why does the patient not need a prescription?", "meds_norx_fb", "no_rx_needed"),
+    ("What is the reason for the patient not needing a prescription?", "meds_norx_fb", "no_rx_needed"),
+    ("Why were no diagnostic tests recommended?", "tests_norx", "tests"),
+    ("Why is therapy not being recommended?", "ther_norx", "therapy"),
+    ("Why is therapy beneficial but not essential for this patient?", "ther_norx", "therapy"),
+    ("Why doesn't the patient believe in therapy?", "ther_norx", "therapy"),
+]
+REASON_COLS = ["meds_norx", "meds_norx_fb", "meds_noreq", "elig_reason", "tests_norx", "ther_norx"]
+PREFERENCES = [("drug", "opt_drug"), ("lab_test", "opt_lab"), ("consultation", "opt_ther"), ("encounter", "opt_enc")]
+# FIXED VALUES: labels of calls without a stated reason; orders of call types and diagnoses.
+NO_REASON = "No reason recorded"
+UNSERVICEABLE = "No opt-out logged - >=1 med not serviceable"
+UNPAID = "No opt-out logged - invoice unpaid"
+NO_INVOICE = "No opt-out logged - no invoice"
+CTYPES = ["Offline SC", "Online SC", "FU", "PQ", "RR"]
+DIAGS = ["MH", "STI", "ED+", "PE+", "ED+PE+", "Others"]
+
+_RULES = ", ".join(f"({S(name)}, {r}, {g}, {len(groups)}, {S(label)}, {S('(?s)' + rx.replace('~', '.*'))})"
+                   for name, (_, _, rungs) in LADDERS.items() for r, (label, groups) in enumerate(rungs) for g, rx in enumerate(groups))
+_ENDS = ", ".join(f"({S(name)}, {S(null)}, {S(other)})" for name, (null, other, _) in LADDERS.items())
+
+
+def labelled(texts: str) -> str:
+    """CTEs: `label_of(ladder, txt, label)` for the distinct (ladder, txt) of the query `texts`."""
+    return f"""
+rule(ladder, rung, part, parts, label, rx) AS (VALUES {_RULES}),
+ends(ladder, if_null, other) AS (VALUES {_ENDS}),
+txts AS (SELECT DISTINCT ladder, txt FROM ({texts}) q),
+met AS (SELECT t.ladder, t.txt, r.rung, r.label FROM txts t JOIN rule r ON r.ladder = t.ladder AND regexp_matches(lower(t.txt), r.rx)
+        GROUP BY t.ladder, t.txt, r.rung, r.label, r.parts HAVING count(DISTINCT r.part) = r.parts),
+label_of AS (SELECT t.ladder, t.txt, CASE WHEN t.txt IS NULL THEN e.if_null ELSE coalesce(m.label, e.other) END AS label
+             FROM txts t JOIN ends e ON e.ladder = t.ladder
+             LEFT JOIN (SELECT ladder, txt, arg_min(label, rung) AS label FROM met GROUP BY ladder, txt) m ON m.ladder = t.ladder AND m.txt = t.txt)"""
 
-def _in(values) -> str:
-    return "(" + ", ".join(S(v) for v in values) + ")"
 
+def _facts(*named: tuple[str, str]) -> str:
+    """The names whose condition holds, as a list."""
+    return "list_filter([" + ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in named) + "], lambda f: f IS NOT NULL)"
 
-REC = "importance_level = 'Recommended'"
-ESS = "coalesce(importance_level, 'Essentials') <> 'Recommended'"
 
-DOMAIN = f"""
-x_paid AS (
-  SELECT DISTINCT i.encounter_id, it.type, it.type_id
-  FROM invoice_items it JOIN invoices i ON i.id = it.invoice_id
-  WHERE it.deleted_at IS NULL AND it.type IN ('drug', 'lab') AND i.deleted_at IS NULL
-    AND i.status = 'paid' AND i.created_at >= {SUB}),
-x_drug AS (
-  SELECT o.encounter_id, min(coalesce(v.is_verified, 0)) AS all_svc,
-         {_b(REC)} AS has_rec, {_b(ESS)} AS has_ess,
-         {_b(REC + ' AND p.type_id IS NOT NULL')} AS rec_paid,
-         {_b(ESS + ' AND p.type_id IS NOT NULL')} AS ess_paid
-  FROM drug_orders_src o
-  LEFT JOIN drug_inventory v ON v.id = o.drug_id
-  LEFT JOIN x_paid p ON p.type = 'drug' AND p.encounter_id = o.encounter_id AND p.type_id = o.drug_id
-  WHERE o.deleted_at IS NULL AND o.created_at >= {SUB}
-  GROUP BY o.encounter_id),
-x_lab AS (
-  SELECT o.encounter_id, count(*) AS n,
-         {_b(REC)} AS has_rec, {_b(ESS)} AS has_ess,
-         {_b(REC + ' AND p.type_id IS NOT NULL')} AS rec_paid,
-         {_b(ESS + ' AND p.type_id IS NOT NULL')} AS ess_paid
-  FROM lab_orders_src o
-  LEFT JOIN x_paid p ON p.type = 'lab' AND p.encounter_id = o.encounter_id AND p.type_id = o.lab_test_id
-  WHERE o.deleted_at IS NULL AND o.created_at >= {SUB}
-  GROUP BY o.encounter_id),
-x_ther AS (
-  SELECT encounter_id, {_b('remaining_quantity < quantity')} AS consumed,
-         {_b(REC)} AS has_rec, {_b(ESS)} AS has_ess,
-         {_b(REC + ' AND remaining_quantity < quantity')} AS rec_paid,
-         {_b(ESS + ' AND remaining_quantity < quantity')} AS ess_paid
-  FROM therapy_orders_src
-  WHERE deleted_at IS NULL AND consultation_id = {THER} AND created_at >= {SUB}
-  GROUP BY encounter_id),
-x_inv AS (
-  SELECT i.encounter_id,
-         {_b("it.type = 'drug' AND i.status = 'paid'")} AS drug_paid, {_b("it.type = 'drug'")} AS drug_inv,
-         {_b("it.type = 'lab' AND i.status = 'paid'")} AS lab_paid, {_b("it.type = 'lab'")} AS lab_inv,
-         {_b(f"it.type = 'consultation' AND it.type_id = {THER} AND i.status = 'paid'")} AS ther_paid,
-         {_b(f"it.type = 'consultation' AND it.type_id = {THER}")} AS ther_inv
-  FROM invoices i JOIN invoice_items it ON it.invoice_id = i.id AND it.deleted_at IS NULL
-  WHERE i.deleted_at IS NULL AND i.status <> 'cancelled' AND i.created_at >= {SUB}
-  GROUP BY i.encounter_id),
-x_reasons AS (
-  SELECT encounter_id,
-    max({L.ladder_sql(L.MEDS_SKIP, 'value')}) FILTER (WHERE title = {S(L.TITLE_MEDS_SKIP)}) AS meds_norx,
-    max({L.ladder_sql(L.NO_RX_NEEDED, 'value')}) FILTER (WHERE title IN {_in(L.TITLES_NO_RX_NEEDED)}) AS meds_norx_fb,
-    max({L.ladder_sql(L.MEDS_NOT_REQUIRED, 'value')}) FILTER (WHERE title = {S(L.TITLE_MEDS_NOT_REQUIRED)}) AS meds_noreq,
-    max({L.ladder_sql(L.ELIGIBILITY, 'value')}) FILTER (WHERE title = {S(L.TITLE_ELIGIBILITY)}) AS elig_reason,
-    max({L.ladder_sql(L.TESTS, 'value')}) FILTER (WHERE title = {S(L.TITLE_TESTS)}) AS tests_norx,
-    max({L.ladder_sql(L.THERAPY, 'value')}) FILTER (WHERE title IN {_in(L.TITLES_THERAPY)}) AS ther_norx
-  FROM form_answers
-  WHERE deleted_at IS NULL AND created_at >= {SUB} AND title IN {_in(L.REASON_TITLES)}
-  GROUP BY encounter_id),
-x_dss AS (
-  SELECT encounter_id,
-         {_b("item_type = 'drug' AND dss_quantity > 0")} AS dss_drug,
-         {_b("item_type = 'lab' AND dss_quantity > 0")} AS dss_lab,
-         {_b("item_type = 'consultation' AND dss_quantity > 0")} AS dss_ther
-  FROM encounter_tags
-  WHERE deleted_at IS NULL AND tag_category = 'item' AND created_at >= {SUB}
-  GROUP BY encounter_id),
-x_opt_rows AS (
-  SELECT encounter_id, preference_type, {L.ladder_sql(L.OPTOUT, 'opt_out_reason')} AS bucket
-  FROM preferences WHERE deleted_at IS NULL AND opt_out = 1 AND created_at >= {SUB}),
-x_optout AS (
-  SELECT encounter_id,
-         max(bucket) FILTER (WHERE preference_type = 'drug') AS opt_drug,
-         max(bucket) FILTER (WHERE preference_type = 'lab_test') AS opt_lab,
-         max(bucket) FILTER (WHERE preference_type = 'consultation') AS opt_ther,
-         max(bucket) FILTER (WHERE preference_type = 'encounter') AS opt_enc
-  FROM x_opt_rows GROUP BY encounter_id),
-x_dims AS (
-  SELECT a.id AS appt_id, a.patient_id, a.location_id, a.start_time, t.name AS type_name, p.name AS provider_name
-  FROM appointments a
-  JOIN call_types t ON t.id = a.type_id AND t.deleted_at IS NULL
-  JOIN providers p ON p.id = a.provider_id
-  WHERE a.deleted_at IS NULL AND a.status IN {_in(L.CALL_STATUSES)}
-    AND t.name IN {_in(L.CALL_TYPE_NAMES)}
-    AND a.start_time + {SHIFT} >= {_ts(CFG.appt_start)}),
-x_base AS (
-  SELECT appt_id, patient_id, strftime(date_trunc('week', start_time + {SHIFT}), '%Y-%m-%d') AS wk, provider_name,
-         CASE WHEN type_name = 'Screening Call' AND location_id IN ({ONLINE}) THEN 'Online SC'
-              WHEN type_name = 'Screening Call' THEN 'Offline SC'
-              WHEN type_name = 'Follow Up' THEN 'FU'
-              WHEN type_name = 'Patient Queries' THEN 'PQ' ELSE 'RR' END AS ctype
-  FROM x_dims),
-x_calls AS (
-  SELECT b.appt_id, b.patient_id, b.wk, b.provider_name, b.ctype,
-    {_b('d.encounter_id IS NOT NULL')} AS meds_rx,
-    max(coalesce(f.drug_paid, 0)) AS meds_conv,
-    min(coalesce(d.all_svc, 1)) AS meds_all_svc,
-    max(coalesce(f.drug_inv, 0)) AS meds_inv,
-    {_b('l.encounter_id IS NOT NULL')} AS tests_rx,
-    max(coalesce(f.lab_paid, 0)) AS tests_conv,
-    max(coalesce(f.lab_inv, 0)) AS tests_inv,
-    {_b('t.encounter_id IS NOT NULL')} AS ther_rx,
-    max(greatest(coalesce(t.consumed, 0), coalesce(f.ther_paid, 0))) AS ther_conv,
-    max(coalesce(f.ther_inv, 0)) AS ther_inv,
-    max(coalesce(d.has_ess, 0)) AS m_ess, max(coalesce(d.ess_paid, 0)) AS m_ess_cv,
-    max(coalesce(d.has_rec, 0)) AS m_rec, max(coalesce(d.rec_paid, 0)) AS m_rec_cv,
-    max(coalesce(l.has_ess, 0)) AS t_ess, max(coalesce(l.ess_paid, 0)) AS t_ess_cv,
-    max(coalesce(l.has_rec, 0)) AS t_rec, max(coalesce(l.rec_paid, 0)) AS t_rec_cv,
-    max(coalesce(t.has_ess, 0)) AS th_ess, max(coalesce(t.ess_paid, 0)) AS th_ess_cv,
-    max(coalesce(t.has_rec, 0)) AS th_rec, max(coalesce(t.rec_paid, 0)) AS th_rec_cv,
-    max(coalesce(g.dss_drug, 0)) AS m_dss, max(coalesce(g.dss_lab, 0)) AS t_dss,
-    max(coalesce(g.dss_ther, 0)) AS th_dss,
-    max(r.meds_norx) AS meds_norx, max(r.meds_noreq) AS meds_noreq, max(r.meds_norx_fb) AS meds_norx_fb,
-    max(r.elig_reason) AS elig_reason, max(r.tests_norx) AS tests_norx, max(r.ther_norx) AS ther_norx,
-    max(o.opt_drug) AS opt_drug, max(o.opt_lab) AS opt_lab, max(o.opt_ther) AS opt_ther, max(o.opt_enc) AS opt_enc
-  FROM x_base b
-  LEFT JOIN encounters e ON e.appointment_id = b.appt_id AND e.deleted_at IS NULL AND e.created_at >= {SUB}
-  LEFT JOIN x_drug d ON d.encounter_id = e.id
-  LEFT JOIN x_lab l ON l.encounter_id = e.id
-  LEFT JOIN x_ther t ON t.encounter_id = e.id
-  LEFT JOIN x_inv f ON f.encounter_id = e.id
-  LEFT JOIN x_reasons r ON r.encounter_id = e.id
-  LEFT JOIN x_optout o ON o.encounter_id = e.id
-  LEFT JOIN x_dss g ON g.encounter_id = e.id
-  GROUP BY b.appt_id, b.patient_id, b.wk, b.provider_name, b.ctype),
-x_dx_enc AS (
-  SELECT e.id AS encounter_id, e.patient_id, e.created_at, string_agg(a.value, ',') AS dx
-  FROM encounters e
-  LEFT JOIN form_answers a ON a.encounter_id = e.id AND a.deleted_at IS NULL AND a.title ILIKE '%diagnosis%'
-  WHERE e.deleted_at IS NULL AND lower(e.type) LIKE '%merged-rx%'
-  GROUP BY e.id, e.patient_id, e.created_at),
-x_diag AS (
-  SELECT patient_id, {L.ladder_sql(L.DIAGNOSIS, 'dx')} AS diag_cat
-  FROM x_dx_enc
-  QUALIFY row_number() OVER (PARTITION BY patient_id
-                             ORDER BY created_at DESC NULLS FIRST, encounter_id ASC NULLS LAST) = 1),
-x_cd AS (
-  SELECT c.*, coalesce(x.diag_cat, 'Others') AS diag,
-         greatest(c.meds_rx, c.tests_rx, c.ther_rx) AS elig,
-         CASE WHEN greatest(c.meds_rx, c.tests_rx, c.ther_rx) = 0
-              THEN coalesce(c.elig_reason, c.meds_norx_fb, {S(NO_REASON)}) END AS ne_reason
-  FROM x_calls c LEFT JOIN x_diag x ON x.patient_id = c.patient_id)"""
-
-
-def status_sql(tab: str) -> str:
-    rx, conv, inv, opt, svc, reasons = TAB_SPEC[tab]
-    billing = f"CASE WHEN {inv} = 1 THEN {S(NOOPT_UNPAID)} ELSE {S(NOOPT_NO_INVOICE)} END"
-    if svc:
-        billing = (f"CASE WHEN {svc} = 0 THEN {S(NOOPT_UNSERVICEABLE)} WHEN {inv} = 1 THEN {S(NOOPT_UNPAID)} "
-                   f"ELSE {S(NOOPT_NO_INVOICE)} END")
-    nr = ", ".join(reasons)
-    return (f"CASE WHEN {rx} = 1 AND {conv} = 1 THEN 'cv' "
-            f"WHEN {rx} = 1 THEN 'nc:' || coalesce({opt}, opt_enc, {billing}) "
-            f"ELSE 'nr:' || coalesce({nr}, {S(NO_REASON)}) END")
+def has(fact: str, flags: str = "flags") -> str:
+    return f"CAST(coalesce(list_contains({flags}, '{fact}'), false) AS INTEGER)"
 
 
-G = ", ".join(GRAIN)
+def _tiers(p: str, done: str | None = None) -> list[tuple[str, str]]:
+    out = [(f"{p}_rec", "tier = 'Recommended'"), (f"{p}_ess", "tier IS DISTINCT FROM 'Recommended'")]
+    return out + [(f"{n}_done", f"{c} AND {done}") for n, c in out] if done else out
 
-TABS_LONG = f"""
-x_tabs AS (
-  SELECT {G}, elig, ne_reason, tab, status, count(*) AS n FROM (
-    {" UNION ALL ".join(f"SELECT {G}, elig, ne_reason, '{t}' AS tab, {status_sql(t)} AS status FROM x_cd" for t in TABS)}
-  ) u GROUP BY ALL),
-x_kinds AS (
-  SELECT *, CASE WHEN elig = 0 THEN 'ne' WHEN status = 'cv' THEN 'cv' WHEN status LIKE 'nc:%' THEN 'nc'
-                 ELSE 'nr' END AS kind FROM x_tabs),
-x_cells AS (
-  SELECT {G}, tab,
-    CAST(sum(n) AS BIGINT) AS calls,
-    CAST(sum(n) FILTER (WHERE kind <> 'ne') AS BIGINT) AS elig_n,
-    CAST(sum(n) FILTER (WHERE kind IN ('cv', 'nc')) AS BIGINT) AS rx,
-    CAST(sum(n) FILTER (WHERE kind = 'cv') AS BIGINT) AS cv,
-    CAST(sum(n) FILTER (WHERE kind = 'nc') AS BIGINT) AS nc,
-    CAST(sum(n) FILTER (WHERE kind = 'nr') AS BIGINT) AS nr,
-    CAST(sum(n) FILTER (WHERE kind = 'ne') AS BIGINT) AS ne
-  FROM x_kinds GROUP BY ALL),
-x_cells0 AS (
-  SELECT {G}, tab, calls, coalesce(elig_n, 0) AS elig, coalesce(rx, 0) AS rx, coalesce(cv, 0) AS cv,
-         coalesce(nc, 0) AS nc, coalesce(nr, 0) AS nr, coalesce(ne, 0) AS ne FROM x_cells),
-x_reason_counts AS (
-  SELECT {G}, tab, kind, CASE WHEN kind = 'ne' THEN ne_reason ELSE substr(status, 4) END AS reason,
-         CAST(sum(n) AS BIGINT) AS n
-  FROM x_kinds WHERE kind <> 'cv' GROUP BY ALL)"""
-
-
-def _measure_sql(p: str) -> list[str]:
-    dss, rx, conv, ess, rec = COMPONENTS[p]
-    conds = {
-        "dss": None, "dss_norx": f"{dss} = 1 AND {rx} = 0", "nodss_rx": f"{dss} = 0 AND {rx} = 1",
-        "rx": None, "cv": None,
-        "dss_cv": f"{dss} = 1 AND {rx} = 1 AND {conv} = 1", "nodss_cv": f"{dss} = 0 AND {rx} = 1 AND {conv} = 1",
-        "ae": f"{rx} = 1 AND {ess} = 1 AND {rec} = 0", "ae_cv": f"{rx} = 1 AND {ess} = 1 AND {rec} = 0 AND {conv} = 1",
-        "er": f"{rx} = 1 AND {ess} = 1 AND {rec} = 1", "er_cv": f"{rx} = 1 AND {ess} = 1 AND {rec} = 1 AND {conv} = 1",
-        "or": f"{rx} = 1 AND {ess} = 0 AND {rec} = 1", "or_cv": f"{rx} = 1 AND {ess} = 0 AND {rec} = 1 AND {conv} = 1",
-    }
-    out = []
-    for m, cond in conds.items():
-        if m == "dss":
-            e = f"sum({dss})"
-        elif m == "rx":
-            e = f"sum({rx})"
-        elif m == "cv":
-            e = f"sum(least({rx}, {conv}))"
-        else:
-            e = f"count(*) FILTER (WHERE {cond})"
-        out.append(f"CAST({e} AS BIGINT) AS {p}_{m}")
-    return out
 
+_QUESTIONS = ", ".join(f"({S(t)}, '{c}', '{lad}')" for t, c, lad in QUESTIONS)
+_LIVE = f"deleted_at IS NULL AND created_at >= {SUB}"
+_PAID = "EXISTS (FROM paid p WHERE p.type = '{k}' AND p.encounter_id = o.encounter_id AND p.type_id = o.item)"
 
-def _scoped(p: str) -> str:
-    dss, rx, *_ = COMPONENTS[p]
-    return f"CASE WHEN {dss} = 1 AND {rx} = 0 THEN coalesce({', '.join(NR_REASONS[p])}, {S(NO_REASON)}) END"
+DOMAIN = f"""
+paid AS (
+  SELECT DISTINCT i.encounter_id, it.type, it.type_id FROM invoices i, invoice_items it
+  WHERE it.invoice_id = i.id AND it.deleted_at IS NULL AND it.type IN ('drug', 'lab') AND i.status = 'paid'
+    AND i.deleted_at IS NULL AND i.created_at >= {SUB}),
+drug_order AS (SELECT encounter_id, drug_id AS item, importance_level AS tier FROM drug_orders_src WHERE {_LIVE}),
+lab_order AS (SELECT encounter_id, lab_test_id AS item, importance_level AS tier FROM lab_orders_src WHERE {_LIVE}),
+fact AS (
+  SELECT DISTINCT encounter_id, unnest(facts) AS fact FROM (
+    SELECT encounter_id, {_facts(("d", "true"), *_tiers("d", _PAID.format(k="drug")), ("d_unsvc", "NOT EXISTS (FROM drug_inventory v WHERE v.id = o.item) OR EXISTS (FROM drug_inventory v WHERE v.id = o.item AND v.is_verified = 0)"))} AS facts FROM drug_order o
+    UNION ALL
+    SELECT encounter_id, {_facts(("l", "true"), *_tiers("l", _PAID.format(k="lab")))} FROM lab_order o
+    UNION ALL
+    SELECT encounter_id, {_facts(("t", "true"), *_tiers("t", "used"), ("t_used", "used"))}
+    FROM (SELECT encounter_id, importance_level AS tier, remaining_quantity < quantity AS used FROM therapy_orders_src WHERE {_LIVE} AND consultation_id = {THER}) o
+    UNION ALL
+    SELECT i.encounter_id, {_facts(("i", "true"), *[(f"i_{n}{s}", f"{c}{x}") for n, c in (("drug", "it.type = 'drug'"), ("lab", "it.type = 'lab'"), ("ther", f"it.type = 'consultation' AND it.type_id = {THER}")) for s, x in (("", ""), ("_paid", " AND i.status = 'paid'"))])}
+    FROM invoices i, invoice_items it
+    WHERE it.invoice_id = i.id AND it.deleted_at IS NULL AND i.status <> 'cancelled' AND i.deleted_at IS NULL AND i.created_at >= {SUB}
+    UNION ALL
+    SELECT encounter_id, {_facts(("g", "true"), *[(f"g_{k}", f"item_type = '{k}' AND dss_quantity > 0") for k in ("drug", "lab", "consultation")])}
+    FROM encounter_tags WHERE {_LIVE} AND tag_category = 'item') f),
+flagged AS (SELECT encounter_id, list(fact) AS flags FROM fact GROUP BY encounter_id),
+question(title, col, ladder) AS (VALUES {_QUESTIONS}),
+asked AS (
+  SELECT a.encounter_id, q.col, q.ladder, a.value AS txt FROM form_answers a JOIN question q ON q.title = a.title WHERE a.{_LIVE.replace("created_at", "a.created_at")}
+  UNION ALL
+  SELECT encounter_id, CASE preference_type {" ".join(f"WHEN '{k}' THEN '{c}'" for k, c in PREFERENCES)} END, 'optout', opt_out_reason
+  FROM preferences WHERE {_LIVE} AND opt_out = 1),
+dx AS (
+  SELECT e.id AS encounter_id, e.patient_id, e.created_at, (
+    SELECT string_agg(a.value, ',') FROM form_answers a WHERE a.encounter_id = e.id AND a.deleted_at IS NULL AND contains(lower(a.title), 'diagnosis')) AS txt
+  FROM encounters e WHERE e.deleted_at IS NULL AND contains(lower(e.type), 'merged-rx')),
+{labelled("SELECT ladder, txt FROM asked UNION ALL SELECT 'diagnosis', txt FROM dx")},
+said AS (SELECT a.encounter_id, a.col, a.ladder, l.label FROM asked a JOIN label_of l ON l.ladder = a.ladder AND l.txt IS NOT DISTINCT FROM a.txt),
+dxl AS (SELECT dx.*, l.label AS diag_cat FROM dx JOIN label_of l ON l.ladder = 'diagnosis' AND l.txt IS NOT DISTINCT FROM dx.txt),
+diag AS (
+  SELECT patient_id, diag_cat FROM dxl d WHERE NOT EXISTS (
+    FROM dxl b WHERE b.patient_id IS NOT DISTINCT FROM d.patient_id AND b.encounter_id <> d.encounter_id AND (
+      (b.created_at IS NULL AND d.created_at IS NOT NULL) OR b.created_at > d.created_at
+      OR (b.created_at IS NOT DISTINCT FROM d.created_at AND b.encounter_id < d.encounter_id)))),
+dims AS (
+  SELECT a.id AS appt_id, a.patient_id, a.location_id, a.start_time, t.name AS type_name, p.name AS provider_name
+  FROM appointments a, (SELECT DISTINCT id, name FROM call_types WHERE deleted_at IS NULL) t, (SELECT DISTINCT id, name FROM providers) p
+  WHERE t.id = a.type_id AND p.id = a.provider_id AND a.deleted_at IS NULL AND a.status IN ('COMPLETED', 'RECONSULTED')
+    AND t.name IN ('Screening Call', 'Follow Up', 'Report Reading', 'Patient Queries') AND a.start_time >= {APPT} - {SHIFT}),
+base AS (
+  SELECT DISTINCT appt_id, patient_id, strftime(date_trunc('week', start_time + {SHIFT}), '%Y-%m-%d') AS wk, provider_name,
+         coalesce(map {{'Follow Up': 'FU', 'Patient Queries': 'PQ', 'Report Reading': 'RR'}}[type_name],
+                  list_extract(['Offline SC', 'Online SC'], 1 + CAST(coalesce(location_id IN ({ONLINE}), false) AS INTEGER))) AS ctype
+  FROM dims),
+visit AS (SELECT id AS encounter_id, appointment_id FROM encounters WHERE {_LIVE} AND appointment_id IS NOT NULL),
+call_flag AS (SELECT v.appointment_id, list(DISTINCT f.fact) AS flags FROM visit v JOIN fact f ON f.encounter_id = v.encounter_id GROUP BY v.appointment_id),
+call_said AS (SELECT v.appointment_id, {", ".join(f"max(s.label) FILTER (WHERE s.col = '{c}') AS {c}" for c in REASON_COLS + [c for _, c in PREFERENCES])}
+              FROM visit v JOIN said s ON s.encounter_id = v.encounter_id GROUP BY v.appointment_id),
+calls AS (
+  SELECT b.*, {has("d")} AS meds_rx, {has("i_drug_paid")} AS meds_conv, 1 - {has("d_unsvc")} AS meds_all_svc, {has("i_drug")} AS meds_inv,
+         {has("l")} AS tests_rx, {has("i_lab_paid")} AS tests_conv, {has("i_lab")} AS tests_inv,
+         {has("t")} AS ther_rx, CAST(coalesce(list_has_any(flags, ['t_used', 'i_ther_paid']), false) AS INTEGER) AS ther_conv, {has("i_ther")} AS ther_inv,
+         {", ".join(f"{has(f'{k}_{tier}')} AS {p}_{tier}" for k, p in (("d", "m"), ("l", "t"), ("t", "th")) for tier in ("ess", "rec"))},
+         {has("g_drug")} AS m_dss, {has("g_lab")} AS t_dss, {has("g_consultation")} AS th_dss,
+         s.* EXCLUDE (appointment_id)
+  FROM base b LEFT JOIN call_flag f ON f.appointment_id = b.appt_id LEFT JOIN call_said s ON s.appointment_id = b.appt_id),
+dxcalls AS (
+  SELECT c.*, coalesce(d.diag_cat, 'Others') AS diag, CAST(1 IN (meds_rx, tests_rx, ther_rx) AS INTEGER) AS elig,
+         CASE WHEN 1 NOT IN (meds_rx, tests_rx, ther_rx) THEN list_filter([elig_reason, meds_norx_fb, {S(NO_REASON)}], lambda r: r IS NOT NULL)[1] END AS ne_reason
+  FROM calls c LEFT JOIN diag d ON d.patient_id = c.patient_id)"""
+
+GRAIN = ("wk", "provider_name", "ctype", "diag")
+G = ", ".join(GRAIN)
+TABS = ("meds", "tests", "therapy")
+# per tab: what was ordered, paid and invoiced, what opt-out and other reasons apply in turn
+_LONG = ", ".join((
+    f"('meds', meds_rx, meds_conv, [opt_drug, opt_enc, CASE meds_all_svc WHEN 0 THEN {S(UNSERVICEABLE)} END, CASE meds_inv WHEN 1 THEN {S(UNPAID)} END, {S(NO_INVOICE)}], [meds_noreq, meds_norx, meds_norx_fb, {S(NO_REASON)}])",
+    f"('tests', tests_rx, tests_conv, [opt_lab, opt_enc, CASE tests_inv WHEN 1 THEN {S(UNPAID)} END, {S(NO_INVOICE)}], [tests_norx, {S(NO_REASON)}])",
+    f"('therapy', ther_rx, ther_conv, [opt_ther, opt_enc, CASE ther_inv WHEN 1 THEN {S(UNPAID)} END, {S(NO_INVOICE)}], [ther_norx, {S(NO_REASON)}])"))
 
+TABS_LONG = f"""
+outcome(rx, conv, mark) AS (VALUES (1, 1, 'cv'), (1, 0, 'nc'), (0, 1, 'nr'), (0, 0, 'nr')),
+tabbed AS (
+  SELECT c.appt_id, {", ".join("c." + g for g in GRAIN)}, c.elig, c.ne_reason, t.tab, o.mark,
+         CASE o.mark WHEN 'nc' THEN list_filter(t.nc, lambda r: r IS NOT NULL)[1] WHEN 'nr' THEN list_filter(t.nr, lambda r: r IS NOT NULL)[1] END AS why
+  FROM dxcalls c, LATERAL (VALUES {_LONG}) t(tab, rx, conv, nc, nr), outcome o WHERE o.rx = t.rx AND o.conv = t.conv),
+settled AS (
+  SELECT *, concat_ws(':', mark, why) AS status, CASE elig WHEN 0 THEN 'ne' ELSE mark END AS kind,
+         CASE elig WHEN 0 THEN ne_reason ELSE why END AS reason FROM tabbed),
+tab_grain AS (SELECT {G}, elig, ne_reason, tab, status, count(*) AS n FROM settled GROUP BY ALL),
+kind_count AS (SELECT {G}, tab, map_from_entries(list((kind, n))) AS k, sum(n) AS calls FROM (SELECT {G}, tab, kind, count(*) AS n FROM settled GROUP BY ALL) q GROUP BY ALL),
+cells AS (
+  SELECT {G}, tab, CAST(calls AS BIGINT) AS calls, CAST(calls - ne AS BIGINT) AS elig, cv + nc AS rx, cv, nc, nr, ne
+  FROM (SELECT *, {", ".join(f"coalesce(k['{k}'], 0) AS {k}" for k in ("cv", "nc", "nr", "ne"))} FROM kind_count) q),
+reason_count AS (SELECT {G}, tab, kind, reason, count(*) AS n FROM settled WHERE kind <> 'cv' GROUP BY ALL),
+envelope AS (
+  SELECT {G}, max(calls) AS calls, max(elig) AS elig, max(ne) AS ne,
+         (list(tab ORDER BY ne DESC, list_position({_list(TABS)}, tab)) FILTER (WHERE ne > 0))[1] AS ne_tab FROM cells GROUP BY {G})"""
+
+COMPS = ("m", "t", "th")
+# a measure counts the calls whose flags are as given (None: either)
+MEASURES = {  # recommended, prescribed, converted, essential tier, recommended tier
+    "dss": (1, None, None, None, None), "dss_norx": (1, 0, None, None, None), "nodss_rx": (0, 1, None, None, None),
+    "rx": (None, 1, None, None, None), "cv": (None, 1, 1, None, None), "dss_cv": (1, 1, 1, None, None), "nodss_cv": (0, 1, 1, None, None),
+    "ae": (None, 1, None, 1, 0), "ae_cv": (None, 1, 1, 1, 0), "er": (None, 1, None, 1, 1), "er_cv": (None, 1, 1, 1, 1),
+    "or": (None, 1, None, 0, 1), "or_cv": (None, 1, 1, 0, 1),
+}
+_TUPLES = ", ".join(f"('{m}', {', '.join('NULL' if x is None else str(x) for x in t)})" for m, t in MEASURES.items())
+_FLAGS = ("dss", "rx", "conv", "ess", "rec")
+_COMP_ROWS = ", ".join(f"('{p}', {dss}, {rx}, {conv}, {p}_ess, {p}_rec, list_filter([{', '.join(nr)}, {S(NO_REASON)}], lambda r: r IS NOT NULL)[1])" for p, dss, rx, conv, nr in (
+    ("m", "m_dss", "meds_rx", "meds_conv", ("meds_noreq", "meds_norx", "meds_norx_fb")),
+    ("t", "t_dss", "tests_rx", "tests_conv", ("tests_norx",)),
+    ("th", "th_dss", "ther_rx", "ther_conv", ("ther_norx",))))
+_NRS = ", ".join(f"{p}_nr" for p in COMPS)
+_NAMES = [f"{p}_{m}" for p in COMPS for m in MEASURES]
+_PIVOT = ", ".join(f"CAST(coalesce(sum(v) FILTER (WHERE name = '{x}'), 0) AS BIGINT) AS {x}" for x in _NAMES)
+_ELIG = 'CAST(coalesce(sum(v) FILTER (WHERE name = \'elig\'), 0) AS BIGINT) AS elig'
 
 FUNNEL = f"""
-x_funnel AS (
-  SELECT {G}, {_scoped('m')} AS m_nr, {_scoped('t')} AS t_nr, {_scoped('th')} AS th_nr,
-         count(*) AS n, CAST(sum(elig) AS BIGINT) AS elig,
-         {", ".join(s for p in COMPONENTS for s in _measure_sql(p))}
-  FROM x_cd GROUP BY ALL)"""
-
-assert len([s for p in COMPONENTS for s in _measure_sql(p)]) == len(MEASURE_NAMES)
+comp_row AS (
+  SELECT c.appt_id, c.patient_id, {", ".join("c." + g for g in GRAIN)}, c.elig, x.*, CASE WHEN x.dss = 1 AND x.rx = 0 THEN x.why END AS nr
+  FROM dxcalls c, LATERAL (VALUES {_COMP_ROWS}) x(comp, dss, rx, conv, ess, rec, why)),
+with_nr AS (
+  SELECT r.*, {", ".join(f"max(nr) FILTER (WHERE comp = '{p}') OVER w AS {p}_nr" for p in COMPS)}
+  FROM comp_row r WINDOW w AS (PARTITION BY appt_id, patient_id, wk, provider_name, ctype)),
+flag_tuple AS (SELECT {G}, {_NRS}, comp, {", ".join(_FLAGS)}, elig, count(*) AS n FROM with_nr GROUP BY ALL),
+measure(measure, {", ".join("w_" + f for f in _FLAGS)}) AS (VALUES {_TUPLES}),
+funnel_long AS (
+  SELECT {G}, {_NRS}, comp || '_' || measure AS name, n AS v FROM flag_tuple, measure WHERE {" AND ".join(f"coalesce(w_{f}, {f}) = {f}" for f in _FLAGS)}
+  UNION ALL SELECT {G}, {_NRS}, 'n', n FROM flag_tuple WHERE comp = 'm'
+  UNION ALL SELECT {G}, {_NRS}, 'elig', n FROM flag_tuple WHERE comp = 'm' AND elig = 1),
+funnel AS (SELECT {G}, {_NRS}, CAST(sum(v) FILTER (WHERE name = 'n') AS BIGINT) AS n, {_ELIG}, {_PIVOT} FROM funnel_long GROUP BY {G}, {_NRS}),
+funnel_cell AS (SELECT {G}, CAST(sum(v) FILTER (WHERE name = 'n') AS BIGINT) AS calls, {_ELIG}, {_PIVOT} FROM funnel_long GROUP BY {G}),
+funnel_reason AS (SELECT {G}, comp, nr AS reason, count(*) AS n FROM comp_row WHERE nr IS NOT NULL GROUP BY ALL),
+week_ix AS (SELECT wk, row_number() OVER (ORDER BY wk NULLS FIRST) - 1 AS ix FROM (SELECT DISTINCT wk FROM cells) q),
+provider_pos AS (SELECT provider_name, row_number() OVER (ORDER BY provider_name NULLS FIRST) - 1 AS ix FROM (SELECT DISTINCT provider_name FROM cells) q),
+reason_pos AS (SELECT reason, row_number() OVER (ORDER BY reason) - 1 AS ix FROM (SELECT reason FROM reason_count UNION SELECT reason FROM funnel_reason) q WHERE reason IS NOT NULL)"""
 
 
 def with_all(body: str) -> str:
@@ -352,143 +391,112 @@ def _ts_s(c: str, us: bool = False) -> str:
     return f"strftime({c}, '%Y-%m-%d %H:%M:%S{'.%f' if us else ''}')"
 
 
-def _flag(cond: str) -> str:
-    return f"CASE WHEN {cond} THEN 1 ELSE 0 END"
-
+def _weekly(where: str = "") -> str:
+    ratio = lambda a, b: f"round(a.{a} / nullif(a.{b}, 0), 6)"
+    sums = ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("calls", "elig", "rx", "cv", "nc", "nr", "ne"))
+    return f"""SELECT wk, tab, calls, elig, rx AS prescribed, cv AS converted, nc AS not_converted, nr AS not_prescribed, ne AS not_eligible,
+       {ratio("nr", "calls")} AS not_prescribed_pct_of_calls, {ratio("nr", "elig")} AS not_prescribed_pct_of_eligible, {ratio("nc", "rx")} AS not_converted_pct
+FROM (SELECT wk, tab, {sums} FROM cells {where} GROUP BY wk, tab) a"""
 
-APPT = _ts(CFG.appt_start)
-_KIND = "CASE WHEN elig = 0 THEN 'ne' WHEN status = 'cv' THEN 'cv' WHEN status LIKE 'nc:%' THEN 'nc' ELSE 'nr' END"
-_STATUS_ROWS = " UNION ALL ".join(
-    f"SELECT appt_id, elig, ne_reason, '{t}' AS tab, {status_sql(t)} AS status FROM x_cd" for t in TABS)
-_FUNNEL_REASONS = " UNION ALL ".join(f"SELECT {G}, '{p}' AS comp, {p}_nr AS reason, n FROM x_funnel"
-                                     for p in COMPONENTS)
-_MEASURE_SUMS = ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in MEASURE_NAMES)
 
+def _audit(name: str, rel: str, key: str) -> str:
+    return f"SELECT '{name}' AS relation, count(*) AS n_rows, count(DISTINCT {key}) AS n_keys, CAST(count(DISTINCT {key}) FILTER (WHERE c > 1) AS BIGINT) AS dup_keys FROM (SELECT {key}, count(*) OVER (PARTITION BY {key}) AS c FROM {rel}) k"
 
-def _weekly(where: str = "") -> str:
-    return f"""
-SELECT wk, tab, calls, elig, rx AS prescribed, cv AS converted, nc AS not_converted, nr AS not_prescribed,
-       ne AS not_eligible,
-       CASE WHEN calls > 0 THEN round(nr / calls, 6) END AS not_prescribed_pct_of_calls,
-       CASE WHEN elig > 0 THEN round(nr / elig, 6) END AS not_prescribed_pct_of_eligible,
-       CASE WHEN rx > 0 THEN round(nc / rx, 6) END AS not_converted_pct
-FROM (SELECT wk, tab, CAST(sum(calls) AS BIGINT) AS calls, CAST(sum(elig) AS BIGINT) AS elig,
-             CAST(sum(rx) AS BIGINT) AS rx, CAST(sum(cv) AS BIGINT) AS cv, CAST(sum(nc) AS BIGINT) AS nc,
-             CAST(sum(nr) AS BIGINT) AS nr, CAST(sum(ne) AS BIGINT) AS ne
-      FROM x_cells0 {where} GROUP BY wk, tab) w"""
 
+def _rows_of(fact: str, cols: str) -> str:
+    return f"SELECT encounter_id, {cols} FROM flagged WHERE list_contains(flags, '{fact}')"
 
-def _audit(name: str, rel: str, key: str) -> str:
-    return (f"SELECT '{name}' AS relation, CAST(sum(c) AS BIGINT) AS n_rows, count(*) AS n_keys, "
-            f"count(*) FILTER (WHERE c > 1) AS dup_keys FROM (SELECT {key}, count(*) AS c FROM {rel} GROUP BY {key}) k")
 
+def _ladder_query(name: str) -> str:
+    probes = PROBES[name]
+    texts = f"""SELECT doc_id, 'document' AS part, text AS txt FROM documents
+      UNION ALL SELECT doc_id, 'answer', {_list(probes)}[CAST(doc_id % {len(probes)} + 1 AS INTEGER)] FROM documents"""
+    return f"""WITH src AS ({texts}), {labelled(f"SELECT '{name}' AS ladder, txt FROM src")}
+SELECT doc_id, part, label FROM src JOIN label_of l ON l.txt IS NOT DISTINCT FROM src.txt"""
 
-def _fixed_pos(col: str, order) -> str:
-    return (f"SELECT {col}, CAST(list_position({_list(order)}, {col}) - 1 AS BIGINT) AS {col}_ix "
-            f"FROM (SELECT DISTINCT {col} FROM x_cells0) d")
 
+_TIER_COLS = lambda p: f"{has(p + '_rec')} AS has_rec, {has(p + '_ess')} AS has_ess, {has(p + '_rec_done')} AS rec_paid, {has(p + '_ess_done')} AS ess_paid"
+_SAID = lambda cols, where: f"SELECT encounter_id, {', '.join(f'max(label) FILTER (WHERE col = {S(c)}) AS {c}' for c in cols)} FROM said WHERE {where} GROUP BY encounter_id"
+_REASON_ROWS = _SAID(REASON_COLS, "ladder <> 'optout'")
+_OPTOUT_ROWS = _SAID([c for _, c in PREFERENCES], "ladder = 'optout'")
+_DX = "SELECT encounter_id, diag_cat FROM dxl"
 
-ON_DRIVER = {f"ladder_{lad.name}": f"SELECT doc_id, {L.ladder_sql(lad, 'text')} AS label FROM documents"
-             for lad in L.ALL_LADDERS.values()}
+ON_DRIVER = {f"ladder_{name}": _ladder_query(name) for name in LADDERS}
 ON_DRIVER.update({
-    "pred_ilike": f"""SELECT doc_id, {_flag("lower(text) LIKE '%later%'")} AS has_later,
-        {_flag("lower(text) LIKE '%don%want%'")} AS has_dont_want,
-        {_flag("text ILIKE '%the clinic%'")} AS has_clinic FROM documents""",
+    "pred_ilike": "SELECT doc_id, " + ", ".join(f"CAST(regexp_matches(coalesce(lower(text), ''), '(?s){rx}') AS INTEGER) AS {n}" for n, rx in (
+        ("has_later", "later"), ("has_the", "the "), ("has_dont_want", "don.*want"), ("has_on_the", "on.*the"))) + " FROM documents",
     "week_bucket": f"SELECT event_id, strftime(date_trunc('week', ts + {SHIFT}), '%Y-%m-%d') AS wk FROM events",
-    "latest_per_key": f"""SELECT user_id, event_id, event_type, {_ts_s('ts', True)} AS ts FROM events
-        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id ASC NULLS LAST) = 1""",
+    "latest_per_key": f"""SELECT user_id, event_id, event_type, {_ts_s('ts', True)} AS ts FROM events e WHERE NOT EXISTS (
+        FROM events b WHERE b.user_id IS NOT DISTINCT FROM e.user_id AND ((b.ts IS NULL AND e.ts IS NOT NULL) OR b.ts > e.ts
+          OR (b.ts IS NOT DISTINCT FROM e.ts AND b.event_id < e.event_id)))""",
 })
 
 ON_ADAPTERS = {
-    "filter_live": f"SELECT id, appointment_id, type, {_ts_s('created_at')} AS created_at FROM encounters "
-                   "WHERE deleted_at IS NULL",
-    "filter_since": f"SELECT encounter_id, drug_id, importance_level, {_ts_s('created_at')} AS created_at "
-                    f"FROM drug_orders_src WHERE created_at >= {SUB}",
-    "filter_local_since": f"SELECT id, {_ts_s('start_time')} AS start_time FROM appointments "
-                          f"WHERE start_time + {SHIFT} >= {APPT}",
-    "filter_membership": f"SELECT id, status, location_id FROM appointments "
-                         f"WHERE status IN {_in(L.CALL_STATUSES)} AND location_id IN ({ONLINE})",
+    "filter_live": f"SELECT id, appointment_id, type, {_ts_s('created_at')} AS created_at FROM encounters WHERE deleted_at IS NULL",
+    "filter_since": f"SELECT encounter_id, drug_id, importance_level, {_ts_s('created_at')} AS created_at FROM drug_orders_src WHERE created_at >= {SUB}",
+    "filter_local_since": f"SELECT id, {_ts_s('start_time')} AS start_time FROM appointments WHERE start_time + {SHIFT} >= {APPT}",
+    "filter_membership": f"SELECT id, status, location_id FROM appointments WHERE status IN ('COMPLETED', 'RECONSULTED') AND location_id IN ({ONLINE})",
     "filter_not_cancelled": "SELECT id, encounter_id, status FROM invoices WHERE status <> 'cancelled'",
-    "paid_items_distinct": "SELECT encounter_id, type, type_id FROM x_paid",
-    "join_paid_items": f"""SELECT o.encounter_id, o.drug_id, o.importance_level,
-        {_flag('p.type_id IS NOT NULL')} AS paid
-        FROM drug_orders_src o LEFT JOIN x_paid p
-          ON p.type = 'drug' AND p.encounter_id = o.encounter_id AND p.type_id = o.drug_id
-        WHERE o.deleted_at IS NULL AND o.created_at >= {SUB}""",
-    "drug_rollup": "SELECT * FROM x_drug",
-    "lab_rollup": "SELECT * FROM x_lab",
-    "therapy_rollup": "SELECT * FROM x_ther",
-    "invoice_flags": "SELECT * FROM x_inv",
-    "reason_pivot": "SELECT * FROM x_reasons",
-    "recommendation_flags": "SELECT * FROM x_dss",
-    "optout_pivot": "SELECT * FROM x_optout",
-    "text_concat_per_key": f"SELECT encounter_id, {L.ladder_sql(L.DIAGNOSIS, 'dx')} AS diag_cat FROM x_dx_enc",
-    "latest_diagnosis": "SELECT patient_id, diag_cat FROM x_diag",
-    "call_base": "SELECT * FROM x_base",
-    "call_type": "SELECT appt_id, ctype FROM x_base",
-    "join_call_dims": "SELECT appt_id, type_name, provider_name, location_id FROM x_dims",
-    "join_presence_flags": f"""SELECT e.id AS encounter_id, e.appointment_id,
-        {_flag('d.encounter_id IS NOT NULL')} AS has_drug, {_flag('l.encounter_id IS NOT NULL')} AS has_lab,
-        {_flag('t.encounter_id IS NOT NULL')} AS has_ther, {_flag('f.encounter_id IS NOT NULL')} AS has_inv,
-        {_flag('r.encounter_id IS NOT NULL')} AS has_reasons, {_flag('o.encounter_id IS NOT NULL')} AS has_optout,
-        {_flag('g.encounter_id IS NOT NULL')} AS has_dss
-        FROM encounters e
-        LEFT JOIN x_drug d ON d.encounter_id = e.id LEFT JOIN x_lab l ON l.encounter_id = e.id
-        LEFT JOIN x_ther t ON t.encounter_id = e.id LEFT JOIN x_inv f ON f.encounter_id = e.id
-        LEFT JOIN x_reasons r ON r.encounter_id = e.id LEFT JOIN x_optout o ON o.encounter_id = e.id
-        LEFT JOIN x_dss g ON g.encounter_id = e.id
-        WHERE e.deleted_at IS NULL AND e.created_at >= {SUB} AND e.appointment_id IS NOT NULL""",
-    "call_rollup": "SELECT * FROM x_calls",
-    "join_latest_diag": "SELECT appt_id, patient_id, diag FROM x_cd",
-    "eligibility": "SELECT appt_id, elig, ne_reason FROM x_cd",
-    "status_long": f"""SELECT appt_id, tab, status, kind,
-        CASE WHEN kind = 'ne' THEN ne_reason WHEN kind IN ('nc', 'nr') THEN substr(status, 4) END AS reason
-        FROM (SELECT *, {_KIND} AS kind FROM ({_STATUS_ROWS}) s) k""",
-    **{f"tab_{t}": f"SELECT {G}, elig, ne_reason, status, n FROM x_tabs WHERE tab = '{t}'" for t in TABS},
-    "funnel_grain": "SELECT * FROM x_funnel",
-    "funnel_cells": f"""SELECT {G}, CAST(sum(n) AS BIGINT) AS calls, CAST(sum(elig) AS BIGINT) AS elig,
-        {_MEASURE_SUMS} FROM x_funnel GROUP BY {G}""",
-    "funnel_reason_counts": f"""SELECT {G}, comp, reason, CAST(sum(n) AS BIGINT) AS n
-        FROM ({_FUNNEL_REASONS}) r WHERE reason IS NOT NULL GROUP BY {G}, comp, reason""",
-    "grain_cells": f"SELECT {G}, tab, calls, elig, rx, cv, nc, nr, ne FROM x_cells0",
-    "grain_reason_counts": "SELECT * FROM x_reason_counts",
-    "cell_envelope": f"""SELECT {G}, max(calls) AS calls, max(elig) AS elig, max(ne) AS ne,
-        CASE WHEN max(ne) > 0 THEN arg_max(tab, ne * 4 + CASE tab WHEN 'meds' THEN 2 WHEN 'tests' THEN 1 ELSE 0 END)
-        END AS ne_tab FROM x_cells0 GROUP BY {G}""",
-    "reconcile_totals": """SELECT meds_total, tests_total, therapy_total,
-        greatest(meds_total, tests_total, therapy_total) - least(meds_total, tests_total, therapy_total) AS drift,
-        CASE WHEN greatest(meds_total, tests_total, therapy_total) - least(meds_total, tests_total, therapy_total)
-                  > greatest(meds_total, tests_total, therapy_total) * 0.001 THEN 'fail'
-             WHEN greatest(meds_total, tests_total, therapy_total) - least(meds_total, tests_total, therapy_total) > 0
-             THEN 'warn' ELSE 'ok' END AS status
-        FROM (SELECT CAST(coalesce(sum(n) FILTER (WHERE tab = 'meds'), 0) AS BIGINT) AS meds_total,
-                     CAST(coalesce(sum(n) FILTER (WHERE tab = 'tests'), 0) AS BIGINT) AS tests_total,
-                     CAST(coalesce(sum(n) FILTER (WHERE tab = 'therapy'), 0) AS BIGINT) AS therapy_total
-              FROM x_tabs) t""",
+    "paid_items_distinct": "SELECT encounter_id, type, type_id FROM paid",
+    "join_paid_items": f"SELECT encounter_id, item AS drug_id, tier AS importance_level, CAST({_PAID.format(k='drug')} AS INTEGER) AS paid FROM drug_order o",
+    "drug_rollup": _rows_of("d", f"1 - {has('d_unsvc')} AS all_svc, {_TIER_COLS('d')}"),
+    "lab_rollup": f"SELECT f.*, (SELECT count(*) FROM lab_order o WHERE o.encounter_id = f.encounter_id) AS n FROM ({_rows_of('l', _TIER_COLS('l'))}) f",
+    "therapy_rollup": _rows_of("t", f"{has('t_used')} AS consumed, {_TIER_COLS('t')}"),
+    "invoice_flags": _rows_of("i", ", ".join(f"{has(f'i_{k}_paid')} AS {k}_paid, {has(f'i_{k}')} AS {k}_inv" for k in ("drug", "lab", "ther"))),
+    "reason_pivot": _REASON_ROWS,
+    "recommendation_flags": _rows_of("g", f"{has('g_drug')} AS dss_drug, {has('g_lab')} AS dss_lab, {has('g_consultation')} AS dss_ther"),
+    "optout_pivot": _OPTOUT_ROWS,
+    "text_concat_per_key": _DX,
+    "latest_diagnosis": "SELECT patient_id, diag_cat FROM diag",
+    "call_base": "SELECT * FROM base",
+    "call_type": "SELECT appt_id, ctype FROM base",
+    "join_call_dims": "SELECT appt_id, type_name, provider_name, location_id FROM dims",
+    "join_presence_flags": "SELECT v.encounter_id, v.appointment_id, " + ", ".join(f"{has(f)} AS has_{n}" for f, n in (("d", "drug"), ("l", "lab"), ("t", "ther"), ("i", "inv"), ("g", "dss")))
+        + ", " + ", ".join(f"CAST(EXISTS (FROM said s WHERE s.encounter_id = v.encounter_id AND (s.ladder = 'optout') = {b}) AS INTEGER) AS has_{n}" for n, b in (("reasons", "false"), ("optout", "true")))
+        + " FROM visit v LEFT JOIN flagged f ON f.encounter_id = v.encounter_id",
+    "call_rollup": "SELECT * FROM calls",
+    "join_latest_diag": "SELECT appt_id, patient_id, diag FROM dxcalls",
+    "eligibility": "SELECT appt_id, elig, ne_reason FROM dxcalls",
+    "status_long": "SELECT appt_id, tab, status, kind, reason FROM settled",
+    **{f"tab_{t}": f"SELECT {G}, elig, ne_reason, status, n FROM tab_grain WHERE tab = '{t}'" for t in TABS},
+    "funnel_grain": "SELECT * FROM funnel",
+    "funnel_cells": "SELECT * FROM funnel_cell",
+    "funnel_reason_counts": "SELECT * FROM funnel_reason",
+    "grain_cells": "SELECT * FROM cells",
+    "grain_reason_counts": "SELECT * FROM reason_count",
+    "cell_envelope": "SELECT * FROM envelope",
+    "reconcile_totals": """SELECT meds AS meds_total, tests AS tests_total, therapy AS therapy_total, hi - lo AS drift,
+        CASE WHEN hi = lo THEN 'ok' WHEN hi - lo > 0.001 * hi THEN 'fail' ELSE 'warn' END AS status
+        FROM (SELECT *, greatest(meds, tests, therapy) AS hi, least(meds, tests, therapy) AS lo FROM (SELECT """
+        + ", ".join(f"(SELECT count(*) FROM settled WHERE tab = '{t}') AS {t}" for t in TABS) + ") q) r",
     "weekly_metrics": _weekly(),
     "weekly_filtered": _weekly("WHERE ctype IN ('Online SC', 'Offline SC') AND diag IN ('Others', 'STI', 'MH')"),
-    "reason_breakdown": "SELECT tab, kind, reason, CAST(sum(n) AS BIGINT) AS n FROM x_reason_counts "
-                        "GROUP BY tab, kind, reason",
-    "dim_weeks": "SELECT wk, CAST(dense_rank() OVER (ORDER BY wk ASC NULLS FIRST) - 1 AS BIGINT) AS wk_ix "
-                 "FROM (SELECT DISTINCT wk FROM x_cells0) d",
-    "dim_providers": "SELECT provider_name, CAST(dense_rank() OVER (ORDER BY provider_name ASC NULLS FIRST) - 1 "
-                     "AS BIGINT) AS provider_ix FROM (SELECT DISTINCT provider_name FROM x_cells0) d",
-    "dim_ctype": _fixed_pos("ctype", L.CTYPE_ORDER),
-    "dim_diag": _fixed_pos("diag", L.DIAG_ORDER),
-    "reason_dictionary": f"""SELECT reason, CAST(row_number() OVER (ORDER BY reason) - 1 AS BIGINT) AS reason_ix
-        FROM (SELECT reason FROM x_reason_counts UNION SELECT reason FROM ({_FUNNEL_REASONS}) f) u
-        WHERE reason IS NOT NULL""",
-    "reasons_ranked": f"""SELECT *, CAST(row_number() OVER (PARTITION BY {G}, tab, kind
-        ORDER BY n DESC, reason ASC NULLS FIRST) - 1 AS BIGINT) AS pos FROM x_reason_counts""",
-    "run_stamp": f"""SELECT {_ts_s('max(start_time)')} AS as_of,
-        strftime(max(start_time) + {SHIFT}, '%d %b %Y, %H:%M IST') AS updated FROM x_dims""",
-    "protect_roundtrip": f"SELECT {G}, tab, calls, elig, rx, cv, nc, nr, ne FROM x_cells0",
-    "unique_keys_audit": " UNION ALL ".join(_audit(n, r, k) for n, r, k in (
-        ("drug_rollup", "x_drug", "encounter_id"), ("lab_rollup", "x_lab", "encounter_id"),
-        ("therapy_rollup", "x_ther", "encounter_id"), ("invoice_flags", "x_inv", "encounter_id"),
-        ("reason_pivot", "x_reasons", "encounter_id"), ("optout_pivot", "x_optout", "encounter_id"),
-        ("recommendation_flags", "x_dss", "encounter_id"), ("calls", "x_calls", "appt_id"),
-        ("latest_diagnosis", "x_diag", "patient_id"))),
+    "reason_breakdown": "SELECT tab, kind, reason, count(*) AS n FROM settled WHERE kind <> 'cv' GROUP BY ALL",
+    "dim_weeks": "SELECT wk, ix AS wk_ix FROM week_ix",
+    "dim_providers": "SELECT provider_name, ix AS provider_ix FROM provider_pos",
+    "dim_ctype": f"SELECT DISTINCT ctype, CAST(list_position({_list(CTYPES)}, ctype) - 1 AS BIGINT) AS ctype_ix FROM cells",
+    "dim_diag": f"SELECT DISTINCT diag, CAST(list_position({_list(DIAGS)}, diag) - 1 AS BIGINT) AS diag_ix FROM cells",
+    "reason_dictionary": "SELECT reason, ix AS reason_ix FROM reason_pos",
+    "reasons_ranked": f"SELECT r.*, row_number() OVER (PARTITION BY {G}, tab, kind ORDER BY n DESC, reason NULLS FIRST) - 1 AS pos FROM reason_count r",
+    "publish_rows": f"""SELECT {G}, CAST(NULL AS VARCHAR) AS tab, kind, CAST(NULL AS VARCHAR) AS reason, n FROM (UNPIVOT (SELECT {G}, calls, elig FROM envelope) ON calls, elig INTO NAME kind VALUE n) u
+        UNION ALL SELECT {G}, tab, kind, NULL, n FROM (UNPIVOT (SELECT {G}, tab, rx, cv FROM cells) ON rx, cv INTO NAME kind VALUE n) u
+        UNION ALL SELECT {G}, tab, kind, reason, n FROM reason_count WHERE kind IN ('nc', 'nr')
+        UNION ALL SELECT {", ".join("r." + g for g in GRAIN)}, NULL, 'ne', r.reason, r.n FROM reason_count r JOIN envelope e
+          ON {" AND ".join(f"e.{g} IS NOT DISTINCT FROM r.{g}" for g in GRAIN)} AND e.ne_tab = r.tab WHERE r.kind = 'ne'""",
+    "publish_er": f"""SELECT {G}, CASE WHEN m IN ('calls', 'elig') THEN NULL ELSE split_part(m, '_', 1) END AS comp,
+          CASE WHEN m IN ('calls', 'elig') THEN m ELSE substr(m, strpos(m, '_') + 1) END AS measure, CAST(NULL AS VARCHAR) AS reason, n
+        FROM (UNPIVOT funnel_cell ON COLUMNS(* EXCLUDE ({G})) INTO NAME m VALUE n) u
+        UNION ALL SELECT {G}, comp, 'nr', reason, n FROM funnel_reason""",
+    "publish_doc": """SELECT section, count(*) AS n, count(*) - 1 AS n_commas, CAST(sum(v) AS BIGINT) AS total FROM (
+          SELECT 'weeks' AS section, ix AS v FROM week_ix UNION ALL SELECT 'providers', ix FROM provider_pos UNION ALL SELECT 'reasons', ix FROM reason_pos
+          UNION ALL SELECT 'rows', calls FROM envelope UNION ALL SELECT 'er', calls FROM funnel_cell) q GROUP BY section""",
+    "run_stamp": f"SELECT {_ts_s('max(start_time)')} AS as_of, strftime(max(start_time) + {SHIFT}, '%d %b %Y, %H:%M IST') AS updated FROM dims",
+    "protect_roundtrip": "SELECT * FROM cells",
+    "unique_keys_audit": " UNION ALL ".join([
+        *[_audit(n, f"(SELECT encounter_id FROM flagged WHERE list_contains(flags, '{f}')) r", "encounter_id") for n, f in (
+            ("drug_rollup", "d"), ("lab_rollup", "l"), ("therapy_rollup", "t"), ("invoice_flags", "i"), ("recommendation_flags", "g"))],
+        _audit("reason_pivot", f"({_REASON_ROWS}) r", "encounter_id"), _audit("optout_pivot", f"({_OPTOUT_ROWS}) r", "encounter_id"),
+        _audit("calls", "calls", "appt_id"), _audit("latest_diagnosis", "diag", "patient_id")]),
 }
 
 
