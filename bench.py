@@ -34,10 +34,9 @@ def main() -> None:
     spark = build_session(f"local[{CPUS}]", shuffle_partitions=int(CPUS),
                           extra={"spark.ui.showConsoleProgress": "false",
                                  "spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
-    from callfunnel.config import FunnelConfig
     from callfunnel.plans import queries as Q
-    from callfunnel.plans.refresh import check_totals, publish, refresh
-    from callfunnel.sources.adapters import adapter_tables
+    from callfunnel.plans.refresh import publish, refresh
+    from callfunnel.sources.adapters import ADAPTER_CONFIG, adapter_tables
 
     # warm the JVM (class loading, codegen caches) on the smallest input; not timed
     run_noop(Q.QUERIES["weekly_metrics"](spark, "/root/testdata/sf0.001"))
@@ -46,9 +45,9 @@ def main() -> None:
     times = {}
     t0 = time.time()
     t = adapter_tables(spark, SF_DIR)
-    out = refresh(spark, t, FunnelConfig())
-    check_totals(out)
+    out = refresh(spark, t, ADAPTER_CONFIG)
     publish(spark, out, os.path.join(scratch, "out"), Q.run_stamp(Q.ctx(spark, SF_DIR)).select("updated"))
+    out.release()
     times["refresh"] = round(time.time() - t0, 3)
 
     for name in HEADLINE:

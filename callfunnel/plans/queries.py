@@ -7,7 +7,7 @@ straight on `documents` and `events`. Every query reads whole tables.
 
 from __future__ import annotations
 
-import datetime as dt
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,9 +26,10 @@ from callfunnel.operators import funnel as FN
 from callfunnel.operators import rollups as R
 from callfunnel.operators import status as S
 from callfunnel.sources import publish as P
-from callfunnel.sources.adapters import adapter_tables, read_driver
+from callfunnel.session import materialize
+from callfunnel.sources.adapters import ADAPTER_CONFIG, adapter_tables, read_driver
+from callfunnel.sources.fixture_text import PROBES
 
-CFG = FunnelConfig()
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
 TS_FMT_US = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -40,7 +41,7 @@ def ts_str(c, fmt: str = TS_FMT):
 class Ctx:
     """Lazily built DataFrames of one (session, sf_dir) pair."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, cfg: FunnelConfig = CFG):
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: FunnelConfig = ADAPTER_CONFIG):
         self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
         self.t = adapter_tables(spark, sf_dir)
         self._memo = {}
@@ -90,7 +91,7 @@ _CTX: dict = {}
 
 
 def ctx(spark: SparkSession, sf_dir: str) -> Ctx:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CTX:
         _CTX.clear()
         _CTX[key] = Ctx(spark, sf_dir)
@@ -108,19 +109,24 @@ def q(fn: Callable[[Ctx], DataFrame]) -> Callable[[SparkSession, str], DataFrame
 # ---------------------------------------------------------------- generic: ladders on documents
 def _ladder_on_documents(ladder: L.Ladder):
     def f(c: Ctx) -> DataFrame:
+        # every document's whole text, and beside it a short answer: one of the ladder's probes by id,
+        # which between them hold every alternative pattern of every rung
+        probes = F.expr("array(" + ", ".join("CAST(NULL AS STRING)" if p is None else L.spark_str(p) for p in PROBES[ladder.name]) + ")")
+        answer = F.get(probes, F.pmod("doc_id", F.lit(len(PROBES[ladder.name]))).cast("int"))
+        texts = F.array(F.struct(F.lit("document").alias("part"), F.col("text").alias("text")),
+                        F.struct(F.lit("answer").alias("part"), answer.alias("text")))
         # lower(text) is projected once and shared by every rung of the ladder
-        d = c.driver("documents").select("doc_id", "text", F.lower(F.col("text")).alias("_lv"))
-        return d.select("doc_id", L.ladder_column(ladder, "text", "_lv").alias("label"))
+        d = (c.driver("documents").select("doc_id", F.explode(texts).alias("_t"))
+             .select("doc_id", "_t.part", "_t.text", F.lower("_t.text").alias("_lv")))
+        return d.select("doc_id", "part", L.ladder_column(ladder, "text", "_lv").alias("label"))
     f.__name__ = f"ladder_{ladder.name}"
     return f
 
 
 def pred_ilike(c: Ctx) -> DataFrame:
-    d = c.driver("documents")
-    low = F.lower(F.col("text"))
-    return d.select("doc_id", flag(low.contains("later")).alias("has_later"),
-                    flag(low.like("%don%want%")).alias("has_dont_want"),
-                    flag(F.col("text").ilike("%the clinic%")).alias("has_clinic"))
+    d = c.driver("documents").select("doc_id", F.lower("text").alias("_lv"))
+    tests = {"has_later": "later", "has_the": "the ", "has_dont_want": "don%want", "has_on_the": "on%the"}
+    return d.select("doc_id", *[flag(L.has_pattern(p, "_lv")).alias(name) for name, p in tests.items()])
 
 
 def week_bucket(c: Ctx) -> DataFrame:
@@ -251,7 +257,7 @@ def status_long(c: Ctx) -> DataFrame:
 
 def _tab(tab: str):
     def f(c: Ctx) -> DataFrame:
-        return c.tabs.filter(F.col("tab") == tab).drop("tab")
+        return S.tab_grain(c.calls_dx, tab)
     f.__name__ = f"tab_{tab}"
     return f
 
@@ -306,7 +312,7 @@ def dim_weeks(c: Ctx) -> DataFrame:
 
 
 def dim_providers(c: Ctx) -> DataFrame:
-    return E.dim_positions(c.cells, "provider_name", "provider_ix")
+    return E.spread_positions(c.cells, "provider_name", "provider_ix")
 
 
 def dim_ctype(c: Ctx) -> DataFrame:
@@ -326,19 +332,36 @@ def reasons_ranked(c: Ctx) -> DataFrame:
 
 
 def _encoded(c: Ctx):
-    return c.memo("encoded", lambda: P.encode_outputs(c.tabs, c.funnel))
+    def build():
+        # the call table once, then the grains and cells from it, as a refresh does
+        calls = materialize(c.calls_dx, "calls")
+        cells = materialize(CE.grain_cells(tabs := S.tabs_grain(calls)), "cells")
+        reasons = materialize(CE.grain_reason_counts(tabs), "reasons")
+        return P.encode_outputs(cells, reasons, materialize(FN.funnel_grain(calls), "funnel"))
+    return c.memo("encoded", build)
 
 
 def publish_rows(c: Ctx) -> DataFrame:
-    return _encoded(c).rows
+    """The published rows, decoded: wk, provider_name, ctype, diag, tab, kind, reason, n."""
+    return P.decode_rows(_encoded(c))
 
 
 def publish_er(c: Ctx) -> DataFrame:
-    return _encoded(c).er
+    """The published funnel rows, decoded: wk, provider_name, ctype, diag, comp, measure, reason, n."""
+    return P.decode_er(_encoded(c))
 
 
 def publish_doc(c: Ctx) -> DataFrame:
-    return P.document_lines(_encoded(c), updated=run_stamp(c).select("updated"))
+    """The document's lines by section: how many, how many open with a comma, and the elements' sum of calls or positions."""
+    lines = P.document_lines(_encoded(c), updated=run_stamp(c).select("updated"))
+    element = F.when(F.col("line").startswith(","), F.substr("line", F.lit(2))).otherwise(F.col("line"))
+    calls = F.get_json_object(element, "$[4]").cast("bigint")
+    body = F.col("section").isin(P.SECTIONS.index("rows"), P.SECTIONS.index("er"))
+    names = F.array(*[F.lit(s) for s in P.SECTIONS])
+    return (lines.filter("part = 1").select(
+        F.get(names, F.col("section")).alias("section"), F.when(F.col("line").startswith(","), 1).otherwise(0).alias("comma"),
+        F.when(body, calls).otherwise(F.col("wk_ix")).alias("v"))
+        .groupBy("section").agg(F.count(F.lit(1)).alias("n"), F.sum("comma").alias("n_commas"), F.sum("v").alias("total")))
 
 
 def run_stamp(c: Ctx) -> DataFrame:
@@ -350,7 +373,8 @@ def run_stamp(c: Ctx) -> DataFrame:
 
 
 def protect_roundtrip(c: Ctx) -> DataFrame:
-    return P.protect_roundtrip(c.cells, P.derive_key(P.secret_from_env()))
+    # a round trip keeps nothing, so a secret of its own will do
+    return P.protect_roundtrip(c.cells, P.derive_key(secrets.token_urlsafe(24)))
 
 
 def unique_keys_audit(c: Ctx) -> DataFrame:

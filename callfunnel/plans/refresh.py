@@ -4,12 +4,12 @@ The analysed pipeline sends the same 13-table CTE chain to the warehouse four
 times (three tabs + the funnel). Here the call table is built once, written as
 Parquet under the session's checkpoint directory (a shared folder on a cluster)
 and read back: lineage is cut, a lost executor only recomputes from that table,
-and the four outputs scan a narrow columnar table with pruning.
+and the outputs scan a narrow columnar table with pruning. The two grains and
+the cells, which several outputs read, are written the same way.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,19 +19,11 @@ from callfunnel.operators import calls as C
 from callfunnel.operators import cells as CE
 from callfunnel.operators import funnel as FN
 from callfunnel.operators import status as S
-from callfunnel.session import ensure_checkpoint_dir
+from callfunnel.session import discard, materialize
 from callfunnel.sources import publish as P
 from callfunnel.sources.tables import Tables
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as Parquet in the checkpoint dir and return a scan of it."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/callfunnel/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 @dataclass
 class RefreshOutputs:
     calls: DataFrame
@@ -51,25 +43,21 @@ class RefreshOutputs:
                 "rows": self.encoded.rows, "er": self.encoded.er, "dim_weeks": self.encoded.weeks,
                 "dim_providers": self.encoded.providers, "reasons": self.encoded.reasons}
 
+    def release(self) -> None:
+        """Delete the intermediate tables, once the outputs are published or no longer needed."""
+        discard(self.calls, self.tabs, self.funnel, self.cells, self.reasons)
+
 
-def refresh(spark: SparkSession, t: Tables, cfg: FunnelConfig | None = None,
-            materialize_calls: bool = True) -> RefreshOutputs:
-    cfg = cfg or FunnelConfig()
-    calls = C.calls_with_diagnosis(t, cfg)
-    if materialize_calls:
-        calls = materialize(spark, calls, "calls")
-    tabs = S.tabs_grain(calls)
-    funnel = FN.funnel_grain(calls)
-    # both grains are small (cells x reasons); keep them for the several folds below
-    tabs = tabs.persist()
-    funnel = funnel.persist()
-    # cells and reason counts feed the envelope, metrics and encodings: compute once
-    cells = CE.grain_cells(tabs).persist()
-    reasons = CE.grain_reason_counts(tabs).persist()
+def refresh(spark: SparkSession, t: Tables, cfg: FunnelConfig) -> RefreshOutputs:
+    calls = materialize(C.calls_with_diagnosis(t, cfg), "calls")
+    tabs = materialize(S.tabs_grain(calls), "tabs")
+    funnel = materialize(FN.funnel_grain(calls), "funnel")
+    cells = materialize(CE.grain_cells(tabs), "cells")
+    reasons = materialize(CE.grain_reason_counts(tabs), "reasons")
     return RefreshOutputs(
         calls=calls, tabs=tabs, funnel=funnel, cells=cells, reasons=reasons,
         envelope=CE.cell_envelope(cells), totals=CE.reconcile_totals(tabs),
-        metrics=CE.weekly_metrics(cells), encoded=P.encode_outputs(tabs, funnel))
+        metrics=CE.weekly_metrics(cells), encoded=P.encode_outputs(cells, reasons, funnel))
 
 
 def check_totals(out: RefreshOutputs) -> str:
@@ -80,16 +68,23 @@ def check_totals(out: RefreshOutputs) -> str:
     return row.status
 
 
-def publish(spark: SparkSession, out: RefreshOutputs, out_root: str, updated: DataFrame) -> None:
+def publish(spark: SparkSession, out: RefreshOutputs, out_root: str, updated: DataFrame,
+            prefix: str = P.DOC_PREFIX, secret: str | None = None) -> None:
     """Write the normalized tables, then the page document built from the written tables.
 
-    The document reads back `rows`, `er` and the dimension tables instead of
-    recomputing the encodings, so each output is computed exactly once.
+    Nothing is written if the tabs' totals drift apart. With a `secret` the document
+    is written encrypted instead of plain. It reads back `rows`, `er` and the
+    dimension tables, so each output is computed exactly once.
     """
+    check_totals(out)
     root = out_root.rstrip("/")
     P.write_tables(out.tables(), f"{root}/tables",
                    partition_by={"grain_cells": "wk", "grain_reason_counts": "wk"})
     rd = lambda name: spark.read.parquet(f"{root}/tables/{name}")
     written = P.Encoded(rows=rd("rows"), er=rd("er"), weeks=rd("dim_weeks"), providers=rd("dim_providers"),
                         reasons=rd("reasons"))
-    P.write_document(P.document_lines(written, updated), f"{root}/document")
+    lines = P.document_lines(written, updated, prefix)
+    if secret:
+        P.write_protected(lines, f"{root}/protected", secret)
+    else:
+        P.write_document(lines, f"{root}/document")
