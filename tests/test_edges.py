@@ -169,3 +169,27 @@ def test_skew_free_rewrite_matches_literal_join_order(spark):
     got = sorted(tuple(x) for x in calls.select("appt_id", "meds_rx", "opt_drug", "opt_enc", "tests_norx").collect())
     assert got == want
     assert dict((r[0], r[2]) for r in got)[1] == "Budget / price"
+
+
+def test_call_keys_group_repeated_dimension_and_appointment_rows(spark):
+    """The call table has the rows of GROUP BY the five call keys, whatever is listed twice."""
+    calls, t = calls_of(
+        spark, appointments=[appt(1), appt(1), appt(2), appt(2, patient=5)], encounters=[enc(10, 1), enc(20, 2)],
+        providers=[(1, "Dr A"), (1, "Dr A"), (1, "Dr Other")], call_types=[*TYPES, TYPES[0]],
+        drug_orders_src=[(10, 500, "Essentials", TS, None)])
+    got = sorted(tuple(r) for r in calls.select(*C.CALL_KEYS, "meds_rx").collect())
+    wk = "2026-03-02"
+    assert got == sorted((a, p, wk, n, "Offline SC", rx) for a, p, rx in ((1, 1, 1), (2, 1, 0), (2, 5, 0)) for n in ("Dr A", "Dr Other"))
+
+
+def test_a_hot_patient_and_calls_without_one(spark):
+    calls, _ = calls_of(spark, appointments=[appt(i, patient=None if i % 3 else 7) for i in range(1, 61)],
+                        encounters=[enc(1000, None, patient=7, typ="Merged-RX"), enc(1001, None, patient=None, typ="Merged-RX")],
+                        form_answers=[(1000, "Diagnosis", "GUI", TS, None), (1001, "Diagnosis", "GUI", TS, None)])
+    got = {r.appt_id: r.diag for r in calls.collect()}
+    assert got == {i: "Others" if i % 3 else "STI" for i in range(1, 61)}
+
+
+def test_an_item_listed_many_times_on_an_invoice(spark):
+    t = tables(spark, invoices=[(1, 10, "paid", TS, None)], invoice_items=[(1, "drug", 500, None)] * 50 + [(None, "drug", 500, None)] * 50)
+    assert [tuple(r) for r in R.paid_items(t.invoices, t.invoice_items, CFG).collect()] == [(10, "drug", 500)]

@@ -2,25 +2,26 @@
 
 import json
 import os
-import re
 import tempfile
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from callfunnel.config import FunnelConfig
+from callfunnel.operators import cells as CE
+from callfunnel.operators import encode as E
 from callfunnel.operators import funnel as FN
 from callfunnel.plans import queries as Q
 from callfunnel.plans.refresh import check_totals, publish, refresh
 from callfunnel.sources import publish as P
-from callfunnel.sources.adapters import adapter_tables
+from callfunnel.sources.adapters import ADAPTER_CONFIG, adapter_tables
 
 SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
 def out(spark):
-    return refresh(spark, adapter_tables(spark, SF), FunnelConfig())
+    return refresh(spark, adapter_tables(spark, SF), ADAPTER_CONFIG)
 
 
 def test_funnel_identities(out):
@@ -46,45 +47,121 @@ def test_totals_reconcile(out):
 def test_partition_count_does_not_change_results(spark, out):
     spark.conf.set("spark.sql.shuffle.partitions", "3")
     try:
-        other = refresh(spark, adapter_tables(spark, SF), FunnelConfig(), materialize_calls=False)
+        other = refresh(spark, adapter_tables(spark, SF), ADAPTER_CONFIG)
         assert sorted(other.cells.collect()) == sorted(out.cells.collect())
+        assert sorted(other.encoded.providers.collect()) == sorted(out.encoded.providers.collect())
+        other.release()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
-def test_document_decodes_to_cells(spark, out):
+def _document(d: str) -> dict:
+    parts = sorted(p for p in os.listdir(d) if p.startswith("part-"))
+    text = "".join(open(f"{d}/{p}").read() for p in parts)
+    assert text.startswith("window.X = ") and text.rstrip().endswith("};")
+    return json.loads(text.strip()[len("window.X = "):-1])
+
+
+@pytest.fixture(scope="module")
+def updated(spark):
+    return spark.createDataFrame([("01 Mar 2026, 10:00 IST",)], "updated string")
+
+
+def test_document_is_json_and_decodes_to_cells(spark, out, updated):
     d = tempfile.mkdtemp(prefix="callfunnel-doc-")
-    updated = spark.createDataFrame([("01 Mar 2026, 10:00 IST",)], "updated string")
-    publish(spark, out, d, updated)
-    parts = sorted(p for p in os.listdir(f"{d}/document") if p.startswith("part-"))
-    text = "".join(open(f"{d}/document/{p}").read() for p in parts)
-    assert text.startswith(P.DOC_PREFIX) and text.rstrip().endswith("};")
-    body = text.strip()[len(P.DOC_PREFIX):-1]
-    doc = json.loads(re.sub(r",\s*\]", "]", body))       # array elements carry trailing commas
+    publish(spark, out, d, updated, prefix="window.X = ")
+    doc = _document(f"{d}/document")
     assert doc["updated"] == "01 Mar 2026, 10:00 IST"
     assert len(doc["rows"]) == out.envelope.count()
-    calls = sum(r[4] for r in doc["rows"])
-    assert calls == out.calls.count()
+    assert sum(r[4] for r in doc["rows"]) == out.calls.count()
     assert doc["ctypes"] == ["Offline SC", "Online SC", "FU", "PQ", "RR"]
+    assert doc["providers"] == sorted(doc["providers"]) and doc["weeks"] == sorted(doc["weeks"])
     # every reason id decodes, and nc counts match the cells
     reasons = doc["reasons"]
     nc_doc = sum(n for r in doc["rows"] for tab in r[7:10] for _, n in tab[2])
     assert nc_doc == out.cells.agg(F.sum("nc")).first()[0]
     assert all(0 <= ix < len(reasons) for r in doc["rows"] for tab in r[7:10] for ix, _ in tab[2] + tab[3])
     assert len(doc["er"]) == out.funnel.select("wk", "provider_name", "ctype", "diag").distinct().count()
+    keys = [tuple(r[:4]) for r in doc["rows"]]
+    assert keys == sorted(keys) and len(set(keys)) == len(keys)
+
+
+def test_cells_without_a_provider_name_are_published(spark, updated):
+    tabs = spark.createDataFrame(
+        [("2026-03-02", p, "FU", "Others", e, None if e else "why", t, s, n) for t in ("meds", "tests", "therapy")
+         for p, e, s, n in ((None, 1, "cv", 2), ("Dr A", 1, "nc:Budget / price", 3), (None, 0, "nr:x", 1))],
+        "wk string, provider_name string, ctype string, diag string, elig int, ne_reason string, tab string, status string, n long")
+    measures = ", ".join(f"{m} long" for m in FN.MEASURE_NAMES)
+    funnel = spark.createDataFrame([("2026-03-02", p, "FU", "Others", "x", None, None, n, n, *[n] * 39) for p, n in ((None, 3), ("Dr A", 3))],
+                                   "wk string, provider_name string, ctype string, diag string, m_nr string, t_nr string, th_nr string, n long, elig long, " + measures)
+    cells, reasons = CE.grain_cells(tabs), CE.grain_reason_counts(tabs)
+    enc = P.encode_outputs(cells, reasons, funnel)
+    assert enc.rows.count() == enc.er.count() == 2
+    got = {(r.provider_name, r.tab, r.kind, r.reason): r.n for r in P.decode_rows(enc).collect()}
+    assert got[(None, None, "calls", None)] == 3 and got[(None, None, "ne", "why")] == 1 and got[("Dr A", "meds", "nc", "Budget / price")] == 3
+    assert {(r.provider_name, r.reason): r.n for r in P.decode_er(enc).filter("measure = 'nr'").collect()} == {(None, "x"): 3, ("Dr A", "x"): 3}
+    d = tempfile.mkdtemp(prefix="callfunnel-doc-")
+    P.write_document(P.document_lines(enc, updated, "window.X = "), f"{d}/doc")
+    assert _document(f"{d}/doc")["providers"] == [None, "Dr A"]
+
+
+def test_drift_stops_publishing(spark, out, updated):
+    d = tempfile.mkdtemp(prefix="callfunnel-doc-")
+    bad = replace(out, totals=CE.reconcile_totals(out.tabs.filter("tab <> 'meds' OR elig = 1")))
+    with pytest.raises(AssertionError, match="totals differ"):
+        publish(spark, bad, d, updated)
+    assert os.listdir(d) == []
+
+
+def test_unknown_dimension_value_stops_encoding(spark):
+    with pytest.raises(Exception, match="unknown ctype"):
+        E.fixed_positions(spark.createDataFrame([("Walk-in",)], "ctype string"), "ctype", ("FU",), "ctype_ix").collect()
+
+
+def test_positions_over_many_partitions(spark):
+    names = [None, *(f"Dr {i % 700:04d}" for i in range(3000))]
+    df = spark.createDataFrame([(n,) for n in names], "provider_name string")
+    got = {r.provider_name: r.provider_ix for r in E.spread_positions(df, "provider_name", "provider_ix").collect()}
+    want = [None, *sorted({n for n in names if n})]
+    assert got == {n: i for i, n in enumerate(want)}
+
+
+def test_protected_document_opens_with_the_secret_alone(spark, out, updated):
+    d = tempfile.mkdtemp(prefix="callfunnel-doc-")
+    publish(spark, out, d, updated, prefix="window.X = ", secret="a test secret")
+    assert not os.path.exists(f"{d}/document")
+    payload = "".join(open(f"{d}/protected/payload/{p}").read() for p in os.listdir(f"{d}/protected/payload") if p.startswith("part-"))
+    assert "Dr" not in payload[:20] and "window" not in payload
+    text = "".join(r.line for r in P.read_protected(spark, f"{d}/protected", "a test secret").collect())
+    assert len(json.loads(text[len("window.X = "):-1])["rows"]) == out.envelope.count()
+    with pytest.raises(Exception):
+        P.read_protected(spark, f"{d}/protected", "another secret").collect()
 
 
 def test_protect_roundtrip_hides_and_restores(spark, out):
     key = P.derive_key("a test secret", salt=b"0123456789abcdef", iterations=1000)
     enc = P.protect(out.cells, key[0])
     assert "calls" not in enc.first().payload
+    plan = enc._jdf.queryExecution().toString()
+    assert "[_id" in plan and str(list(key[0])[:4])[1:-1] not in plan and key[0].hex().upper() not in plan.upper()
     back = P.unprotect(enc, key[0], out.cells.schema)
     assert sorted(back.collect()) == sorted(out.cells.collect())
 
 
+def test_no_secret_no_protection(monkeypatch):
+    monkeypatch.delenv("CALLFUNNEL_SECRET", raising=False)
+    with pytest.raises(ValueError, match="CALLFUNNEL_SECRET"):
+        P.secret_from_env()
+
+
+def test_the_oracle_imports_nothing_from_the_package():
+    source = open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "oracle_sql.py")).read()
+    assert "from callfunnel" not in source and "import callfunnel" not in source
+
+
 def test_oracle_gate(spark):
     from oracle_compare import compare
-    res = compare(spark, SF, verbose=False)
+    res = compare(spark, SF, names=list(Q.QUERIES), verbose=False)
     bad = {k: v for k, v in res.items() if not (v == "OK" or v.startswith("rows-only"))}
     assert not bad, bad
     assert len(res) == len(Q.QUERIES)

@@ -4,9 +4,8 @@ import tempfile
 
 import pytest
 
-from callfunnel.config import FunnelConfig
 from callfunnel.operators import calls as C
-from callfunnel.sources.adapters import adapter_tables
+from callfunnel.sources.adapters import ADAPTER_CONFIG, adapter_tables
 from callfunnel.sources.tables import read_tables
 
 SF = "/root/testdata/sf0.001"
@@ -26,7 +25,7 @@ def _plan(df) -> str:
 
 def test_filters_reach_the_scan(spark, written):
     t = read_tables(spark, written)
-    calls = C.calls_with_diagnosis(t, FunnelConfig())
+    calls = C.calls_with_diagnosis(t, ADAPTER_CONFIG)
     plan = _plan(calls)
     # soft-delete and cushion-date filters are pushed into the Parquet scans
     assert "IsNull(deleted_at), GreaterThanOrEqual(created_at,1995-06-01T00:00)" in plan
@@ -41,7 +40,56 @@ def test_filters_reach_the_scan(spark, written):
 
 
 def test_parquet_path_equals_adapter_path(spark, written):
-    cfg = FunnelConfig()
+    cfg = ADAPTER_CONFIG
     a = C.calls_with_diagnosis(read_tables(spark, written), cfg)
     b = C.calls_with_diagnosis(adapter_tables(spark, SF), cfg)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_call_table_does_without_item_level_payments(spark, written):
+    """No paid-item join reaches the call table: invoices are read for the invoice flags only."""
+    plan = _plan(C.calls_with_diagnosis(read_tables(spark, written), ADAPTER_CONFIG))
+    assert plan.count("/invoices") == plan.count("/invoice_items") == 1
+
+
+def test_tab_queries_do_not_explode_and_a_patientless_call_skips_the_join(spark, written):
+    from callfunnel.operators import status as S
+    calls = C.calls_with_diagnosis(read_tables(spark, written), ADAPTER_CONFIG)
+    assert "Generate" not in _plan(S.tab_grain(calls, "meds"))
+    assert "[_key#" in _plan(calls)
+
+
+def test_jdbc_reader_casts_to_the_contract(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from callfunnel.sources.schema import SCHEMAS
+    from callfunnel.sources.tables import read_jdbc_tables
+    asked = []
+
+    def jdbc(self, url, table, properties):
+        asked.append((url, table, properties))
+        name = table.split(".")[1]
+        return spark.range(2).select(*[F.lit(None).cast("string").alias(f.name) for f in reversed(SCHEMAS[name].fields)], F.lit(1).alias("extra"))
+
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameReader.jdbc", jdbc)
+    t = read_jdbc_tables(spark, "jdbc:x", {n: f"shop.{n}" for n in SCHEMAS}, {"user": "u"})
+    assert sorted(a[1] for a in asked) == sorted(f"shop.{n}" for n in SCHEMAS)
+    for name, df in t.as_dict().items():
+        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in SCHEMAS[name]]
+
+
+def test_a_cluster_without_a_checkpoint_dir_is_refused(spark, monkeypatch):
+    from callfunnel import session
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
