@@ -3,36 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
 class FunnelConfig:
     # first tracked week, compared in local (shifted) time
-    appt_start: dt.date = dt.date(1995, 7, 3)
+    appt_start: dt.date
     # cushion for order / invoice / answer / encounter scans, compared in raw UTC
-    sub_start: dt.date = dt.date(1995, 6, 1)
+    sub_start: dt.date
     # location ids that make a screening call "online"
-    online_locations: tuple = (0, 1, 2, 3, 4)
+    online_locations: tuple
     # consultation id of the therapy product
-    therapy_id: object = 1
+    therapy_id: object
     # local time = stored UTC time + this shift
     shift_hours: int = 5
     shift_minutes: int = 30
-    # size bound (rows) under which a dimension side is broadcast
-    broadcast_max_rows: int = 2_000_000
-    extra: dict = field(default_factory=dict)
-
-    @property
-    def shift_sql(self) -> str:
-        return f"INTERVAL '{self.shift_hours}:{self.shift_minutes:02d}' HOUR TO MINUTE"
-
-    @property
-    def appt_start_utc(self) -> dt.datetime:
-        """Raw-time lower bound equivalent to `start_time + shift >= appt_start`."""
-        return (dt.datetime.combine(self.appt_start, dt.time())
-                - dt.timedelta(hours=self.shift_hours, minutes=self.shift_minutes))
-
-    @property
-    def sub_start_ts(self) -> dt.datetime:
-        return dt.datetime.combine(self.sub_start, dt.time())

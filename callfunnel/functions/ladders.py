@@ -1,8 +1,7 @@
 """Ordered rule ladders over free text: first matching rung wins.
 
 A ladder is data (rungs of conditions and labels). `ladder_column` turns it into
-one `CASE WHEN` Column evaluated inside whole-stage codegen; `ladder_sql` renders
-the same ladder as SQL text (used by the DuckDB oracle). No UDF anywhere.
+one `CASE WHEN` Column evaluated inside whole-stage codegen. No UDF anywhere.
 
 Matching is case-insensitive substring search. The text is lower-cased once per
 row and every rung tests the lowered copy, so a 15-rung ladder costs one
@@ -257,47 +256,18 @@ def _ladder_expr(ladder: Ladder, text: str, lowered: str | None, label_sql) -> C
 
 
 # ---------------------------------------------------------------- Spark side
-def _cond_col(cond, raw: Column, low: Column) -> Column:
-    if isinstance(cond, Has):
-        parts = [low.like(f"%{n}%") if "%" in n else low.contains(n) for n in cond.needles]
-    elif isinstance(cond, Trimmed):
-        return F.lower(F.trim(raw)).isin(*cond.values)
-    elif isinstance(cond, TrimmedPrefix):
-        t = F.lower(F.trim(raw))
-        parts = [t.startswith(p) for p in cond.prefixes]
-    elif isinstance(cond, ShortTrimmed):
-        return F.length(F.trim(raw)) <= cond.n
-    elif isinstance(cond, IsNull):
-        return raw.isNull()
-    elif isinstance(cond, AnyOf):
-        parts = [_cond_col(p, raw, low) for p in cond.parts]
-    elif isinstance(cond, AllOf):
-        out = None
-        for p in cond.parts:
-            c = _cond_col(p, raw, low)
-            out = c if out is None else (out & c)
-        return out
-    else:
-        raise TypeError(f"unknown rule condition {cond!r}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out | p
-    return out
-
-
-def ladder_column(ladder: Ladder, text, lowered=None) -> Column:
-    """One CASE WHEN column for `ladder` over the string column `text`.
-
-    Pass `lowered` (a column already holding lower(text)) to share one
+def ladder_column(ladder: Ladder, text: str, lowered: str | None = None) -> Column:
+    """One CASE WHEN column for `ladder` over the string column named `text`.
+
+    Pass `lowered` (the name of a column holding lower(text)) to share one
     lower-casing between several ladders over the same text.
     """
-    raw = F.col(text) if isinstance(text, str) else text
-    low = F.lower(raw) if lowered is None else (F.col(lowered) if isinstance(lowered, str) else lowered)
-    out = None
-    for cond, label in ladder.rungs:
-        c = _cond_col(cond, raw, low)
-        out = F.when(c, F.lit(label)) if out is None else out.when(c, F.lit(label))
-    return out.otherwise(F.lit(ladder.otherwise))
+    return _ladder_expr(ladder, text, lowered, spark_str)
+
+
+def has_pattern(pattern: str, lowered: str) -> Column:
+    """Whether the lower-case column holds `pattern` (`a%b`: an `a` and, after it, a `b`)."""
+    return F.expr(_needle_spark(pattern.lower(), _ident(lowered)))
 
 
 def call_type_column(type_name, location, online_locations) -> Column:
@@ -311,34 +281,6 @@ def call_type_column(type_name, location, online_locations) -> Column:
             .otherwise("RR"))
 
 
-# ---------------------------------------------------------------- SQL side (oracle)
-def sql_str(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-def _cond_sql(cond, x: str) -> str:
-    if isinstance(cond, Has):
-        return "(" + " OR ".join(f"{x} ILIKE {sql_str('%' + n + '%')}" for n in cond.needles) + ")"
-    if isinstance(cond, Trimmed):
-        return f"lower(trim({x})) IN (" + ", ".join(sql_str(v) for v in cond.values) + ")"
-    if isinstance(cond, TrimmedPrefix):
-        return "(" + " OR ".join(f"lower(trim({x})) LIKE {sql_str(p + '%')}" for p in cond.prefixes) + ")"
-    if isinstance(cond, ShortTrimmed):
-        return f"length(trim({x})) <= {cond.n}"
-    if isinstance(cond, IsNull):
-        return f"{x} IS NULL"
-    if isinstance(cond, AnyOf):
-        return "(" + " OR ".join(_cond_sql(p, x) for p in cond.parts) + ")"
-    if isinstance(cond, AllOf):
-        return "(" + " AND ".join(_cond_sql(p, x) for p in cond.parts) + ")"
-    raise TypeError(f"unknown rule condition {cond!r}")
-
-
-def ladder_sql(ladder: Ladder, x: str) -> str:
-    whens = " ".join(f"WHEN {_cond_sql(c, x)} THEN {sql_str(label)}" for c, label in ladder.rungs)
-    return f"CASE {whens} ELSE {sql_str(ladder.otherwise)} END"
-
-
 # ---------------------------------------------------------------- integer-coded labels
 def label_codes(ladder: Ladder) -> tuple:
     """All labels of a ladder in byte order; a label's code is its position.
@@ -351,18 +293,10 @@ def label_codes(ladder: Ladder) -> tuple:
     return tuple(sorted(labels, key=lambda s: s.encode("utf-8")))
 
 
-def ladder_code_column(ladder: Ladder, text, lowered=None) -> Column:
+def ladder_code_column(ladder: Ladder, text: str, lowered: str | None = None) -> Column:
     """Like `ladder_column`, but yields the label's integer code."""
     codes = {label: i for i, label in enumerate(label_codes(ladder))}
-    if isinstance(text, str) and (lowered is None or isinstance(lowered, str)):
-        return _ladder_expr(ladder, text, lowered, lambda label: str(codes[label]))
-    raw = F.col(text) if isinstance(text, str) else text
-    low = F.lower(raw) if lowered is None else (F.col(lowered) if isinstance(lowered, str) else lowered)
-    out = None
-    for cond, label in ladder.rungs:
-        c = _cond_col(cond, raw, low)
-        out = F.when(c, F.lit(codes[label])) if out is None else out.when(c, F.lit(codes[label]))
-    return out.otherwise(F.lit(codes[ladder.otherwise]))
+    return _ladder_expr(ladder, text, lowered, lambda label: str(codes[label]))
 
 
 def decode_label(ladder: Ladder, code) -> Column:

@@ -27,10 +27,6 @@ def local_since(df: DataFrame, start: dt.date, col: str = "start_time",
     return df.filter(F.col(col) >= ntz_literal(bound))
 
 
-def member(col: str, values) -> Column:
-    return F.col(col).isin(*list(values))
-
-
 def flag(cond: Column) -> Column:
     """0/1 integer flag; a NULL condition gives 0 (CASE WHEN semantics)."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))

@@ -5,19 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callfunnel.operators.status import CONVERTED, GRAIN, NOT_CONVERTED, TABS
+from callfunnel.operators.status import GRAIN, TABS, outcome_kind
 
 TAB_ORDER = {t: i for i, t in enumerate(TABS)}
 
 
-def _kind(status: Column, elig: Column) -> Column:
-    return (F.when(elig == 0, F.lit("ne")).when(status == CONVERTED, F.lit("cv"))
-            .when(status.startswith(NOT_CONVERTED), F.lit("nc")).otherwise(F.lit("nr")))
-
-
 def grain_cells(tabs: DataFrame) -> DataFrame:
     """Per cell and tab: calls, elig, rx, cv, nc, nr, ne (all counts)."""
-    k = _kind(F.col("status"), F.col("elig"))
+    k = outcome_kind(F.col("status"), F.col("elig"))
 
     def count_of(kind: str) -> Column:
         return F.sum(F.when(k == kind, F.col("n")).otherwise(F.lit(0))).alias(kind)
@@ -32,18 +27,12 @@ def grain_cells(tabs: DataFrame) -> DataFrame:
 
 def grain_reason_counts(tabs: DataFrame) -> DataFrame:
     """Per cell, tab and kind (nc / nr / ne): reason -> count (flat form of the maps)."""
-    k = _kind(F.col("status"), F.col("elig"))
-    reason = F.when(k == "ne", F.col("ne_reason")).otherwise(F.substring(F.col("status"), 4, 1 << 20))
+    k = outcome_kind(F.col("status"), F.col("elig"))
+    reason = F.when(k == "ne", F.col("ne_reason")).otherwise(F.substr(F.col("status"), F.lit(4)))
     x = tabs.select(*GRAIN, "tab", k.alias("kind"), reason.alias("reason"), "n").filter(F.col("kind") != "cv")
     return x.groupBy(*GRAIN, "tab", "kind", "reason").agg(F.sum("n").alias("n"))
 
 
-def reason_maps(reasons: DataFrame) -> DataFrame:
-    """Map form: one row per cell, tab and kind with `counts: map<reason, n>`."""
-    return (reasons.groupBy(*GRAIN, "tab", "kind")
-            .agg(F.map_from_entries(F.collect_list(F.struct("reason", "n"))).alias("counts")))
-
-
 def cell_envelope(cells: DataFrame) -> DataFrame:
     """Cross-tab view per cell: calls and elig = max over tabs; `ne_tab` = the tab whose
     not-eligible breakdown is kept (largest total, ties to the earlier tab in

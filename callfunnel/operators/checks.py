@@ -22,8 +22,3 @@ def unique_keys_audit(relations: dict) -> DataFrame:
         out = a if out is None else out.unionByName(a)
     return out
 
-
-def assert_unique(df: DataFrame, key: str, name: str) -> None:
-    row = key_audit(df, key, name).first()
-    if row.dup_keys:
-        raise AssertionError(f"{name}: {row.dup_keys} duplicate {key} values")

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from callfunnel.config import FunnelConfig
 from callfunnel.functions import ladders as L
 from callfunnel.functions.predicates import flag, live, since
-from callfunnel.operators.joins import sized
 
 ENC = "encounter_id"
 RECOMMENDED = "Recommended"       # FIXED VALUE: the lower importance tier
@@ -33,10 +32,15 @@ def is_ess(tier: str = "importance_level") -> Column:
 # ---------------------------------------------------------------- paid items
 def paid_items(invoices: DataFrame, items: DataFrame, cfg: FunnelConfig,
                item_types=("drug", "lab")) -> DataFrame:
-    """DISTINCT (encounter_id, type, type_id) over live paid invoices' live items."""
+    """DISTINCT (encounter_id, type, type_id) over live paid invoices' live items.
+
+    Items are folded per (invoice, type, item) before the join, so an invoice that
+    lists an item very often brings one row.
+    """
     inv = (since(live(invoices), cfg.sub_start).filter(F.col("status") == "paid")
            .select(F.col("id").alias("_inv"), F.col(ENC)))
-    it = live(items).filter(F.col("type").isin(*item_types)).select("invoice_id", "type", "type_id")
+    it = (live(items).filter(F.col("type").isin(*item_types) & F.col("invoice_id").isNotNull())
+          .select("invoice_id", "type", "type_id").distinct())
     return (it.join(inv, it.invoice_id == inv._inv, "inner")
             .select(ENC, "type", "type_id").dropDuplicates([ENC, "type", "type_id"]))
 
@@ -59,8 +63,7 @@ def item_order_rollup(orders: DataFrame, item_col: str, paid: DataFrame | None,
         F.count(F.lit(1)).alias("_n"))
     if inventory is not None:
         inv = inventory.select(F.col("id").alias("_drug"), F.col("is_verified").alias("_verified"))
-        per_item = per_item.join(sized(inv, cfg.broadcast_max_rows),
-                                 per_item[item_col] == F.col("_drug"), "left")
+        per_item = per_item.join(inv, per_item[item_col] == F.col("_drug"), "left")
     if paid is not None:
         p = paid.select(F.col(ENC).alias("_penc"), F.col("type_id").alias("_pitem"), F.lit(1).alias("_paid"))
         per_item = per_item.join(p, (per_item[ENC] == p._penc) & (per_item[item_col] == p._pitem), "left")
@@ -81,18 +84,14 @@ def item_order_rollup(orders: DataFrame, item_col: str, paid: DataFrame | None,
     return per_item.groupBy(ENC).agg(*aggs)
 
 
-def drug_rollup(drug_orders: DataFrame, inventory: DataFrame, invoices: DataFrame, items: DataFrame,
-                cfg: FunnelConfig, paid: DataFrame | None = None) -> DataFrame:
-    """encounter_id, all_svc, has_rec, has_ess, rec_paid, ess_paid."""
-    paid = paid if paid is not None else paid_items(invoices, items, cfg)
+def drug_rollup(drug_orders: DataFrame, inventory: DataFrame, paid: DataFrame, cfg: FunnelConfig) -> DataFrame:
+    """encounter_id, all_svc, has_rec, has_ess, rec_paid, ess_paid; `paid` from `paid_items`."""
     return item_order_rollup(drug_orders, "drug_id", paid.filter(F.col("type") == "drug"), cfg,
                              inventory=inventory)
 
 
-def lab_rollup(lab_orders: DataFrame, invoices: DataFrame, items: DataFrame, cfg: FunnelConfig,
-               paid: DataFrame | None = None) -> DataFrame:
-    """encounter_id, n, has_rec, has_ess, rec_paid, ess_paid."""
-    paid = paid if paid is not None else paid_items(invoices, items, cfg)
+def lab_rollup(lab_orders: DataFrame, paid: DataFrame, cfg: FunnelConfig) -> DataFrame:
+    """encounter_id, n, has_rec, has_ess, rec_paid, ess_paid; `paid` from `paid_items`."""
     return item_order_rollup(lab_orders, "lab_test_id", paid.filter(F.col("type") == "lab"), cfg, count_col="n")
 
 

@@ -86,7 +86,7 @@ def status_long(calls: DataFrame, keep=("appt_id",)) -> DataFrame:
     st = F.col("_s.status")
     kind = outcome_kind(st, F.col("elig"))
     reason = (F.when(kind == "ne", F.col("ne_reason"))
-              .when(kind.isin("nc", "nr"), F.substring(st, 4, 1 << 20)))
+              .when(kind.isin("nc", "nr"), F.substr(st, F.lit(4))))
     return x.select(*keep, "elig", "ne_reason", F.col("_s.tab").alias("tab"), st.alias("status"),
                     kind.alias("kind"), reason.alias("reason"))
 

@@ -7,10 +7,13 @@ rules are stated in FIXTURES.md §2; `oracle_sql.py` holds the same views in SQL
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from callfunnel.config import FunnelConfig
 from callfunnel.functions.ladders import spark_str
 from callfunnel.sources.fixture_text import CALL_TYPES, PHRASES, TITLES
 from callfunnel.sources.tables import Tables
@@ -19,6 +22,11 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# the run parameters that fit the driver tables' dates and keys
+ADAPTER_CONFIG = FunnelConfig(appt_start=dt.date(1995, 7, 3), sub_start=dt.date(1995, 6, 1),
+                              online_locations=(0, 1, 2, 3, 4), therapy_id=1)
+
+
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -71,7 +79,7 @@ def adapter_tables(spark: SparkSession, sf_dir: str) -> Tables:
         .select(
             F.col("o_orderkey").alias("id"),
             F.col("o_custkey").alias("patient_id"),
-            (F.col("o_custkey") % 10).alias("provider_id"),
+            F.expr("o_custkey DIV 15").alias("provider_id"),
             F.substring("o_orderpriority", 1, 1).cast("bigint").alias("type_id"),
             F.col("c_nationkey").cast("bigint").alias("location_id"),
             F.when(F.col("o_orderstatus") == "F", "COMPLETED").when(F.col("o_orderstatus") == "O", "RECONSULTED")
