@@ -80,7 +80,7 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
         "doc_id", F.when(whole_digest != "", F.sha2(whole_digest, 256)).alias("digest"),
         F.array_sort(F.array_distinct(F.transform(
             F.array_intersect(lines, digests), lambda d: F.get(names, F.array_position(digests, d).cast("int") - 1)))).alias("notices"))
-    return (found.join(listed, F.col("digest") == F.col("known"), "left")
+    return (found.join(F.broadcast(listed), F.col("digest") == F.col("known"), "left")
             .select("doc_id", "digest", "license", "notices"))
 
 

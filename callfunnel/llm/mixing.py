@@ -104,8 +104,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     if len(sizes) > MAX_SOURCES:
         raise ValueError(f"over {MAX_SOURCES} sources")
     sizes.sort(key=lambda x: (x[0] is not None, x[0]))
-    plan = docs.sparkSession.createDataFrame([(p.source, p.n_blocks, p.epochs, p.rest) for p in plans(sizes, **targets)],
-                                             "p_source string, n_blocks int, epochs long, rest long")
+    plan = F.broadcast(docs.sparkSession.createDataFrame(  # at most MAX_SOURCES rows
+        [(p.source, p.n_blocks, p.epochs, p.rest) for p in plans(sizes, **targets)],
+                                             "p_source string, n_blocks int, epochs long, rest long"))
     same = F.col("_source").eqNullSafe(F.col("p_source"))
     block = F.pmod(number(seed, "block", F.col("_h")), F.col("n_blocks")).cast("int")
     name = F.coalesce(F.concat(F.lit("="), F.col("_source")), F.lit("-"))
