@@ -16,7 +16,6 @@ and text are not read. Patterns run in time linear in the text, and windows don'
 
 from __future__ import annotations
 
-import hashlib
 import random
 import re
 
