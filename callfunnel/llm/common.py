@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -13,7 +15,22 @@ from pyspark.sql import functions as F
 WHITE = "\t\n\x0b\x0c\r"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand the package to the executors, once a session, in case it isn't installed there."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        _SHIPPED.add(app)
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="ship-"), os.path.basename(package)), "zip",
+                                   os.path.dirname(package), os.path.basename(package))
+        spark.sparkContext.addPyFile(made)  # served by the driver
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -2,24 +2,29 @@
 
 A text's set is its distinct word shingles (A-Z lower-cased; a text with fewer words is one
 shingle; without words the set is empty and links with nothing). Texts with equal sets form one
-class, known by a 128-bit digest, so copies cost one row from there on.
+class, so copies cost one row from there on.
 
-Each class has `TREES * DEPTH` MinHash values. Tree t reads them from value t * DEPTH on, so every
-tree is another sorted order of the same signatures. Two classes with similarity 0.8 share the
-first DEPTH values of some tree with probability 1 - (1 - 0.8 ** 6) ** 40 = 0.999995.
+A tree is a sorted order of the classes by `depth` and more MinHash values; every tree starts at
+another value of the signature. `forest` chooses the least depth from the number of documents, so
+that unlike texts seldom agree on it, and as many trees as make classes with similarity 0.8 agree
+on the first `depth` values of some tree with probability 0.999997 or more.
 
 1. Forest neighbours: for some trees the labels are range-sorted over the cluster and each class is
-   paired with the next one if their common prefix is at least DEPTH long. How deep that prefix goes
-   adapts to the region: sorting puts the deepest match next, however crowded the region is.
+   paired with the next one if their common prefix is at least `depth` long. How deep that prefix
+   goes adapts to the region: sorting puts the deepest match next, however crowded the region is.
    Large groups of near copies become connected this way with a linear number of pairs.
-2. Regions: for every tree, regions (equal first DEPTH values) whose classes are not yet in one
-   component are searched again: members outside the region's main component against all members
-   of other components. No pairs inside a component are formed, so nothing is quadratic in a group.
+2. Regions: for every tree, regions (equal first `depth` values) whose classes are not yet in one
+   component are searched again: members outside the region's main component against each other,
+   and against that component's members, in blocks of bounded size. Blocks give out links only, no
+   pairs, and stop at the first link between two components.
 
-Candidates must pass a size test (exact) and a one-bit sketch test that rejects a true link with
-probability under 1e-7; the rest are confirmed on whole sets. Components come from alternating
+Links are confirmed on whole sets; neighbours must first pass a size test (exact) and a one-bit
+sketch test that rejects a true link with probability under 1e-7. Components come from alternating
 star contraction, on the cluster, one written table per round.
 
+Classes are known by 64 bits of a digest of their set: two unlike texts among n are taken for
+copies with probability under n * n / 2 ** 65.
+
 Null text counts as empty. A row with a null id takes its class's component but never gives the
 id; a class of null ids only has a null component, and its rows are kept. Repeated rows are in one
 class; rows that share an id but not a text stay apart. Extra columns are not read.
@@ -28,28 +33,39 @@ class; rows that share an id but not a text stay apart. Extra columns are not re
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
+import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callfunnel.llm.common import drop_stored, stored
 
-TREES, DEPTH = 40, 6
-SORTED_TREES = 8
-TAIL = 8  # further values that order a region in the sorted trees
-HASHES = TREES * DEPTH
-SKETCH_BITS_APART = 56  # of HASHES; at similarity 0.8 the mean is 24, the deviation 4.6
+SORTED_TREES = 6
+TAIL = 6  # further values that order a region in the sorted trees
+MISSED = 3e-6  # share of links at similarity 0.8 that no tree may show
+BITS = 256  # of the sketch: one of each of as many MinHash values
+BITS_APART = 60  # at similarity 0.8 the mean is 25.6, the deviation 4.8
+BLOCK = 256  # classes of a block in the second search
 KNOWN_WORDS = 300_000  # memory bound of the word-hash memo; it is emptied when full
 
-_rng = np.random.default_rng(20240229)
-MULTIPLY = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint64) * 2 + 1).astype(np.uint32)[:, None]
-ADD = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)[:, None]
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+SKETCH = ("b1", "b2", "b3", "b4")
+
+
+def forest(n_docs: int) -> tuple[int, int]:
+    """(trees, depth): one more value for each factor of about thirty in the number of documents."""
+    depth = min(8, max(4, math.ceil(math.log10(max(n_docs, 1)) / 1.5)))
+    return math.ceil(math.log(MISSED) / math.log(1 - 0.8 ** depth)), depth
+
+
+def hash_functions(count: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(20240229)
+    multiply = (rng.integers(0, 1 << 31, count, dtype=np.uint64) * 2 + 1).astype(np.uint32)[:, None]
+    return multiply, rng.integers(0, 1 << 32, count, dtype=np.uint64).astype(np.uint32)[:, None]
 
 
 class _Hashes(dict):
@@ -75,25 +91,27 @@ def shingle_set(text: str | None, known: dict, size: int = 2) -> np.ndarray:
     return np.unique(mixed)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, functions: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """MinHash values of a non-empty set; very long sets are taken in blocks."""
-    best = np.full(HASHES, 0xFFFFFFFF, np.uint32)
+    multiply, add = functions
+    best = np.full(len(multiply), 0xFFFFFFFF, np.uint32)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(x), 2048):
-        np.minimum(best, (x[None, at:at + 2048] * MULTIPLY + ADD).min(axis=1), out=best)
+        np.minimum(best, (x[None, at:at + 2048] * multiply + add).min(axis=1), out=best)
     return best
 
 
-def _digest(shingles: np.ndarray) -> bytes:
-    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+def _name(shingles: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def features(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id, n (set size), node (digest of the set), sig, b1..b4 (one bit of each value)."""
+def features(docs: DataFrame, id_col: str, text_col: str, shingle: int, values: int) -> DataFrame:
+    """doc_id, n (set size), node (name of the set), sig (its first `values` MinHash values), b1..b4 (the sketch)."""
     kind = docs.schema[id_col].dataType.simpleString()
+    count = max(values, BITS)
 
     def run(batches):
-        known = _Hashes()
+        known, functions = _Hashes(), hash_functions(count)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -101,71 +119,64 @@ def features(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataF
                 for text in part.column(1).to_pylist():
                     s = shingle_set(text, known, shingle)
                     n.append(len(s))
-                    node.append(_digest(s) if len(s) else None)
-                    sigs.append(signature(s) if len(s) else np.zeros(HASHES, np.uint32))
+                    node.append(_name(s) if len(s) else None)
+                    sigs.append(signature(s, functions) if len(s) else np.zeros(count, np.uint32))
                 sig = np.array(sigs)
-                bits = np.zeros((len(sig), 256), np.uint8)
-                bits[:, :HASHES] = sig & 1
-                sketch = np.packbits(bits, axis=1).view(np.int64)
-                offsets = np.arange(0, (len(sig) + 1) * HASHES, HASHES, dtype=np.int32)
+                sketch = np.packbits((sig[:, :BITS] & 1).astype(np.uint8), axis=1).view(np.int64)
+                sig = np.ascontiguousarray(sig[:, :values])
+                offsets = np.arange(0, (len(sig) + 1) * values, values, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()),
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig.view(np.int32).ravel())),
                      *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(4))],
-                    ["doc_id", "n", "node", "sig", "b1", "b2", "b3", "b4"])
+                    ["doc_id", "n", "node", "sig", *SKETCH])
 
     return (docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-            .mapInArrow(run, f"doc_id {kind}, n long, node binary, sig array<int>, b1 long, b2 long, b3 long, b4 long"))
+            .mapInArrow(run, f"doc_id {kind}, n long, node long, sig array<int>, b1 long, b2 long, b3 long, b4 long"))
 
 
-def forest_neighbours(classes: DataFrame, trees: int = SORTED_TREES) -> DataFrame:
-    """Pairs (a, b) of classes next to each other in a sorted tree, at least DEPTH values alike."""
-    labels = (classes.select("node", "n", "sig", "b1", "b2", "b3", "b4", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-              .select("tree", F.expr(f"slice(sig, tree * {DEPTH} + 1, {DEPTH})").alias("head"),
-                      F.expr(f"slice(sig, tree * {DEPTH} + {DEPTH} + 1, {TAIL})").alias("tail"),
-                      "node", "n", "b1", "b2", "b3", "b4"))
+def forest_neighbours(classes: DataFrame, depth: int) -> DataFrame:
+    """Pairs (a, b) of classes next to each other in a sorted tree, at least `depth` values alike."""
+    size = F.size("sig")
+    at = lambda k: F.element_at("sig", ((F.col("tree") * depth + k) % size + 1).cast("int"))
+    trees = F.explode(F.sequence(F.lit(0), F.lit(SORTED_TREES - 1)))
+    labels = (classes.select("node", "n", "sig", *SKETCH, trees.alias("tree"))
+              .select("tree", F.array(*[at(k) for k in range(depth)]).alias("head"),
+                      F.array(*[at(depth + k) for k in range(TAIL)]).alias("tail"), "node", "n", *SKETCH))
     order = ["tree", "head", "tail", "node"]
-    layout = "a binary, b binary, tree int, head array<int>, tail array<int>, node binary, n long, b1 long, b2 long, b3 long, b4 long"
-    names = ["tree", "head", "tail", "node", "n", "b1", "b2", "b3", "b4"]
+    names = ["tree", "head", "tail", "node", "n", *SKETCH]
+    layout = "a long, b long, tree int, head array<int>, tail array<int>, node long, n long, b1 long, b2 long, b3 long, b4 long"
 
     def run(batches):
         """Pairs inside the partition; its first and last row, for the pairs across partitions."""
         last = None
-        TaskContext.get()
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = pa.Table.from_batches([batch]).select(names)
             if last is None:
-                yield from edge_rows(rows.slice(0, 1))
+                yield from padded(rows.slice(0, 1))
             else:
                 rows = pa.concat_tables([last, rows])
             n = rows.num_rows
-            head = np.column_stack([rows["tree"].to_numpy(), rows["head"].combine_chunks().flatten().to_numpy().reshape(n, DEPTH)])
-            same = (head[1:] == head[:-1]).all(axis=1)
-            at = np.flatnonzero(same)
-            if len(at):
-                size = rows["n"].to_numpy()
-                low, high = np.minimum(size[at], size[at + 1]), np.maximum(size[at], size[at + 1])
-                apart = sum(np.bitwise_count(rows[b].to_numpy()[at] ^ rows[b].to_numpy()[at + 1]).astype(np.int64) for b in ("b1", "b2", "b3", "b4"))
-                at = at[(100 * low >= 80 * high) & (apart <= SKETCH_BITS_APART)]
-            if len(at):
-                node = rows["node"].combine_chunks()
-                pairs = pa.table({"a": node.take(pa.array(at)), "b": node.take(pa.array(at + 1))})
-                yield from padded(pairs)
+            head = np.column_stack([rows["tree"].to_numpy(), rows["head"].combine_chunks().flatten().to_numpy().reshape(n, depth)])
+            found = np.flatnonzero((head[1:] == head[:-1]).all(axis=1))
+            if len(found):
+                found = found[_alike(*[(rows["n"].to_numpy()[found + k], np.column_stack([rows[b].to_numpy()[found + k] for b in SKETCH])) for k in (0, 1)])]
+            if len(found):
+                node = rows["node"].to_numpy()
+                yield from padded(pa.table({"a": node[found], "b": node[found + 1]}))
             last = rows.slice(n - 1, 1)
         if last is not None:
-            yield from edge_rows(last)
+            yield from padded(last)
 
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("tree", pa.int32()), ("head", pa.list_(pa.int32())), ("tail", pa.list_(pa.int32())),
-                        ("node", pa.binary()), ("n", pa.int64()), ("b1", pa.int64()), ("b2", pa.int64()), ("b3", pa.int64()), ("b4", pa.int64())])
+    numbers = pa.list_(pa.int32())
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tree", pa.int32()), ("head", numbers), ("tail", numbers),
+                        ("node", pa.int64()), ("n", pa.int64()), *((b, pa.int64()) for b in SKETCH)])
 
     def padded(t: pa.Table):
         return pa.table([t[f.name].cast(f.type) if f.name in t.column_names else pa.nulls(t.num_rows, f.type) for f in schema], schema=schema).combine_chunks().to_batches()
 
-    def edge_rows(t: pa.Table):
-        return padded(t)
-
     found = stored(labels.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, layout), "forest")
     inside = found.filter("a IS NOT NULL").select("a", "b")
     edges = found.filter("node IS NOT NULL").select(*names).dropDuplicates(["tree", "node"])  # two rows a partition
@@ -176,34 +187,45 @@ def forest_neighbours(classes: DataFrame, trees: int = SORTED_TREES) -> DataFram
     return _ordered(inside.unionByName(across))
 
 
+def _alike(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Whether sizes and sketches leave a similarity of 0.8 possible."""
+    low, high = np.minimum(x[0], y[0]), np.maximum(x[0], y[0])
+    apart = np.bitwise_count((x[1] ^ y[1]).view(np.uint64)).astype(np.int64).sum(axis=-1)  # of signed numbers it would count the magnitude
+    return (100 * low >= 80 * high) & (apart <= BITS_APART)
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def region_pairs(classes: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a region of some tree and are in different components."""
-    heads = F.array(*[F.xxhash64(F.lit(t), F.expr(f"slice(sig, {t * DEPTH + 1}, {DEPTH})")) for t in range(TREES)])
-    rows = (classes.select("node", F.explode(heads).alias("region")).join(components, "node", "left")
-            .select("region", "node", F.coalesce("component", "node").alias("component")))
-    mixed = (rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .filter("lo <> hi").select("region"))
-    members = stored(rows.join(mixed, "region", "left_semi"), "regions")
-    sizes = members.groupBy("region", "component").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("region").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
-    facts = classes.select("node", "n", "b1", "b2", "b3", "b4")
-    members = stored(members.join(main, "region").join(facts, "node"), "members")
-    x, y = members.filter("component <> main").alias("x"), members.alias("y")
-    apart = reduce(lambda p, q: p + q, (F.expr(f"bit_count(x.{b} ^ y.{b})") for b in ("b1", "b2", "b3", "b4")))
-    close = ((F.col("x.region") == F.col("y.region")) & (F.col("x.component") != F.col("y.component"))
-             & (100 * F.least("x.n", "y.n") >= 80 * F.greatest("x.n", "y.n")) & (apart <= SKETCH_BITS_APART))
-    return _ordered(x.join(y, close).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
-
-
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int,
-              percent: int) -> DataFrame:
-    """The pairs whose whole sets have 100 * intersection >= percent * union."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = stored(classes.select("node", "rep").join(nodes, "node", "left_semi"), "wanted")
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(x) + len(y) - len(np.union1d(x, y))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+class _Overlaps:
+    """A block of sets by element, so that one set is compared with all of them at once."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(s) for s in sets])
+        every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), self.size)
+        order = np.argsort(every, kind="stable")
+        self.owner = owner[order]
+        self.element, first = np.unique(every[order], return_index=True)
+        self.start = np.append(first, len(every))
+
+    def linked(self, mine: np.ndarray, percent: int) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.element, mine), len(self.element) - 1)
+        at = at[self.element[at] == mine]
+        start, count = self.start[at], self.start[at + 1] - self.start[at]
+        places = np.arange(count.sum()) + np.repeat(start - (np.cumsum(count) - count), count)
+        both = np.bincount(self.owner[places], minlength=len(self.size))
+        return 100 * both >= percent * (len(mine) + self.size - both)
+
+
+def whole_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(node, members): the sets of the nodes, as 64-bit hashes, made again from one text of each class."""
+    wanted = stored(classes.select("node", "rep").join(nodes.select("node").distinct(), "node", "left_semi"), "wanted")
     texts = docs.select(docs[id_col].alias("rep"), docs[text_col].alias("text")).join(
         wanted.select("rep").distinct(), "rep", "left_semi")
 
@@ -211,28 +233,104 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
         known = _Hashes()
         for batch in batches:
             got = [shingle_set(t, known, shingle) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_digest(s) for s in got], pa.binary()),
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_name(s) for s in got], pa.int64()),
                                               pa.array([s.tobytes() for s in got], pa.binary())], ["rep", "node", "members"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    found = (texts.mapInArrow(sets, f"rep {kind}, node binary, members binary").join(wanted, ["rep", "node"], "left_semi")
+    found = (texts.mapInArrow(sets, f"rep {kind}, node long, members binary").join(wanted, ["rep", "node"], "left_semi")
              .dropDuplicates(["node"]))
-    found = stored(found.select("node", "members"), "sets")
+    out = stored(found.select("node", "members"), "sets")
+    drop_stored(docs.sparkSession, wanted)
+    return out
 
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sets have 100 * intersection >= percent * union."""
     def check(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(p) + len(q) - len(np.union1d(p, q))
-                keep.append(100 * both >= percent * (len(p) + len(q) - both))
+            keep = [_linked(*(np.frombuffer(v.as_buffer(), np.uint64) for v in p), percent) for p in zip(batch.column(2), batch.column(3))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    with_sets = (pairs.join(found.select(F.col("node").alias("a"), F.col("members").alias("sa")), "a")
-                 .join(found.select(F.col("node").alias("b"), F.col("members").alias("sb")), "b").select("a", "b", "sa", "sb"))
-    out = stored(with_sets.mapInArrow(check, "a binary, b binary"), "links")
-    drop_stored(docs.sparkSession, wanted, found)
-    return out
+    with_sets = (pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("sa")), "a")
+                 .join(sets.select(F.col("node").alias("b"), F.col("members").alias("sb")), "b").select("a", "b", "sa", "sb"))
+    return with_sets.mapInArrow(check, "a long, b long")
+
+
+def region_links(classes: DataFrame, components: DataFrame, trees: int, depth: int, percent: int, sets_of) -> DataFrame:
+    """Links (a, b) between different components among the classes that share a region of some tree."""
+    part = classes.select("node").join(components, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    part = stored(part, "parts")
+    heads = F.array(*[F.xxhash64(F.lit(t), F.slice("sig", t * depth + 1, depth)) for t in range(trees)])
+    rows = classes.select("node", "sig").join(part, "node").select(F.explode(heads).alias("region"), "node", "component")
+    mixed = stored(rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                   .filter("lo <> hi").select("region"), "mixed")
+    members = stored(rows.join(mixed, "region", "left_semi"), "members")
+    main = (members.groupBy("region", "component").agg(F.count("*").alias("size"))
+            .groupBy("region").agg(F.max_by("component", F.struct("size", "component")).alias("main")))
+    minors = stored(members.join(main, "region").filter("component <> main"), "minors")
+    asked = stored(minors.select("node", F.col("component").alias("own"), F.col("main").alias("group")).distinct(), "asked")
+    held = part.join(asked.select(F.col("group").alias("component")).distinct(), "component", "left_semi").select("node", F.col("component").alias("group"))
+    held = stored(held, "held")
+    sets = sets_of(held.select("node").unionByName(minors.select("node")))
+
+    # minors against the members of their regions' main components
+    sizes = held.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    probes = asked.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("probe_blocks"))
+    shape = stored(sizes.join(probes, "group"), "shape")
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    single = ((F.col("blocks") == 1) & (F.col("probe_blocks") == 1)).alias("small")
+    left = asked.join(shape, "group").select("group", block("probe_blocks").alias("i"), every("blocks").alias("j"), "node", "own", single)
+    right = (held.join(shape, "group").withColumn("j", block("blocks"))
+             .select("group", every("probe_blocks").alias("i"), "j", "node", F.col("group").alias("own"), single))
+    # minors of a region against each other
+    sizes = (minors.groupBy("region").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .filter("lo <> hi").select(F.col("region").alias("group"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    own = (minors.select(F.col("region").alias("group"), "node", F.col("component").alias("own"))
+           .join(stored(sizes, "shape"), "group").withColumn("at", block("blocks")))
+    small = F.col("blocks") == 1
+    upper = own.select("group", F.col("at").alias("i"), F.explode(F.sequence(F.col("at"), F.col("blocks") - 1)).alias("j"), "node", "own", small.alias("small"))
+    lower = own.select("group", F.explode(F.sequence(F.lit(0), F.col("at"))).alias("i"), F.col("at").alias("j"), "node", "own", small.alias("small"))
+    # groups of one block share buckets of about BLOCK rows, as a task call for each would cost more than its work
+    buckets = max(1, (minors.count() + asked.count()) // BLOCK)
+    bucket = F.when(F.col("small"), F.pmod(F.xxhash64("kind", "group"), F.lit(buckets))).otherwise(F.xxhash64("kind", "group", "i", "j"))
+    tag = lambda df, kind: df.withColumn("kind", F.lit(kind))
+    left = tag(left, 0).unionByName(tag(upper, 1)).withColumn("bucket", bucket).join(sets, "node")
+    other = sets.select(*[F.col(c).alias(c) for c in sets.columns])  # columns of their own for the other side
+    right = tag(right, 0).unionByName(tag(lower, 1)).withColumn("bucket", bucket).join(other, "node")
+
+    def parts(rows: pd.DataFrame) -> dict:
+        out: dict[tuple, list[int]] = {}
+        for at, key in enumerate(zip(rows["kind"], rows["group"], rows["i"], rows["j"])):
+            out.setdefault(key, []).append(at)
+        return out
+
+    def search(_, asking: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        held_rows = parts(there)
+        for key, rows in parts(asking).items():
+            if key not in held_rows:
+                continue
+            one, two = asking.iloc[rows], there.iloc[held_rows[key]]
+            node, own, same = two["node"].to_numpy(), two["own"].to_numpy(), {}
+            shared = _Overlaps([np.frombuffer(m, np.uint64) for m in two["members"]])
+
+            def root(c, same=same):
+                while same.setdefault(c, c) != c:
+                    c = same[c]
+                return c
+
+            for mine, mine_own, members in zip(one["node"], one["own"], one["members"]):
+                for k in np.flatnonzero(shared.linked(np.frombuffer(members, np.uint64), percent) & (own != mine_own)):
+                    if root(mine_own) != root(own[k]):
+                        same[root(mine_own)] = root(own[k])
+                        a.append(mine)
+                        b.append(node[k])
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+    links = stored(left.groupBy("bucket").cogroup(right.groupBy("bucket")).applyInPandas(search, "a long, b long"), "links")
+    drop_stored(classes.sparkSession, part, mixed, members, minors, asked, held, shape, sets)
+    return links
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -266,21 +364,30 @@ def connected(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id)."""
-    rows = features(docs, id_col, text_col, shingle)
-    rows = stored(rows, "features")
+    spark = docs.sparkSession
+    trees, depth = forest(docs.count())
+    rows = stored(features(docs, id_col, text_col, shingle, trees * depth), "features")
     classes = stored(rows.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig"),
-        *[F.any_value(b).alias(b) for b in ("b1", "b2", "b3", "b4")]), "classes")
+        *[F.any_value(b).alias(b) for b in SKETCH]), "classes")
     usable = classes.filter("rep IS NOT NULL")
-    first = confirmed(forest_neighbours(usable), usable, docs, id_col, text_col, shingle, percent)
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        return whole_sets(nodes, usable, docs, id_col, text_col, shingle)
+
+    pairs = stored(forest_neighbours(usable, depth), "pairs")
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+    first = stored(confirmed(pairs, sets, percent), "links")
+    drop_stored(spark, sets, pairs)
     joined = stored(connected(first), "joined")
-    more = confirmed(region_pairs(usable, joined), usable, docs, id_col, text_col, shingle, percent)
+    more = region_links(usable, joined, trees, depth, percent, sets_of)
     final = stored(connected(joined.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
                              .unionByName(more)), "final")
     named = classes.select("node", "rep").join(final, "node", "left").select(
         "node", F.coalesce("component", "node").alias("component"), "rep")
     lowest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     ids = stored(named.join(lowest, "component").select("node", "component_id"), "ids")
+    drop_stored(spark, classes, first, more, joined, final)
     return (rows.select("doc_id", "n", "node").join(ids, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
