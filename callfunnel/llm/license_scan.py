@@ -6,19 +6,23 @@ have the same SHA-256, which is joined by hash to the digests of known licences.
 also close with a licence notice of one line, so each line's digest is looked up as well.
 
 Null and empty texts have no digest and match nothing. Repeated rows and ids keep their rows;
-columns other than id and text are not read. The known table is a parameter; it is refused above
-MAX_KNOWN rows, which bounds the array that the lines are looked up in.
+columns other than id and text are not read. The known table is a parameter of any size: digests of
+texts and lines are exploded and joined to it by hash, and only hits and one row per text go on.
+
+The registered query knows KNOWN and the texts in `licenses/` with their usual titles and endings;
+the SQL lists KNOWN only.
 """
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callfunnel.llm.common import whole
 
-MAX_KNOWN = 500
-
 #: Equivalent spellings (from, to), applied in this order to lower-case text.
 SPELLINGS = [("licence", "license"), ("sub-license", "sublicense"), ("non-commercial", "noncommercial"), ("merchantibility", "merchantability"),
              ("acknowledgement", "acknowledgment"), ("organisation", "organization"), ("authorised", "authorized"), ("favour", "favor"),
@@ -39,6 +43,39 @@ KNOWN = [
     ("all-rights-reserved", "All rights reserved."),
 ]
 
+#: Titles that stand above a text, which itself has none.
+TITLES = {"MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"], "ISC": ["ISC License", "The ISC License"],
+          "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License"],
+          "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License"], "Unlicense": ["The Unlicense", "Unlicense"]}
+
+#: Names of files that aren't the short name.
+NAMES = {"Artistic": "Artistic-1.0-Perl", **{f"{k}-{v}": f"{k}-{v}.0" for k, v in (("GPL", 1), ("GPL", 2), ("GPL", 3), ("LGPL", 2), ("LGPL", 3))}}
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(license, text) of whole licences: the files in `licenses/` and their variants."""
+    folder = os.path.join(os.path.dirname(os.path.abspath(__file__)), "licenses")
+    texts = {}
+    for name in sorted(os.listdir(folder)):
+        with open(os.path.join(folder, name), encoding="utf-8") as f:
+            texts[name.removesuffix(".txt")] = f.read()
+    regents = texts.pop("BSD")
+    owned = (regents.replace("Regents of the University of California", "copyright holder").replace("name of the University", "name of the copyright holder")
+             .replace("THE REGENTS AND CONTRIBUTORS", "THE COPYRIGHT HOLDERS AND CONTRIBUTORS").replace("THE REGENTS OR", "THE COPYRIGHT HOLDER OR"))
+    bodies = [(NAMES.get(k, k), t) for k, t in texts.items()]
+    for three in (regents, owned, owned.replace("the copyright holder nor", "the copyright holder nor\n   ").replace("its contributors", "its\n   contributors")):
+        two = re.sub(r"3\. Neither.*?permission\.\n", "", three, flags=re.S)
+        for name, text in (("BSD-3-Clause", three), ("BSD-2-Clause", two)):
+            for listed in (text, re.sub(r"(?m)^[123]\. ", "* ", text)):
+                bodies += [(name, listed), (name, listed.replace("All rights reserved.\n", ""))]
+    short = dict(KNOWN)
+    bodies += [("MIT", short["MIT"].removeprefix("MIT License ")), ("ISC", short["ISC"])]
+    for name, text in list(bodies):
+        end = re.search(r"END OF TERMS AND CONDITIONS", text)
+        if end:  # without the appendix on how to apply it
+            bodies += [(name, text[:end.end()]), (name, text[:end.start()])]
+    return bodies + [(name, f"{title}\n\n{text}") for name, text in bodies for title in TITLES.get(name, [])]
+
 
 def plain_lines(text: Column) -> Column:
     """The text in lower case with one spelling, without copyright lines and punctuation; lines stay lines."""
@@ -60,28 +97,26 @@ def squeezed(plain: Column) -> Column:
 
 def known_licenses(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
     """(license, digest) of texts; of licences with the same canonical form, the first name."""
-    rows = spark.createDataFrame(known or KNOWN, "license string, text string")
+    rows = spark.createDataFrame(known or KNOWN + full_texts(), "license string, text string")
     return (rows.select("license", F.sha2(canonical(F.col("text")), 256).alias("digest"))
             .groupBy("digest").agg(F.min("license").alias("license")))
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, digest (null without words), license of the whole text, licenses of whole lines (sorted, distinct)."""
-    rows = known.select("digest", "license").limit(MAX_KNOWN + 1).collect()
-    if len(rows) > MAX_KNOWN:
-        raise ValueError(f"over {MAX_KNOWN} known licences")
-    listed = docs.sparkSession.createDataFrame([(r["digest"], r["license"]) for r in rows], "known string, license string")
-    digests = F.array(*[F.lit(r["digest"]) for r in rows]).cast("array<string>")
-    names = F.array(*[F.lit(r["license"]) for r in rows]).cast("array<string>")
-    text = docs.select(docs[id_col].alias("doc_id"), plain_lines(whole(docs[text_col])).alias("plain"))
-    whole_digest = squeezed(F.col("plain"))
-    lines = F.transform(F.split("plain", "\n"), lambda x: F.sha2(squeezed(x), 256))
-    found = text.select(
-        "doc_id", F.when(whole_digest != "", F.sha2(whole_digest, 256)).alias("digest"),
-        F.array_sort(F.array_distinct(F.transform(
-            F.array_intersect(lines, digests), lambda d: F.get(names, F.array_position(digests, d).cast("int") - 1)))).alias("notices"))
-    return (found.join(F.broadcast(listed), F.col("digest") == F.col("known"), "left")
-            .select("doc_id", "digest", "license", "notices"))
+    listed = known.select(F.col("digest").alias("known"), "license")
+    text = docs.select(docs[id_col].alias("doc_id"), F.monotonically_increasing_id().alias("row"), plain_lines(whole(docs[text_col])).alias("plain"))
+    sha = lambda c: F.when(c != "", F.sha2(c, 256))
+    asked = lambda is_whole, d: F.struct(F.lit(is_whole).alias("is_whole"), d.alias("digest"))
+    lines = F.array_distinct(F.filter(F.transform(F.split("plain", "\n"), squeezed), lambda x: x != ""))
+    digests = (text.select("doc_id", "row", F.explode(F.concat(
+        F.array(asked(True, sha(squeezed(F.col("plain"))))), F.transform(lines, lambda x: asked(False, sha(x))))).alias("x"))
+        .select("doc_id", "row", "x.is_whole", "x.digest"))
+    hits = digests.join(listed, F.col("digest") == F.col("known"), "left").filter("is_whole OR license IS NOT NULL")
+    return hits.groupBy("row").agg(
+        F.any_value("doc_id").alias("doc_id"), F.max(F.when(F.col("is_whole"), F.col("digest"))).alias("digest"),
+        F.max(F.when(F.col("is_whole"), F.col("license"))).alias("license"),
+        F.array_sort(F.collect_set(F.when(~F.col("is_whole"), F.col("license")))).alias("notices")).drop("row")
 
 
 def license_report(spark: SparkSession, docs: DataFrame) -> DataFrame:

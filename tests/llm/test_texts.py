@@ -163,6 +163,26 @@ def test_licenses_are_found_in_any_spelling(spark):
     assert got[3] == got[4] == got[5] == (None, []) and got[6][0] is None
 
 
+def test_whole_licenses_are_known(spark):
+    import os
+    folder = os.path.join(os.path.dirname(license_scan.__file__), "licenses")
+    read = lambda name: open(os.path.join(folder, name), encoding="utf-8").read()
+    mit = dict(license_scan.KNOWN)["MIT"].removeprefix("MIT License ")
+    bsd = read("BSD.txt").replace("REGENTS AND", "COPYRIGHT HOLDERS AND").replace("REGENTS OR", "COPYRIGHT HOLDER OR").replace("the University nor", "the copyright holder nor")
+    want = {"Apache-2.0": read("Apache-2.0.txt"), "GPL-3.0": read("GPL-3.txt"), "GPL-2.0": read("GPL-2.txt"), "LGPL-2.1": read("LGPL-2.1.txt"),
+            "MPL-2.0": read("MPL-2.0.txt"), "CC0-1.0": read("CC0-1.0.txt"), "BSD-3-Clause": bsd, "MIT": mit, "Unlicense": read("Unlicense.txt")}
+    data = [(k, t) for k, t in want.items()] + [("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 X\n\n" + mit), ("Apache-2.0", read("Apache-2.0.txt").split("   APPENDIX")[0])]
+    out = license_scan.scan(spark.createDataFrame(data, "doc_id string, text string"), license_scan.known_licenses(spark)).collect()
+    assert len(out) == len(data) and all(r.license == r.doc_id for r in out)
+
+
+def test_many_known_licenses_are_joined(spark):
+    known = license_scan.known_licenses(spark, [(f"L{i:04}", f"terms number {i}") for i in range(1200)])
+    data = [(1, "Terms number 700"), (2, "x\nterms  number 3\nterms number 1100\nterms number 3"), (2, "x\nterms  number 3\nterms number 1100\nterms number 3"), (None, None)]
+    got = sorted(map(key, ((r.doc_id, r.license, list(r.notices)) for r in license_scan.scan(spark.createDataFrame(data, "doc_id int, text string"), known).collect())))
+    assert got == sorted(map(key, [(1, "L0700", ["L0700"]), *[(2, None, ["L0003", "L1100"])] * 2, (None, None, [])]))
+
+
 # ------------------------------------------------------------------ personal data
 def base_brute(text):
     out = []
