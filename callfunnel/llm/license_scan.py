@@ -9,6 +9,10 @@ Null and empty texts have no digest and match nothing. Repeated rows and ids kee
 columns other than id and text are not read. The known table is a parameter of any size: digests of
 texts and lines are exploded and joined to it by hash, and only hits and one row per text go on.
 
+A line that only begins with the word is no statement ("copyright notice and this permission
+notice ..." of a wrapped text), yet the SQL's canonical form, which `digest` gives, leaves it out.
+So a text is looked up by a second digest as well, that of a form which doesn't depend on wrapping.
+
 The registered query knows KNOWN and the texts in `licenses/` with their usual titles and endings;
 the SQL lists KNOWN only.
 """
@@ -77,12 +81,20 @@ def full_texts() -> list[tuple[str, str]]:
     return bodies + [(name, f"{title}\n\n{text}") for name, text in bodies for title in TITLES.get(name, [])]
 
 
+#: Lines left out of `digest`, and those among them that state a copyright (a sign or a year follows).
+BEGINS = r"(^|\n)[ \t]*(copyright|\(c\)|©)"
+STATES = BEGINS + r"[ \t:,]*([0-9]{4}|\(c\)|©|[\[<{](year|yyyy)[\]>}])"
+
+
+def spelled(text: Column) -> Column:
+    for old, new in SPELLINGS:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def plain_lines(text: Column) -> Column:
     """The text in lower case with one spelling, without copyright lines and punctuation; lines stay lines."""
-    out = F.lower(text)
-    for old, new in SPELLINGS:
-        out = F.replace(out, F.lit(old), F.lit(new))
-    out = F.regexp_replace(out, r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*", "\n")
+    out = F.regexp_replace(spelled(F.lower(text)), BEGINS + r"[^\n]*", "\n")
     return F.regexp_replace(out, r"[\p{P}\p{S}]", " ")
 
 
@@ -91,32 +103,41 @@ def canonical(text: Column) -> Column:
     return squeezed(plain_lines(text))
 
 
+def unwrapped(text: Column) -> Column:
+    """The form that doesn't depend on where lines break: only statements of a copyright go, and spellings may span lines."""
+    out = squeezed(F.regexp_replace(F.lower(text), STATES + r"[^\n]*", "\n"))
+    return squeezed(F.regexp_replace(spelled(out), r"[\p{P}\p{S}]", " "))
+
+
 def squeezed(plain: Column) -> Column:
     return F.trim(F.regexp_replace(plain, "[ \t\n\x0b\x0c\r]+", " "))
 
 
 def known_licenses(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(license, digest) of texts; of licences with the same canonical form, the first name."""
+    """(license, digest) of texts, two digests where the forms differ; of licences with the same form, the first name."""
     rows = spark.createDataFrame(known or KNOWN + full_texts(), "license string, text string")
-    return (rows.select("license", F.sha2(canonical(F.col("text")), 256).alias("digest"))
-            .groupBy("digest").agg(F.min("license").alias("license")))
+    forms = F.array(canonical(F.col("text")), unwrapped(F.col("text")))
+    return (rows.select("license", F.explode(F.array_distinct(forms)).alias("form")).filter("form <> ''")
+            .select("license", F.sha2("form", 256).alias("digest")).groupBy("digest").agg(F.min("license").alias("license")))
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, digest (null without words), license of the whole text, licenses of whole lines (sorted, distinct)."""
     listed = known.select(F.col("digest").alias("known"), "license")
-    text = docs.select(docs[id_col].alias("doc_id"), F.monotonically_increasing_id().alias("row"), plain_lines(whole(docs[text_col])).alias("plain"))
+    raw = whole(docs[text_col])
+    text = docs.select(docs[id_col].alias("doc_id"), F.monotonically_increasing_id().alias("row"), plain_lines(raw).alias("plain"), unwrapped(raw).alias("other"))
     sha = lambda c: F.when(c != "", F.sha2(c, 256))
-    asked = lambda is_whole, d: F.struct(F.lit(is_whole).alias("is_whole"), d.alias("digest"))
+    asked = lambda what, d: F.struct(F.lit(what).alias("what"), d.alias("digest"))
     lines = F.array_distinct(F.filter(F.transform(F.split("plain", "\n"), squeezed), lambda x: x != ""))
     digests = (text.select("doc_id", "row", F.explode(F.concat(
-        F.array(asked(True, sha(squeezed(F.col("plain"))))), F.transform(lines, lambda x: asked(False, sha(x))))).alias("x"))
-        .select("doc_id", "row", "x.is_whole", "x.digest"))
-    hits = digests.join(listed, F.col("digest") == F.col("known"), "left").filter("is_whole OR license IS NOT NULL")
+        F.array(asked("text", sha(squeezed(F.col("plain")))), asked("other", sha(F.col("other")))),
+        F.transform(lines, lambda x: asked("line", sha(x))))).alias("x")).select("doc_id", "row", "x.what", "x.digest"))
+    hits = digests.join(listed, F.col("digest") == F.col("known"), "left").filter("what = 'text' OR license IS NOT NULL")
+    of = lambda what, c: F.when(F.col("what") == what, F.col(c))
     return hits.groupBy("row").agg(
-        F.any_value("doc_id").alias("doc_id"), F.max(F.when(F.col("is_whole"), F.col("digest"))).alias("digest"),
-        F.max(F.when(F.col("is_whole"), F.col("license"))).alias("license"),
-        F.array_sort(F.collect_set(F.when(~F.col("is_whole"), F.col("license")))).alias("notices")).drop("row")
+        F.any_value("doc_id").alias("doc_id"), F.max(of("text", "digest")).alias("digest"),
+        F.coalesce(F.max(of("text", "license")), F.max(of("other", "license"))).alias("license"),
+        F.array_sort(F.collect_set(of("line", "license"))).alias("notices")).drop("row")
 
 
 def license_report(spark: SparkSession, docs: DataFrame) -> DataFrame:

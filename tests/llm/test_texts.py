@@ -176,6 +176,32 @@ def test_whole_licenses_are_known(spark):
     assert len(out) == len(data) and all(r.license == r.doc_id for r in out)
 
 
+def test_wrapped_licenses_are_known(spark):
+    import textwrap
+
+    def wrapped(text, width):  # paragraphs anew; lines that state a copyright stay lines
+        out = []
+        for part in re.split(r"\n[ \t]*\n", text):
+            block = []
+            for line in [*part.split("\n"), None]:
+                if line is None or re.match(license_scan.STATES, line.lower()):
+                    out.append(textwrap.fill(" ".join(" ".join(block).split()), width, break_long_words=False, break_on_hyphens=False))
+                    out.append(line or "")
+                    block = []
+                else:
+                    block.append(line)
+        return "\n".join(out)
+
+    texts = license_scan.KNOWN + license_scan.full_texts()
+    data = [(n, wrapped(t, w)) for n, t in texts for w in (40, 60, 72, 79, 100, 10_000)]
+    data += [("ISC", "Copyright 2020 Someone\n\n" + wrapped(dict(texts)["ISC"], w)) for w in range(30, 120, 7)]
+    isc = dict(license_scan.KNOWN)["ISC"].replace("copyright notice", "\ncopyright notice")
+    data += [("ISC", isc), ("ISC", "Copyright Someone\n" + dict(license_scan.KNOWN)["ISC"])]
+    out = license_scan.scan(spark.createDataFrame(data, "doc_id string, text string"), license_scan.known_licenses(spark)).collect()
+    missed = Counter(r.doc_id for r in out if r.license != r.doc_id)
+    assert len(out) == len(data) and not missed, missed
+
+
 def test_many_known_licenses_are_joined(spark):
     known = license_scan.known_licenses(spark, [(f"L{i:04}", f"terms number {i}") for i in range(1200)])
     data = [(1, "Terms number 700"), (2, "x\nterms  number 3\nterms number 1100\nterms number 3"), (2, "x\nterms  number 3\nterms number 1100\nterms number 3"), (None, None)]
