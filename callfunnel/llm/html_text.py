@@ -4,7 +4,9 @@ A page is read once into a tree of elements and a list of text blocks. Each bloc
 its length and its commas to the elements around it, fewer the further up; an element's points are
 discounted by its link density. The best container is kept, with siblings that score well too.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-are left out wherever they stand, by element, role, class or id.
+are left out by element, role, class or id. Within article or main a class marks containers only
+(not headings, paragraphs, inline elements, or sections that start with a heading), an id nothing
+but reader comments and advert slots, and formulas, labels, legends, objects and dialogs stay.
 
 A block's text has its character references decoded and its white space made one space; blocks
 stand in page order with an empty line between them. Markup may be broken or cut off anywhere.
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,6 +39,13 @@ LISTS = {"li": {"ul", "ol", "menu", "dir"}, "dd": {"dl"}, "dt": {"dl"}, "td": {"
 INNER = set("li ul ol dl dd dt tr td th tbody thead tfoot table blockquote p pre h1 h2 h3 h4 h5 h6 hgroup caption figcaption figure".split())
 DROPPED = set("nav footer aside form script style noscript template button select option textarea input title iframe svg math object embed audio "
               "video canvas menu dialog map datalist fieldset legend label".split())
+#: of these, what is text of an article when it stands within one
+KEPT_INSIDE = set("math label legend object dialog fieldset".split())
+#: elements within an article that a class can mark as something else
+CONTAINERS = set("div section ul ol dl table figure center details".split())
+#: marks that no part of an article bears: they count for sections with a heading, and as ids of div and lists, as well
+SURE = set("comments commentlist disqus adsense adslot".split())
+HEADING = re.compile(r"\s*+(?:<!--.*?-->\s*+)*+<(?:h[1-6]|hgroup|header)\b", re.I | re.S)
 ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form status".split())
 #: Words of a class or id that mark what isn't the article.
 MARKS = set("ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion nav navbar navigation menu menubar "
@@ -50,13 +60,13 @@ def attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape((m[2] or "").strip("\"'")) for m in ATTRIBUTE.finditer(raw)} if raw.strip() else {}
 
 
-def words_of(attrs: dict[str, str]) -> set[str]:
-    return {w.lower() for k in ("class", "id") for w in PARTS.findall(attrs.get(k, ""))}
+def words_of(attrs: dict[str, str], names: tuple[str, ...] = ("class", "id")) -> set[str]:
+    return {w.lower() for k in names for w in PARTS.findall(attrs.get(k, ""))}
 
 
-def beside(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
-    """Whether the element is something other than article text."""
-    if tag in DROPPED or (tag == "header" and not in_article):
+def beside(tag: str, attrs: dict[str, str], in_article: bool, headed: Callable[[], bool] = lambda: False) -> bool:
+    """Whether the element is something other than article text; `headed` tells whether it starts with a heading."""
+    if (tag in DROPPED and not (in_article and tag in KEPT_INSIDE)) or (tag == "header" and not in_article):
         return True
     if not attrs:
         return False
@@ -64,8 +74,12 @@ def beside(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")):
         return True
+    if in_article:
+        marks = words_of(attrs, ("class",)) & MARKS if tag in CONTAINERS else set()
+        return bool(marks) and (tag != "section" or not marks.isdisjoint(SURE) or not headed()) or (
+            tag in ("div", "ul", "ol") and not words_of(attrs, ("id",)).isdisjoint(SURE))
     return tag not in ("html", "body", "article", "main") and not words_of(attrs).isdisjoint(MARKS) or (
-        tag not in ("html", "body") and "header" in words_of(attrs) and not in_article and tag != "h1")
+        tag not in ("html", "body") and "header" in words_of(attrs) and tag != "h1")
 
 
 class Page:
@@ -98,12 +112,12 @@ class Page:
             if m[1] or m[4]:
                 self.end(tag)
             else:
-                self.start(tag, m[3] or m[6] or "")
+                self.start(tag, m[3] or m[6] or "", lambda: bool(HEADING.match(source, at)))
                 if tag in RAW:
                     end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
                     at = end.start() if end else len(source)
 
-    def start(self, tag: str, raw: str) -> None:
+    def start(self, tag: str, raw: str, headed: Callable[[], bool]) -> None:
         if tag in BLOCK:
             self.flush()
             if self.open.get("p"):
@@ -125,7 +139,7 @@ class Page:
             self.has_blocks[parent] = True
         self.stack.append(node)
         self.open[tag] = self.open.get(tag, 0) + 1
-        if not self.dropping and beside(tag, attrs, bool(self.open.get("article") or self.open.get("main"))):
+        if not self.dropping and beside(tag, attrs, bool(self.open.get("article") or self.open.get("main")), headed):
             self.flush()
             self.dropping = len(self.stack)
 

@@ -276,6 +276,19 @@ def test_main_text():
     assert html_text.main_text('<a href="cut>text</a><p>para, one') .endswith("para, one")
 
 
+ARTICLE_PARTS = """<body><nav>menu</nav><article><h1 id="skip">T, title</h1><p id="notice">First, one.</p><section id="discussion"><p>Two, more, here.</p></section>
+<section id="related-work" class="related"><h2 id="search-algorithms">Search</h2><p class="share">Three, <span id="social-life">four</span>, <span class="ad">five</span>.</p></section>
+<p>Where <math><mi>x</mi></math>, <label>six</label>.</p><fieldset><legend>Seven</legend></fieldset><div id="footer-notes">Eight, nine.</div>
+<div class="share">Share, this, now</div><section class="comments"><h2>Comments</h2><p>A comment, by, one.</p></section><div id="comments"><p>And, another.</p></div><div class="ad-slot"><h3>Buy</h3></div><nav>in</nav>
+</article><div id="related">Other, pages</div><div class="discussion">Outside, words</div><footer>end</footer>"""
+
+
+def test_article_parts_stay_whatever_their_ids():
+    want = ["T, title", "First, one.", "Two, more, here.", "Search", "Three, four, five.", "Where x, six.", "Seven", "Eight, nine."]
+    for page in (ARTICLE_PARTS, ARTICLE_PARTS.replace("article>", "main>")):
+        assert html_text.main_text(page).split("\n\n") == want
+
+
 def test_pages_rows(spark):
     data = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "v", "<article><h1>A</h1><p>b", "y")]
     out = html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string, text string"))
