@@ -395,14 +395,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` to keep: one of each class, its smallest id; columns unchanged.
+    """The rows of `docs` to keep: one text of each class, that of its smallest id; columns unchanged.
 
-    Of rows that repeat the same id and text one stays, rows without an id all stay. Ids that go
-    are written first, so the planner knows their size: few are broadcast, many are joined by id.
+    Verdicts are by id and text, so rows that share an id stand or go each by its text. Of rows that
+    repeat the same id and text one stays, rows without an id all stay. Keys that go are written
+    first, so the planner knows their size: few are broadcast, many are joined by key.
     """
-    verdicts = near_duplicates(docs, id_col, text_col, shingle, percent)
-    gone = stored(verdicts.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    left = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    name = F.xxhash64(docs[text_col])
+    keyed = docs.select(F.when(docs[id_col].isNotNull(), F.struct(docs[id_col].alias("id"), name.alias("name"))).alias("key"), docs[text_col].alias("text"))
+    verdicts = near_duplicates(keyed, "key", "text", shingle, percent)
+    gone = stored(verdicts.filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id.id").alias("_gone"), F.col("doc_id.name").alias("_name")).distinct(), "gone")
+    left = docs.join(gone, (docs[id_col] == gone["_gone"]) & (name == gone["_name"]), "left_anti")
     named = left.filter(left[id_col].isNotNull())
     twice = stored(named.groupBy(named[id_col].alias("_id")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_id"), "twice")
     once = left.join(twice, left[id_col] == twice["_id"], "left_anti")

@@ -72,6 +72,16 @@ def test_near_duplicates_keep_one(spark):
     assert near_dup.keep_one(table(spark, [])).collect() == []
 
 
+def test_texts_that_share_an_id_go_by_themselves(spark):
+    words = [f"w{i}" for i in range(60)]
+    a, b = " ".join(words), " ".join(reversed(words))
+    data = [(3, a), (5, b), (5, a), (7, "x " + " ".join(words[::2])), (7, "x " + " ".join(words[::2]) + " end"), (None, a)]
+    got = [(r.doc_id, r.text) for r in near_dup.keep_one(spark.createDataFrame(data, "doc_id long, text string")).collect()]
+    sevens = [r for r in got if r[0] == 7]
+    assert len(sevens) == 1 and sevens[0] in data
+    assert sorted(map(repr, (r for r in got if r[0] != 7))) == sorted(map(repr, [(3, a), (5, b), (None, a)]))
+
+
 def test_components_are_the_smallest_reachable(spark):
     rng = random.Random(1)
     pairs = [(f"{i:04d}", f"{i + 1:04d}") for i in range(300) if i % 50] + [("hub", f"x{i}") for i in range(200)]
