@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callfunnel.llm.common import whole
+from callfunnel.llm.common import drop_stored, stored, whole
 
 BUCKETS, DIM, NONZERO, SPAN, LAGS = 1 << 14, 32, 4, 2, 8
 KNOWN_WORDS = 300_000  # memory bound of the word-bucket memo; it is emptied when full
@@ -217,14 +217,16 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     known = (labels.select(labels[id_col].alias("label_id"), labels[label_col].cast("int").alias("label"))
              .filter("label_id IS NOT NULL AND label IN (0, 1)").filter(~held_out(F.col("label_id")))
              .dropDuplicates(["label_id"]))
-    share = 1.2 * max_labelled / max(labels.count(), 1)  # of very many labels only so many come near the limit
+    known = usable = stored(known.join(docs.select(docs[id_col].alias("doc_id")), F.col("label_id") == F.col("doc_id"), "left_semi"), "labels")
+    share = (max_labelled + 8 * max_labelled ** 0.5 + 50) / max(usable.count(), 1)  # the lowest hashes; too few with probability under 1e-14
     if share < 1:
-        known = known.filter(F.pmod(F.xxhash64("label_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+        known = known.filter(F.xxhash64("label_id") < F.lit(int(share * 2 ** 64) - 2 ** 63))
     known = known.orderBy(F.xxhash64("label_id"), "label_id").limit(max_labelled)
     wanted = known.select("label_id")
     some = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).join(wanted, F.col("doc_id") == F.col("label_id"), "left_semi")
     learnt = _map(some, "doc_id", "text", vectors, lambda x: pa.array(list(x), pa.list_(pa.float32())), "features array<float>")
     rows = learnt.join(known, learnt["doc_id"] == known["label_id"]).select("doc_id", "features", "label").orderBy("doc_id", "features").limit(max_labelled).toArrow()
+    drop_stored(spark, usable)
     x = np.array(rows["features"].to_pylist(), np.float64).reshape(-1, FEATURES)
     net = spark.sparkContext.broadcast(fit(x, rows["label"].to_numpy().astype(int)))
     scored = _map(docs, id_col, text_col, vectors, lambda x: pa.array(net.value.scores(x.astype(np.float64))), "score double")

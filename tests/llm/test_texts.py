@@ -317,6 +317,16 @@ def test_classifier_learns_and_keeps_labels_out(spark):
     assert again == {k: r.score for k, r in got.items()}
 
 
+def test_unusable_labels_do_not_thin_the_sample(spark, monkeypatch):
+    learnt = []
+    fit = quality_classifier.fit
+    monkeypatch.setattr(quality_classifier, "fit", lambda x, y: learnt.append(len(y)) or fit(x, y))
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(600)], "doc_id long, text string")
+    labels = [(i, i % 2) for i in range(600)] * 2 + [(i, None) for i in range(600, 5000)] + [(i, 1) for i in range(5000, 9000)]
+    quality_classifier.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int"), max_labelled=100)
+    assert learnt == [100]
+
+
 # ------------------------------------------------------------------ all of them
 def test_awkward_and_empty_tables(spark, docs, empty):
     n = len(rows())
