@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callfunnel.llm import ann, bpe, html_text, license_scan, line_dedup, mixing, near_dup, pii, quality_classifier, quality_rules
+from callfunnel.llm import (
+    ann,
+    bpe,
+    brown,
+    html_text,
+    license_scan,
+    line_dedup,
+    mixing,
+    near_dup,
+    pii,
+    quality_classifier,
+    quality_rules,
+    spelling,
+    whitening,
+)
 from callfunnel.llm.common import table
 
 
@@ -49,6 +63,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_line_dedup": op2_line_dedup,
@@ -60,6 +86,9 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe": op10_bpe,
+    "op11_spelling": op11_spelling,
+    "op12_whitening": op12_whitening,
+    "op13_lm_score": op13_lm_score,
 }
 
 ORACLE_SQL = {
