@@ -5,8 +5,10 @@ read once into blocks: a block holds a bounded number of words and tokens (or on
 distinct words as 64-bit hashes and its tokens as numbers into them. Everything later works on these.
 Two unlike words among n count as one with probability under n * n / 2 ** 65.
 
-Counts: every distinct training word is counted on the cluster, without a threshold. A block asks
-for its own distinct words only, so a word's count travels once a block, not once a token.
+Counts: every distinct training word is counted on the cluster, without a threshold. A block sends
+its distinct words and their training counts to ranges of hashes, and each range adds them up and
+sends the totals back, so a word travels once a block, not once a token. There are as many ranges as
+keep the words sent to one below a bound.
 
 Classes: a word belongs to the class of its bucket, one of 2 ** 20 by hash, so the class table has
 the same size (1 MB) whatever the vocabulary; words beyond that share classes, never counts. The
@@ -48,6 +50,7 @@ RESIDUES, SWEEPS = 4, 2
 RANGE = 4096  # buckets of one residue that are decided together
 MU, ADD = 10.0, 0.1
 BLOCK_WORDS, BLOCK_TOKENS = 1 << 16, 1 << 20
+RANGE_WORDS = 1 << 20  # words sent to a range of hashes, about
 CHUNK = 1 << 20  # characters that are cut into words at once
 END = b" "  # no word holds a space
 END_HASH = np.uint64(xxhash.xxh3_64_intdigest(END))
@@ -68,7 +71,7 @@ def is_held_out(doc_id, every: int) -> bool:
 
 
 def token_blocks(docs: DataFrame, id_col: str, text_col: str, every: int) -> DataFrame:
-    """(block, ids, held, sizes, tokens, words): see above; a text's tokens stay in one block."""
+    """(block, ids, held, sizes, tokens, words, n_words): see above; a text's tokens stay in one block."""
     kind = docs.schema[id_col].dataType.simpleString()
     numbers = pa.list_(pa.int64())
 
@@ -89,8 +92,9 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, every: int) -> Dat
             flat = np.concatenate(tokens).astype(np.uint16 if len(local) <= 1 << 16 else np.uint32)
             return pa.RecordBatch.from_arrays(
                 [pa.array([task << 32 | number], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([held], pa.list_(pa.bool_())),
-                 pa.array([sizes], numbers), pa.array([flat.tobytes()], pa.binary()), pa.array([hashes.tobytes()], pa.binary())],
-                ["block", "ids", "held", "sizes", "tokens", "words"])
+                 pa.array([sizes], numbers), pa.array([flat.tobytes()], pa.binary()), pa.array([hashes.tobytes()], pa.binary()),
+                 pa.array([len(hashes)], pa.int64())],
+                ["block", "ids", "held", "sizes", "tokens", "words", "n_words"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -113,7 +117,7 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, every: int) -> Dat
             yield out(batch.column(0).type)
 
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text")).mapInArrow(
-        run, f"block long, ids array<{kind}>, held array<boolean>, sizes array<long>, tokens binary, words binary")
+        run, f"block long, ids array<{kind}>, held array<boolean>, sizes array<long>, tokens binary, words binary, n_words long")
 
 
 @dataclass
@@ -154,16 +158,48 @@ def _rows(batches):
 PARTS = ("held", "sizes", "tokens", "words")
 
 
-def word_counts(blocks: DataFrame) -> DataFrame:
-    """(h, c): training tokens of every distinct word."""
-    def run(batches):
+def planes(x: np.ndarray) -> bytes:
+    """Whole numbers byte by byte of equal weight, so that the bytes of small ones compress away."""
+    return x.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unplanes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
+def counted(blocks: DataFrame) -> DataFrame:
+    """(block, range, counts): training tokens of a block's words in a range of hashes, in order of their hashes.
+
+    Rows without a block hold, for each bucket, a range's distinct training words: (at, n) one after the other.
+    """
+    sent = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    bits = np.uint64(64 - min(40, max(1, math.ceil(math.log2(max(sent, 1) / RANGE_WORDS)))))
+
+    def send(batches):
         for row in _rows(batches):
             b = Block.of(row)
             n = np.bincount(b.tokens[b.train], minlength=len(b.words))
-            some = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(b.words[some].view(np.int64)), pa.array(n[some])], ["h", "c"])
-
-    return blocks.select(*PARTS).mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+            order = np.argsort(b.words)
+            words, n = b.words[order], n[order]
+            ranges, starts = np.unique(words >> bits, return_index=True)
+            for r, h, c in zip(ranges.tolist(), np.split(words, starts[1:]), np.split(n, starts[1:])):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r], pa.int64()), pa.array([row["block"]], pa.int64()),
+                     pa.array([planes(np.diff(h.view(np.int64), prepend=0))], pa.binary()), pa.array([planes(c)], pa.binary())], ["range", "block", "words", "n"])
+
+    def answer(rows: pa.Table) -> pa.Table:
+        words = [np.cumsum(unplanes(w)).view(np.uint64) for w in rows["words"].to_pylist()]
+        distinct, place = np.unique(np.concatenate(words), return_inverse=True)
+        total = np.zeros(len(distinct), np.int64)
+        np.add.at(total, place, np.concatenate([unplanes(n) for n in rows["n"].to_pylist()]))
+        ends = np.cumsum([len(w) for w in words])[:-1]
+        bucket, n = np.unique(buckets(distinct[(total > 0) & (distinct != END_HASH)]), return_counts=True)
+        return pa.table({"block": pa.array([*rows["block"].to_pylist(), None], pa.int64()),
+                         "range": pa.array([*rows["range"].to_pylist(), None], pa.int64()),
+                         "counts": pa.array([*map(planes, np.split(total[place], ends)), planes(np.concatenate([bucket, n]))], pa.binary())})
+
+    return (blocks.select("block", *PARTS).mapInArrow(send, "range long, block long, words binary, n binary")
+            .groupBy("range").applyInArrow(answer, "block long, range long, counts binary"))
 
 
 def added_up(rows: DataFrame, size: int) -> np.ndarray:
@@ -194,15 +230,15 @@ def transitions(blocks: DataFrame, table, classes: int) -> np.ndarray:
     return added_up(blocks.select(*PARTS).mapInArrow(run, "at long, n long"), side * side).reshape(side, side)
 
 
-def vocabulary(counts: DataFrame, table, classes: int) -> np.ndarray:
-    """Distinct training words by class."""
+def vocabulary(counts: DataFrame) -> np.ndarray:
+    """Distinct training words by bucket."""
     def run(batches):
-        total = np.zeros(classes + 1, np.int64)
         for batch in batches:
-            total += np.bincount(word_classes(batch.column(0).to_numpy().view(np.uint64), table.value, classes), minlength=classes + 1)
-        yield _places(total)
+            for data in batch.column(0):
+                at, n = unplanes(data.as_py()).reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], ["at", "n"])
 
-    return added_up(counts.select("h").mapInArrow(run, "at long, n long"), classes + 1)
+    return added_up(counts.filter("block IS NULL").select("counts").mapInArrow(run, "at long, n long"), BUCKETS)
 
 
 def xlogx(x: np.ndarray) -> np.ndarray:
@@ -346,7 +382,6 @@ class Model:
 def fit(blocks: DataFrame, counts: DataFrame, classes: int = CLASSES, sweeps: int = SWEEPS, seed: int = 17) -> Model:
     """Classes by exchange over all training bigrams, then the model's figures."""
     context = blocks.sparkSession.sparkContext
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     salts = max(1, math.isqrt(blocks.count() // 64))
     table, best = np.random.default_rng(seed).integers(0, classes, BUCKETS).astype(np.uint8), None
     for step in range(sweeps * RESIDUES + 1):
@@ -359,10 +394,10 @@ def fit(blocks: DataFrame, counts: DataFrame, classes: int = CLASSES, sweeps: in
         if step < sweeps * RESIDUES:
             table = exchange(blocks, table, bigrams, step % RESIDUES, salts)
     _, table, bigrams = best
-    shared = context.broadcast(table)
-    words = vocabulary(counts, shared, classes)
-    shared.destroy()
-    return Model(table, bigrams, words, int(total[0]), int(total[1]))
+    by_bucket, n_tokens = vocabulary(counts), int(bigrams.sum())
+    words = np.bincount(table, weights=by_bucket, minlength=classes).astype(np.int64)
+    end = int(n_tokens > 0)
+    return Model(table, bigrams, np.append(words, end), n_tokens, int(words.sum()) + end)
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES, sweeps: int = SWEEPS,
@@ -370,26 +405,18 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", clas
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity (of a token)."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
     blocks = stored(token_blocks(docs, id_col, text_col, every), "blocks")
-    counts = stored(word_counts(blocks), "counts")
+    counts = stored(counted(blocks), "counts")
     model = spark.sparkContext.broadcast(fit(blocks, counts, classes, sweeps))
 
-    def ask(batches):
-        for batch in batches:
-            for block, words in zip(batch.column(0).to_pylist(), batch.column(1)):
-                h = np.frombuffer(words.as_buffer(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), block)), pa.array(np.arange(len(h), dtype=np.int32)), pa.array(h)], ["block", "at", "h"])
-
-    found = (blocks.select("block", "words").mapInArrow(ask, "block long, at int, h long")
-             .join(counts, "h").select("block", "at", "c"))
-
     def score(mine: pa.Table, known: pa.Table) -> pa.Table:
         out = []
         m = model.value
         end = len(m.words) - 1
         for row in _rows(mine.to_batches()):
             b = Block.of(row)
-            c = np.zeros(len(b.words), np.int64)
-            c[known["at"].to_numpy()] = known["c"].to_numpy()
+            parts = sorted(zip(known["range"].to_pylist(), known["counts"].to_pylist()))
+            c = np.empty(len(b.words), np.int64)
+            c[np.argsort(b.words)] = np.concatenate([unplanes(n) for _, n in parts])
             before, now = b.classes(m.table, end)
             log = m.log_emissions(word_classes(b.words, m.table, end), c)[b.tokens] + m.log_transitions()[before, now]
             starts = np.cumsum(b.sizes) - b.sizes
@@ -400,7 +427,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", clas
                 "base_score": np.add.reduceat(m.log_base(c)[b.tokens], starts), "score": total, "perplexity": 10 ** np.minimum(-total / b.sizes, 300)}))
         return pa.concat_tables(out) if out else pa.schema([("doc_id", mine.schema.field("ids").type.value_type)]).empty_table()
 
-    out = blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
+    out = blocks.groupBy("block").cogroup(counts.filter("block IS NOT NULL").groupBy("block")).applyInArrow(
         score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
     result = stored(out, "scores")
     drop_stored(spark, blocks, counts)

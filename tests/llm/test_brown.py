@@ -39,16 +39,22 @@ def class_of(model, word):
 def fitted(spark):
     data = corpus()
     blocks = stored(brown.token_blocks(spark.createDataFrame(data, "doc_id long, text string").repartition(3), "doc_id", "text", 10), "blocks")
-    return data, blocks, brown.fit(blocks, brown.word_counts(blocks), classes=6, sweeps=3)
+    return data, blocks, brown.fit(blocks, stored(brown.counted(blocks), "counts"), classes=6, sweeps=3)
 
 
 def test_counts_and_classes(spark, fitted):
     data, blocks, model = fitted
     train = [tokens(t) for d, t in data if not held(d)]
     count = Counter(w for ws in train for w in ws)
-    got = {r.h: r.c for r in brown.word_counts(blocks).collect()}
-    key = lambda w: int(np.uint64(xxhash.xxh3_64_intdigest(b" " if w is None else w.encode())).view(np.int64))
-    assert got == {key(w): c for w, c in count.items()}
+    got, parts = {}, defaultdict(list)
+    for r in brown.counted(blocks).filter("block IS NOT NULL").collect():
+        parts[r.block].append((r.range, r.counts))
+    for r in blocks.collect():
+        words = np.sort(np.frombuffer(r.words, np.uint64)).tolist()
+        got.update(zip(words, np.concatenate([brown.unplanes(c) for _, c in sorted(parts[r.block])]).tolist()))
+    key = lambda w: xxhash.xxh3_64_intdigest(b" " if w is None else w.encode())
+    assert {k: c for k, c in got.items() if c} == {key(w): c for w, c in count.items()}
+    assert len(got) == len({w for _, t in data for w in tokens(t)})
     assert (model.n_tokens, model.n_words) == (sum(count.values()), len(count))
     pairs = Counter((class_of(model, a), class_of(model, b)) for ws in train for a, b in zip([None, *ws], ws))
     assert model.bigrams.tolist() == [[pairs[a, b] for b in range(7)] for a in range(7)]
@@ -131,10 +137,11 @@ def test_blocks_are_cut_and_merged(spark, fitted, monkeypatch):
     data, blocks, model = fitted
     monkeypatch.setattr(brown, "BLOCK_TOKENS", 1)
     monkeypatch.setattr(brown, "CHUNK", 50)
+    monkeypatch.setattr(brown, "RANGE_WORDS", 500)
     docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
     small = stored(brown.token_blocks(docs, "doc_id", "text", 10), "blocks")
     assert small.count() > 256
-    again = brown.fit(small, brown.word_counts(small), classes=6, sweeps=3)
+    again = brown.fit(small, stored(brown.counted(small), "counts"), classes=6, sweeps=3)
     assert np.array_equal(again.table, model.table) and np.array_equal(again.bigrams, model.bigrams)
 
 
