@@ -67,7 +67,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
                 end = m.end()
     if not DIGIT.search(text):
         return out
-    out += [(1, *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    out += [(1, *m.span()) for m in IP.finditer(text) if all(len(n := p.lstrip("0")) <= 3 and int(n or "0") <= 255 for p in m[0].split("."))]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16:
             digits = NOT_DIGIT.sub("", m[0])

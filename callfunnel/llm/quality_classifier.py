@@ -210,13 +210,13 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """Per row: doc_id, held_out, score, predicted.
 
     At most `max_labelled` labelled rows, chosen by a hash of their id, are learnt from, never rows
-    that `held_out` marks. The context table covers every text.
+    that `held_out` marks. An id that is labelled both ways is not learnt from. The context table covers every text.
     """
     spark = docs.sparkSession
     vectors = spark.sparkContext.broadcast(word_vectors(*context_table(docs, text_col)))
     known = (labels.select(labels[id_col].alias("label_id"), labels[label_col].cast("int").alias("label"))
              .filter("label_id IS NOT NULL AND label IN (0, 1)").filter(~held_out(F.col("label_id")))
-             .dropDuplicates(["label_id"]))
+             .groupBy("label_id").agg(F.min("label").alias("label"), F.max("label").alias("_high")).filter("label = _high").drop("_high"))
     known = usable = stored(known.join(docs.select(docs[id_col].alias("doc_id")), F.col("label_id") == F.col("doc_id"), "left_semi"), "labels")
     share = (max_labelled + 8 * max_labelled ** 0.5 + 50) / max(usable.count(), 1)  # the lowest hashes; too few with probability under 1e-14
     if share < 1:

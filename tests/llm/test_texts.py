@@ -233,6 +233,12 @@ def test_base_spans_equal_the_patterns():
         assert pii.base_spans(text) == base_brute(text)
 
 
+def test_addresses_with_very_long_parts():
+    long = "0" * 5000
+    assert pii.base_spans(f"at {long}1.2.3.{long} now") == [(1, 3, 3 + 5001 + 5 + 5000)]
+    assert pii.base_spans(f"{'9' * 5000}.2.3.4") == []
+
+
 def test_field_adds_other_spellings_and_no_lookalikes():
     w = pii.fit(pii.made_examples(pii.MADE))
     hits, wrong, n, none = 0, 0, 0, 0
@@ -317,6 +323,17 @@ def test_classifier_learns_and_keeps_labels_out(spark):
     assert again == {k: r.score for k, r in got.items()}
 
 
+def test_clashing_labels_are_not_learnt_from(spark, monkeypatch):
+    seen = []
+    fit = quality_classifier.fit
+    monkeypatch.setattr(quality_classifier, "fit", lambda x, y: (seen.append(y.tolist()), fit(x, y))[1])
+    docs = spark.createDataFrame([(i, f"text {i % 7} of some words") for i in range(60)], "doc_id long, text string")
+    labels = [(i, i % 2) for i in range(60)]
+    quality_classifier.classify(docs, spark.createDataFrame(labels + [(i, 1 - i % 2) for i in range(30)] + labels[40:], "doc_id long, quality int")).collect()
+    quality_classifier.classify(docs, spark.createDataFrame(labels[30:], "doc_id long, quality int")).collect()
+    assert seen[0] == seen[1] and seen[0]
+
+
 def test_unusable_labels_do_not_thin_the_sample(spark, monkeypatch):
     learnt = []
     fit = quality_classifier.fit
