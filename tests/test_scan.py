@@ -1,12 +1,15 @@
 """Production read path: logical tables from Parquet, filters pushed, columns pruned."""
 
 import tempfile
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 
 from callfunnel.operators import calls as C
 from callfunnel.sources.adapters import ADAPTER_CONFIG, adapter_tables
-from callfunnel.sources.tables import read_tables
+from callfunnel.sources.schema import SCHEMAS
+from callfunnel.sources.tables import SPLIT, cut_points, ranges, read_jdbc_tables, read_tables, run_filters
 
 SF = "/root/testdata/sf0.001"
 
@@ -59,23 +62,61 @@ def test_tab_queries_do_not_explode_and_a_patientless_call_skips_the_join(spark,
     assert "[_key#" in _plan(calls)
 
 
-def test_jdbc_reader_casts_to_the_contract(spark, monkeypatch):
-    from pyspark.sql import functions as F
-
-    from callfunnel.sources.schema import SCHEMAS
-    from callfunnel.sources.tables import read_jdbc_tables
-    asked = []
-
-    def jdbc(self, url, table, properties):
-        asked.append((url, table, properties))
-        name = table.split(".")[1]
-        return spark.range(2).select(*[F.lit(None).cast("string").alias(f.name) for f in reversed(SCHEMAS[name].fields)], F.lit(1).alias("extra"))
-
-    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameReader.jdbc", jdbc)
-    t = read_jdbc_tables(spark, "jdbc:x", {n: f"shop.{n}" for n in SCHEMAS}, {"user": "u"})
-    assert sorted(a[1] for a in asked) == sorted(f"shop.{n}" for n in SCHEMAS)
+class Warehouse:
+    """Stands for the warehouse behind `DataFrameReader.jdbc`: an in-process DuckDB, one query per range."""
+
+    def __init__(self, spark, root):
+        import duckdb
+        self.spark, self.asked, self.con = spark, [], duckdb.connect()
+        self.con.execute("CREATE SCHEMA shop")
+        for name in SCHEMAS:
+            self.con.execute(f"CREATE VIEW shop.{name} AS SELECT *, 1 AS extra FROM read_parquet('{root}/{name}/*.parquet')")
+
+    def jdbc(self, reader, url, table, properties=None, predicates=None):
+        parts = []
+        for where in predicates or ["1 = 1"]:
+            got = self.con.execute(f"SELECT * FROM {table} WHERE {where}").to_arrow_table()
+            parts.append(self.spark.createDataFrame(got) if got.num_rows else None)
+        self.asked.append((url, table, predicates, properties, [p.count() if p else 0 for p in parts]))
+        found = [p for p in parts if p]
+        return reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame(got.slice(0, 0).to_pandas(), _layout(got))
+
+
+def _layout(table):
+    from pyspark.sql.pandas.types import from_arrow_schema
+    return from_arrow_schema(table.schema)
+
+
+def test_warehouse_scan_is_cut_filtered_and_pruned(spark, written, monkeypatch):
+    """Each of the 13 reads has several ranges that hold every row once, the used columns and the run's filters."""
+    warehouse = Warehouse(spark, written)
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameReader.jdbc", lambda self, *a, **k: warehouse.jdbc(self, *a, **k))
+    names = {n: f"shop.{n}" for n in SCHEMAS}
+    t = read_jdbc_tables(spark, "jdbc:x", names, {"user": "u"}, ADAPTER_CONFIG, partitions=4)
+    scans = {a[1].split("shop.")[1].split(" ")[0].rstrip(")"): a for a in warehouse.asked if a[2]}
+    assert set(scans) == set(SCHEMAS)
+    filters = run_filters(ADAPTER_CONFIG)
+    for name, (url, query, predicates, properties, sizes) in scans.items():
+        assert (url, properties) == ("jdbc:x", {"user": "u"})
+        assert query.startswith("(SELECT " + ", ".join(SCHEMAS[name].fieldNames()) + " FROM ") and "extra" not in query
+        assert all(f in query for f in filters.get(name, []))
+        whole = warehouse.con.execute(f"SELECT COUNT(*) FROM {query}").fetchone()[0]
+        assert sum(sizes) == whole
+        if whole > 1000:
+            assert 3 <= len(predicates) <= 5 and max(sizes) < 0.6 * whole, (name, sizes)
     for name, df in t.as_dict().items():
         assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in SCHEMAS[name]]
+    a, b = (C.calls_with_diagnosis(x, ADAPTER_CONFIG) for x in (t, adapter_tables(spark, SF)))
+    assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_ranges_hold_similar_numbers_of_rows():
+    assert cut_points([(k, 10) for k in range(16)], 4) == [4, 8, 12]
+    assert cut_points([(0, 1), (1, 1), (2, 96), (3, 1), (4, 1)], 4) == [3]       # one heavy step is a range of its own
+    assert cut_points([(5, 3)], 4) == [] and cut_points([], 4) == []
+    assert ranges("k", []) == ["1 = 1"]
+    assert ranges("k", ["5", "9"]) == ["k < 5 OR k IS NULL", "k >= 5 AND k < 9", "k >= 9"]
+    assert set(SPLIT.values()) == {"id", "created_at", "invoice_id"}
 
 
 def test_a_cluster_without_a_checkpoint_dir_is_refused(spark, monkeypatch):
