@@ -55,10 +55,9 @@ def test_partition_count_does_not_change_results(spark, out):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
-def _document(d: str) -> dict:
-    parts = sorted(p for p in os.listdir(d) if p.startswith("part-"))
-    text = "".join(open(f"{d}/{p}").read() for p in parts)
-    assert text.startswith("window.X = ") and text.rstrip().endswith("};")
+def _document(file: str) -> dict:
+    text = open(file).read()
+    assert text.startswith("window.X = ") and text.endswith("};\n")
     return json.loads(text.strip()[len("window.X = "):-1])
 
 
@@ -69,8 +68,8 @@ def updated(spark):
 
 def test_document_is_json_and_decodes_to_cells(spark, out, updated):
     d = tempfile.mkdtemp(prefix="callfunnel-doc-")
-    publish(spark, out, d, updated, prefix="window.X = ")
-    doc = _document(f"{d}/document")
+    folder = publish(spark, out, d, updated, prefix="window.X = ").folder()
+    doc = _document(f"{folder}/document.js")
     assert doc["updated"] == "01 Mar 2026, 10:00 IST"
     assert len(doc["rows"]) == out.envelope.count()
     assert sum(r[4] for r in doc["rows"]) == out.calls.count()
@@ -102,7 +101,7 @@ def test_cells_without_a_provider_name_are_published(spark, updated):
     assert {(r.provider_name, r.reason): r.n for r in P.decode_er(enc).filter("measure = 'nr'").collect()} == {(None, "x"): 3, ("Dr A", "x"): 3}
     d = tempfile.mkdtemp(prefix="callfunnel-doc-")
     P.write_document(P.document_lines(enc, updated, "window.X = "), f"{d}/doc")
-    assert _document(f"{d}/doc")["providers"] == [None, "Dr A"]
+    assert _document(f"{d}/doc.js")["providers"] == [None, "Dr A"]
 
 
 def test_drift_stops_publishing(spark, out, updated):
@@ -128,8 +127,8 @@ def test_positions_over_many_partitions(spark):
 
 def test_protected_document_opens_with_the_secret_alone(spark, out, updated):
     d = tempfile.mkdtemp(prefix="callfunnel-doc-")
-    publish(spark, out, d, updated, prefix="window.X = ", secret="a test secret")
-    assert not os.path.exists(f"{d}/document")
+    d = publish(spark, out, d, updated, prefix="window.X = ", secret="a test secret").folder()
+    assert not os.path.exists(f"{d}/document.js")
     payload = "".join(open(f"{d}/protected/payload/{p}").read() for p in os.listdir(f"{d}/protected/payload") if p.startswith("part-"))
     assert "Dr" not in payload[:20] and "window" not in payload
     text = "".join(r.line for r in P.read_protected(spark, f"{d}/protected", "a test secret").collect())
