@@ -225,6 +225,39 @@ def _cond_over_flags(cond, flags: dict[str, Column]) -> Column:
     return out
 
 
+def ordered_concat(df: DataFrame, key: str, order, text: str, out: str, sep: str = ",") -> DataFrame:
+    """key, `out`: each group's texts that aren't NULL, joined in `order` (columns; NULL where there are none).
+
+    Rows are dealt by key and sorted within their partition, which spills as a sort does; the sorted
+    rows are then read as a stream, so a task holds one batch and the text it is joining, not a group's rows.
+    """
+    names = [order] if isinstance(order, str) else list(order)
+    rows = df.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(names)], F.col(text).alias("_t"))
+    kind = df.schema[key].dataType.simpleString()
+
+    def join(batches):
+        import pyarrow as pa
+        held, parts, seen = None, [], False
+        for batch in batches:
+            keys, texts, done = batch.column(0).to_pylist(), batch.column(1).to_pylist(), ([], [])
+            for k, t in zip(keys, texts):
+                if seen and k != held:
+                    done[0].append(held)
+                    done[1].append(sep.join(parts) if parts else None)
+                    parts = []
+                held, seen = k, True
+                if t is not None:
+                    parts.append(t)
+            if done[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(done[0], batch.column(0).type), pa.array(done[1], pa.string())], [key, out])
+            last = batch.column(0).type
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([held], last), pa.array([sep.join(parts) if parts else None], pa.string())], [key, out])
+
+    ordered = rows.repartition("_k").sortWithinPartitions("_k", *[F.col(f"_o{i}").asc_nulls_last() for i in range(len(names))])
+    return ordered.select("_k", "_t").mapInArrow(join, f"`{key}` {kind}, `{out}` string")
+
+
 def ladder_over_groups(df: DataFrame, key, text: str, ladder: L.Ladder, out: str) -> DataFrame:
     """Ladder over the comma-joined texts of each group, without building the string.
 
@@ -232,12 +265,15 @@ def ladder_over_groups(df: DataFrame, key, text: str, ladder: L.Ladder, out: str
     iff it matches one member text; the match test is therefore a per-pattern
     MAX of booleans, which is map-side combinable and bounded per group
     regardless of how many texts a group holds. A group of only NULL texts gets
-    the ELSE label, as a NULL concatenation would.
+    the ELSE label, as a NULL concatenation would. A ladder with a pattern that holds
+    the separator is run on the joined text itself (in text order).
     """
     keys = [key] if isinstance(key, str) else list(key)
     needles = sorted({n for cond, _ in ladder.rungs for n in _needles(cond)})
     if any("," in n for n in needles):
-        raise ValueError("pattern contains the separator; flag decomposition is not exact")
+        group = F.struct(*keys).alias("_g")
+        joined = ordered_concat(df.select(group, F.col(text).alias("_text")), "_g", "_text", "_text", "_text")
+        return joined.select("_g.*", L.ladder_column(ladder, "_text").alias(out))
     low = F.lower(F.col(text))
     aggs = [F.max(low.like(f"%{n}%") if "%" in n else low.contains(n)).alias(f"_f{i}")
             for i, n in enumerate(needles)]
@@ -270,6 +306,15 @@ def diagnosis_per_encounter(encounters: DataFrame, form_answers: DataFrame) -> D
                     F.coalesce(F.col("diag_cat"), F.lit(L.DIAGNOSIS.otherwise)).alias("diag_cat")))
 
 
+def diagnosis_texts(encounters: DataFrame, form_answers: DataFrame) -> DataFrame:
+    """encounter_id, diagnosis (its answers joined in text order), diag_cat of every live merged-rx encounter."""
+    enc = (live(encounters).filter(F.lower(F.col("type")).contains(L.MERGED_RX_NEEDLE)).select(F.col("id").alias(ENC)))
+    ans = (live(form_answers).filter(F.lower(F.col("title")).contains(L.DIAGNOSIS_TITLE_NEEDLE)).select(ENC, "value"))
+    return (enc.join(ordered_concat(ans, ENC, "value", "value", "diagnosis"), ENC, "left")
+            .select(ENC, "diagnosis", F.lower("diagnosis").alias("_lv"))
+            .select(ENC, "diagnosis", L.ladder_column(L.DIAGNOSIS, "diagnosis", "_lv").alias("diag_cat")))
+
+
 def latest_diagnosis(encounters: DataFrame, form_answers: DataFrame) -> DataFrame:
     """patient_id, diag_cat from each patient's latest live merged-rx encounter.
 

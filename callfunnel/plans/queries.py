@@ -208,8 +208,8 @@ def optout_pivot(c: Ctx) -> DataFrame:
 
 
 def text_concat_per_key(c: Ctx) -> DataFrame:
-    """Diagnosis label of each merged-rx encounter's joined diagnosis answers."""
-    return R.diagnosis_per_encounter(c.t.encounters, c.t.form_answers).select("encounter_id", "diag_cat")
+    """Joined diagnosis answers of each merged-rx encounter, and the label of that text."""
+    return R.diagnosis_texts(c.t.encounters, c.t.form_answers)
 
 
 def latest_diagnosis(c: Ctx) -> DataFrame:

@@ -277,7 +277,7 @@ asked AS (
   FROM preferences WHERE {_LIVE} AND opt_out = 1),
 dx AS (
   SELECT e.id AS encounter_id, e.patient_id, e.created_at, (
-    SELECT string_agg(a.value, ',') FROM form_answers a WHERE a.encounter_id = e.id AND a.deleted_at IS NULL AND contains(lower(a.title), 'diagnosis')) AS txt
+    SELECT string_agg(a.value, ',' ORDER BY a.value) FROM form_answers a WHERE a.encounter_id = e.id AND a.deleted_at IS NULL AND contains(lower(a.title), 'diagnosis')) AS txt
   FROM encounters e WHERE e.deleted_at IS NULL AND contains(lower(e.type), 'merged-rx')),
 {labelled("SELECT ladder, txt FROM asked UNION ALL SELECT 'diagnosis', txt FROM dx")},
 said AS (SELECT a.encounter_id, a.col, a.ladder, l.label FROM asked a JOIN label_of l ON l.ladder = a.ladder AND l.txt IS NOT DISTINCT FROM a.txt),
@@ -419,7 +419,7 @@ _TIER_COLS = lambda p: f"{has(p + '_rec')} AS has_rec, {has(p + '_ess')} AS has_
 _SAID = lambda cols, where: f"SELECT encounter_id, {', '.join(f'max(label) FILTER (WHERE col = {S(c)}) AS {c}' for c in cols)} FROM said WHERE {where} GROUP BY encounter_id"
 _REASON_ROWS = _SAID(REASON_COLS, "ladder <> 'optout'")
 _OPTOUT_ROWS = _SAID([c for _, c in PREFERENCES], "ladder = 'optout'")
-_DX = "SELECT encounter_id, diag_cat FROM dxl"
+_DX = "SELECT encounter_id, txt AS diagnosis, diag_cat FROM dxl"
 
 ON_DRIVER = {f"ladder_{name}": _ladder_query(name) for name in LADDERS}
 ON_DRIVER.update({

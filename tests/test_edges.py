@@ -192,3 +192,33 @@ def test_a_hot_patient_and_calls_without_one(spark):
 def test_an_item_listed_many_times_on_an_invoice(spark):
     t = tables(spark, invoices=[(1, 10, "paid", TS, None)], invoice_items=[(1, "drug", 500, None)] * 50 + [(None, "drug", 500, None)] * 50)
     assert [tuple(r) for r in R.paid_items(t.invoices, t.invoice_items, CFG).collect()] == [(10, "drug", 500)]
+
+
+def test_ordered_concat(spark):
+    """Texts in order, NULLs left out, a hot group and one of NULLs only; whatever the batches."""
+    rows = [(1, f"t{i:05d}") for i in range(5000)] + [(2, None), (3, "b"), (3, "a"), (3, None), (3, "é"), (None, "z"), (None, "y"), (4, ""), (4, "x")]
+    df = spark.createDataFrame(rows, "k long, t string").repartition(7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        got = [tuple(r) for r in R.ordered_concat(df, "k", "t", "t", "all").collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 5 and dict(got) == {1: ",".join(f"t{i:05d}" for i in range(5000)), 2: None, 3: "a,b,é", None: "y,z", 4: ",x"}
+    assert R.ordered_concat(df.limit(0), "k", "t", "t", "all").collect() == []
+
+
+def test_ladder_with_a_pattern_that_holds_the_separator(spark):
+    ladder = L.Ladder("x", ((L.Has("a,b"), "both"), (L.Has("c"), "c")), "none")
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (2, "a"), (3, None), (4, "A,B")], "k long, t string")
+    got = {r.k: r.label for r in R.ladder_over_groups(df, "k", "t", ladder, "label").collect()}
+    assert got == {1: "both", 2: "c", 3: "none", 4: "both"}
+
+
+def test_diagnosis_text_and_label_agree_with_the_flags(spark):
+    t = tables(spark, encounters=[enc(i, i, typ="Merged-RX") for i in range(4)], form_answers=[
+        (0, "Diagnosis", "zeta", TS, None), (0, "final diagnosis", "alpha", TS, None), (1, "Diagnosis", None, TS, None), (2, "Other", "x", TS, None),
+        (3, "Diagnosis", "gone", TS, TS)])
+    got = {r.encounter_id: (r.diagnosis, r.diag_cat) for r in R.diagnosis_texts(t.encounters, t.form_answers).collect()}
+    flags = {r.encounter_id: r.diag_cat for r in R.diagnosis_per_encounter(t.encounters, t.form_answers).collect()}
+    assert {k: v[0] for k, v in got.items()} == {0: "alpha,zeta", 1: None, 2: None, 3: None}
+    assert {k: v[1] for k, v in got.items()} == flags
