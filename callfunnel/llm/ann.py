@@ -4,6 +4,8 @@ The tree is fitted on a bounded sample and every vector is filed under a leaf. A
 tree with a priority queue of centre distances and gets the leaves in the order it would open
 them. How many leaves are opened is calibrated: for some queries the true neighbours are found by
 brute force over all vectors, and visits are widened until the target share of them is covered.
+A query's first leaves bound its distance; the others give out nothing beyond that bound, so what is
+given out per query doesn't grow with the number of leaves.
 
 Equal vectors are one entry with its k + 1 smallest ids, which is exact (ties go to smaller ids)
 and keeps a vector that fills a third of the table from filling a group. Leaves are cut into
@@ -26,13 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from callfunnel.llm.common import stored
+from callfunnel.llm.common import drop_stored, stored
 
 SAMPLE_ROWS = 16_384  # bound of the sample that the tree is fitted on
 CALIBRATION_QUERIES = 256  # bound of the queries whose true neighbours are found by brute force
 LEAF_ROWS = 256  # vectors aimed at in a leaf, as far as the sample allows
 BRANCHES = 16
 BLOCK_ROWS = 4096
+FIRST = 8  # leaves that bound a query's distances before the others are opened
 TARGET = 0.985
 
 
@@ -174,42 +177,58 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(leaves, pa.list_(pa.int32()))], ["name", "v", "leaves"])
 
     walks = asked.select("name", "v").mapInArrow(order, "name long, v array<double>, leaves array<int>")
-    walks = walks.select("name", "v", F.explode("leaves").alias("leaf"))
+    walks = stored(walks.select("name", "v", F.posexplode("leaves").alias("place", "leaf")), "walks")
+    # the first leaves give each query its bound, the others only what lies within it
+    first = stored(nearest_of(visited(index, walks.filter(F.col("place") < FIRST).withColumn("bound", F.lit(float("inf"))), k), k), "first")
+    bounds = first.groupBy("name").agg(F.when(F.count("*") > k, F.max("score")).otherwise(float("inf")).alias("bound"))
+    rest = walks.filter(F.col("place") >= FIRST).join(bounds, "name")
+    found = stored(nearest_of(first.unionByName(visited(index, rest, k)), k), "found")
+    # entries back to ids, entries' queries back to rows
+    named = index.select(F.col("name").alias("entry"), "ids")
+    listed = found.join(named, "entry").select("name", "score", F.explode("ids").alias("vec_id"))
+    best = F.row_number().over(Window.partitionBy("name").orderBy("score", "vec_id"))
+    listed = stored(listed.withColumn("n", best).filter(F.col("n") <= k + 1).drop("n"), "listed")
+    of_row = queries.join(asked.select("name", "v"), "v").select("query_id", "name").distinct()
+    out = of_row.join(listed, "name").filter("query_id <> vec_id")
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    out = out.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    out = stored(out.withColumn("rank", best).filter(F.col("rank") <= k)
+                 .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "nearest")
+    drop_stored(spark, rows, entries, index, asked, walks, first, found, listed)
+    return out
+
+
+def nearest_of(found: DataFrame, k: int) -> DataFrame:
+    """The k + 1 nearest entries of each query's found ones."""
+    best = F.row_number().over(Window.partitionBy("name").orderBy("score", "entry"))
+    return found.withColumn("n", best).filter(F.col("n") <= k + 1).drop("n")
+
+
+def visited(index: DataFrame, walks: DataFrame, k: int) -> DataFrame:
+    """(name, entry, score): of each leaf that a query (name, v, leaf, bound) visits the k + 1 nearest entries within the bound."""
     sizes = index.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("i_blocks"))
     asks = walks.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("q_blocks"))
-    blocks = stored(sizes.join(asks, "leaf"), "blocks")
+    blocks = sizes.join(asks, "leaf")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     left = (walks.join(blocks, "leaf").withColumn("q", F.pmod(F.xxhash64("name"), "q_blocks").cast("int"))
-            .select("leaf", "q", every("i_blocks").alias("i"), "name", "v"))
+            .select("leaf", "q", every("i_blocks").alias("i"), "name", "v", "bound"))
     right = (index.join(blocks, "leaf").withColumn("i", F.pmod(F.xxhash64("name"), "i_blocks").cast("int"))
              .select("leaf", every("q_blocks").alias("q"), "i", F.col("name").alias("entry"), "v"))
 
     def compare(_, asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        if not len(asking) or not len(held):
-            return pd.DataFrame({"name": [], "entry": [], "score": []})
-        x, first = matrix(held["v"]), held["entry"].to_numpy()
-        names, entry, score = [], [], []
-        for name, v in zip(asking["name"], asking["v"]):
-            at, d = nearest(np.asarray(v, np.float64), x, first, k + 1)
-            names += [name] * len(at)
-            entry.append(first[at])
-            score.append(d)
-        return pd.DataFrame({"name": names, "entry": np.concatenate(entry), "score": np.concatenate(score)})
+        names, entry, score = [], [np.empty(0, np.int64)], [np.empty(0)]
+        if len(asking) and len(held):
+            x, first = matrix(held["v"]), held["entry"].to_numpy()
+            for name, v, bound in zip(asking["name"], asking["v"], asking["bound"]):
+                at, d = nearest(np.asarray(v, np.float64), x, first, k + 1)
+                at, d = at[d <= bound], d[d <= bound]
+                names += [name] * len(at)
+                entry.append(first[at])
+                score.append(d)
+        return pd.DataFrame({"name": np.array(names, np.int64), "entry": np.concatenate(entry), "score": np.concatenate(score)})
 
     keys = ["leaf", "q", "i"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "name long, entry long, score double")
-    best = F.row_number().over(Window.partitionBy("name").orderBy("score", "entry"))
-    found = stored(found.withColumn("n", best).filter(F.col("n") <= k + 1).drop("n"), "found")
-    # entries back to ids, entries' queries back to rows
-    named = index.select(F.col("name").alias("entry"), "ids")
-    listed = found.join(named, "entry").select("name", "score", F.explode("ids").alias("vec_id"))
-    best = F.row_number().over(Window.partitionBy("name").orderBy("score", "vec_id"))
-    listed = stored(listed.withColumn("n", best).filter(F.col("n") <= k + 1).drop("n"), "listed")
-    of_row = queries.join(asked.select("name", "v"), "v").select("query_id", "name").distinct()
-    out = of_row.join(listed, "name").filter("query_id <> vec_id")
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    out = out.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    return out.withColumn("rank", best).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "name long, entry long, score double")
 
 
 def brute_force(index: DataFrame, names: np.ndarray, x: np.ndarray, k: int) -> DataFrame:
