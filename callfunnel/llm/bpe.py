@@ -22,6 +22,7 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 
 CHUNK = 1 << 16
-CACHED_WORDS = 150_000  # memory bound of each of the two generations of the memo of merged pieces
+CACHED_WORDS = 60_000  # memory bound of each of the two generations of the memo of merged pieces
+ROWS = 256  # texts that are held at once
 NEVER = 1 << 30  # rank of a pair that doesn't merge
 SHIFT = 30
 CACHED_LENGTH = 32  # symbols of the longest piece that is kept in the memo
@@ -112,8 +114,8 @@ class Vocabulary:
         self.longest = max(self.lengths.values())
 
 
-#: A piece's number of tokens, its ids joined by a space, and the text they decode to.
-Merged = tuple[int, str, str]
+#: A piece's token ids.
+Merged = tuple[int, ...]
 
 
 class Encoder:
@@ -217,12 +219,8 @@ class Encoder:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.key_ranks[at], NEVER)
 
-    def shown(self, ids: list[int]) -> Merged:
-        names = self.v.tokens
-        return len(ids), " ".join(map(str, ids)), " ".join([names[i] for i in ids])
-
     def of_symbols(self, symbols: str) -> Merged:
-        return self.shown(list(self.stream(symbols)))
+        return tuple(self.stream(symbols))
 
     def pieces(self, text: str) -> list[str | Merged]:
         """The pieces of a stretch without special tokens."""
@@ -253,7 +251,7 @@ class Encoder:
                 continue
             found: list[str | Merged] = []
             for k, part in enumerate(self.marks.split(chunk)):
-                found += [(1, str(self.v.special[part]), part)] if k % 2 else self.pieces(part)
+                found += [(self.v.special[part],)] if k % 2 else self.pieces(part)
             yield size, found
 
     def known(self, chunks: list[list[str | Merged]]) -> dict:
@@ -272,7 +270,7 @@ class Encoder:
         for at in range(0, len(short), 4096):
             some = short[at:at + 4096]
             for (piece, _), ids in zip(some, self.bulk([s for _, s in some])):
-                out[piece] = self.shown(ids)
+                out[piece] = tuple(ids)
         if len(self.words) + len(short) > CACHED_WORDS:
             self.older, self.words = self.words, {}
         self.words.update((p, out[p]) for p, _ in short[:CACHED_WORDS])
@@ -296,7 +294,7 @@ class Encoder:
             yield k, list(map(merged.__getitem__, chunk))
 
     def ids(self, text: str) -> list[int]:
-        return [i for _, chunk in self.run([text]) for piece in chunk for i in map(int, piece[1].split())]
+        return [i for _, chunk in self.run([text]) for piece in chunk for i in piece]
 
 
 class Decoder:
@@ -306,7 +304,7 @@ class Decoder:
         self.tokens, self.begun = vocabulary.tokens, False
 
     def feed(self, ids) -> str:
-        text = " ".join(self.tokens[i] for i in ids if i in self.tokens)
+        text = " ".join(map(self.tokens.__getitem__, ids))
         text = f" {text}" if self.begun and text else text
         self.begun |= bool(text)
         return text
@@ -355,13 +353,19 @@ def _shared(docs: DataFrame, path: str):
     return docs.sparkSession.sparkContext.broadcast((spec, Vocabulary(spec).reach))
 
 
+def _slices(batches) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, ids array<int>, decoded string (the library's decode of the ids)."""
     shared = _shared(docs, tokenizer_path)
 
     def run(batches):
         encoder = _encoder(*shared.value)
-        for batch in batches:
+        for batch in _slices(batches):
             ids = [encoder.ids(t) if t else [] for t in batch.column(1).to_pylist()]
             text = [Decoder(encoder.v).feed(x) for x in ids]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(text, pa.string())], ["doc_id", "ids", "decoded"])
@@ -370,26 +374,25 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
 
 
 def encode_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_tokens and SHA-256 of the ids and of the decoded text, taken as tokens are emitted.
+    """Per row: doc_id, n_tokens and SHA-256 of the ids and of the decoded text, both taken as tokens are emitted.
 
-    The memo keeps a piece's ids beside the text they decode to, so both digests advance together.
+    A text's emitted ids go straight to its decoder, which carries on where it was.
     """
     shared = _shared(docs, tokenizer_path)
 
     def run(batches):
         encoder = _encoder(*shared.value)
-        for batch in batches:
+        numbers = [str(i) for i in range(max(encoder.v.tokens) + 1)]
+        for batch in _slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            counts, gaps = [0] * len(texts), [""] * len(texts)
+            counts, decoders = [0] * len(texts), [Decoder(encoder.v) for _ in texts]
             ids, decoded = ([hashlib.sha256() for _ in texts] for _ in range(2))
             for k, chunk in encoder.run(texts):
-                chunk = [c for c in chunk if c[0]]
-                if chunk:
-                    n, x, y = zip(*chunk)
-                    counts[k] += sum(n)
-                    ids[k].update((gaps[k] + " ".join(x)).encode())
-                    decoded[k].update((gaps[k] + " ".join(y)).encode())
-                    gaps[k] = " "
+                flat = list(chain.from_iterable(chunk))
+                if flat:
+                    ids[k].update(((" " if counts[k] else "") + " ".join(map(numbers.__getitem__, flat))).encode())
+                    decoded[k].update(decoders[k].feed(flat).encode())
+                    counts[k] += len(flat)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array([h.hexdigest() for h in ids], pa.string()),
                                               pa.array([h.hexdigest() for h in decoded], pa.string())],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
