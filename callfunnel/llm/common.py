@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 WHITE = "\t\n\x0b\x0c\r"
 
 
+ROW_GROUP = 32 << 20  # bytes that a writer holds
+
 _SHIPPED: set[str] = set()
 
 
@@ -66,7 +68,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """`df` written to the shared folder and read again: lineage ends there and survives lost executors."""
     spark = df.sparkSession
     path = shared_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

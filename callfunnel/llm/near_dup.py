@@ -141,11 +141,11 @@ def forest_neighbours(classes: DataFrame, depth: int) -> DataFrame:
     at = lambda k: F.element_at("sig", ((F.col("tree") * depth + k) % size + 1).cast("int"))
     trees = F.explode(F.sequence(F.lit(0), F.lit(SORTED_TREES - 1)))
     labels = (classes.select("node", "n", "sig", *SKETCH, trees.alias("tree"))
-              .select("tree", F.array(*[at(k) for k in range(depth)]).alias("head"),
+              .select("tree", F.xxhash64(*[at(k) for k in range(depth)]).alias("head"),  # only ever compared for equality
                       F.array(*[at(depth + k) for k in range(TAIL)]).alias("tail"), "node", "n", *SKETCH))
     order = ["tree", "head", "tail", "node"]
     names = ["tree", "head", "tail", "node", "n", *SKETCH]
-    layout = "a long, b long, tree int, head array<int>, tail array<int>, node long, n long, b1 long, b2 long, b3 long, b4 long"
+    layout = "a long, b long, tree int, head long, tail array<int>, node long, n long, b1 long, b2 long, b3 long, b4 long"
 
     def run(batches):
         """Pairs inside the partition; its first and last row, for the pairs across partitions."""
@@ -159,7 +159,7 @@ def forest_neighbours(classes: DataFrame, depth: int) -> DataFrame:
             else:
                 rows = pa.concat_tables([last, rows])
             n = rows.num_rows
-            head = np.column_stack([rows["tree"].to_numpy(), rows["head"].combine_chunks().flatten().to_numpy().reshape(n, depth)])
+            head = np.column_stack([rows["tree"].to_numpy(), rows["head"].to_numpy()])
             found = np.flatnonzero((head[1:] == head[:-1]).all(axis=1))
             if len(found):
                 found = found[_alike(*[(rows["n"].to_numpy()[found + k], np.column_stack([rows[b].to_numpy()[found + k] for b in SKETCH])) for k in (0, 1)])]
@@ -171,7 +171,7 @@ def forest_neighbours(classes: DataFrame, depth: int) -> DataFrame:
             yield from padded(last)
 
     numbers = pa.list_(pa.int32())
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tree", pa.int32()), ("head", numbers), ("tail", numbers),
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tree", pa.int32()), ("head", pa.int64()), ("tail", numbers),
                         ("node", pa.int64()), ("n", pa.int64()), *((b, pa.int64()) for b in SKETCH)])
 
     def padded(t: pa.Table):
@@ -258,10 +258,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def region_links(classes: DataFrame, components: DataFrame, trees: int, depth: int, percent: int, sets_of) -> DataFrame:
     """Links (a, b) between different components among the classes that share a region of some tree."""
-    part = classes.select("node").join(components, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    part = stored(part, "parts")
     heads = F.array(*[F.xxhash64(F.lit(t), F.slice("sig", t * depth + 1, depth)) for t in range(trees)])
-    rows = classes.select("node", "sig").join(part, "node").select(F.explode(heads).alias("region"), "node", "component")
+    # classes without a link so far are components of their own; only the others are joined
+    rows = classes.select("node", "sig").join(components, "node", "left").select(
+        F.explode(heads).alias("region"), "node", F.coalesce("component", "node").alias("component"))
     mixed = stored(rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                    .filter("lo <> hi").select("region"), "mixed")
     members = stored(rows.join(mixed, "region", "left_semi"), "members")
@@ -269,7 +269,8 @@ def region_links(classes: DataFrame, components: DataFrame, trees: int, depth: i
             .groupBy("region").agg(F.max_by("component", F.struct("size", "component")).alias("main")))
     minors = stored(members.join(main, "region").filter("component <> main"), "minors")
     asked = stored(minors.select("node", F.col("component").alias("own"), F.col("main").alias("group")).distinct(), "asked")
-    held = part.join(asked.select(F.col("group").alias("component")).distinct(), "component", "left_semi").select("node", F.col("component").alias("group"))
+    groups = asked.select("group").distinct()
+    held = groups.join(components.withColumnRenamed("component", "group"), "group", "left").select(F.coalesce("node", "group").alias("node"), "group")
     held = stored(held, "held")
     sets = sets_of(held.select("node").unionByName(minors.select("node")))
 
@@ -329,7 +330,7 @@ def region_links(classes: DataFrame, components: DataFrame, trees: int, depth: i
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     links = stored(left.groupBy("bucket").cogroup(right.groupBy("bucket")).applyInPandas(search, "a long, b long"), "links")
-    drop_stored(classes.sparkSession, part, mixed, members, minors, asked, held, shape, sets)
+    drop_stored(classes.sparkSession, mixed, members, minors, asked, held, shape, sets)
     return links
 
 
