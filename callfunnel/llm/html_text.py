@@ -3,10 +3,12 @@
 A page is read once into a tree of elements and a list of text blocks. Each block gives points for
 its length and its commas to the elements around it, fewer the further up; an element's points are
 discounted by its link density. The best container is kept, with siblings that score well too.
-Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-are left out by element, role, class or id. Within article or main a class marks containers only
-(not headings, paragraphs, inline elements, or sections that start with a heading), an id nothing
-but reader comments and advert slots, and formulas, labels, legends, objects and dialogs stay.
+Menus, headers, footers, forms, scripts and styles are left out by element, role or because they are
+hidden; sidebars, notices, adverts and reader comments by a class or id that says so as a whole
+(`sidebar`, `cookie-notice`, not `has-sidebar`), and then only where the element holds no article
+or main and not most of the page's text. Within article or main a class marks containers only
+(not tables, figures, headings, paragraphs, inline elements, or sections that start with a heading),
+an id nothing but reader comments and advert slots, and formulas, labels, legends, objects and dialogs stay.
 
 A block's text has its character references decoded and its white space made one space; blocks
 stand in page order with an empty line between them. Markup may be broken or cut off anywhere.
@@ -42,7 +44,7 @@ DROPPED = set("nav footer aside form script style noscript template button selec
 #: of these, what is text of an article when it stands within one
 KEPT_INSIDE = set("math label legend object dialog fieldset".split())
 #: elements within an article that a class can mark as something else
-CONTAINERS = set("div section ul ol dl table figure center details".split())
+CONTAINERS = set("div section ul ol dl center details".split())
 #: marks that no part of an article bears: they count for sections with a heading, and as ids of div and lists, as well
 SURE = set("comments commentlist disqus adsense adslot".split())
 HEADING = re.compile(r"\s*+(?:<!--.*?-->\s*+)*+<(?:h[1-6]|hgroup|header)\b", re.I | re.S)
@@ -53,6 +55,9 @@ MARKS = set("ad ads adv advert adverts advertisement advertising adsense adslot
             "notice notices notification alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist "
             "respond reply replies disqus discussion share sharing social related recommended recommendations pagination pager skip search "
             "hidden copyright".split())
+#: what may stand beside marks in one class or id, such as `site-footer` or `ad-slot`
+GENERIC = set("site page box block slot unit area bar wrap wrapper container inner outer list item items panel links link top bottom left right global "
+              "primary secondary section sticky message policy form button buttons icons post posts article articles bbs user".split())
 GOOD = set("article content entry main post story text body".split())
 
 
@@ -64,8 +69,19 @@ def words_of(attrs: dict[str, str], names: tuple[str, ...] = ("class", "id")) ->
     return {w.lower() for k in names for w in PARTS.findall(attrs.get(k, ""))}
 
 
-def beside(tag: str, attrs: dict[str, str], in_article: bool, headed: Callable[[], bool] = lambda: False) -> bool:
-    """Whether the element is something other than article text; `headed` tells whether it starts with a heading."""
+def marks_of(attrs: dict[str, str], names: tuple[str, ...] = ("class", "id")) -> set[str]:
+    """The marks of classes and ids that are nothing but marks and generic words."""
+    out: set[str] = set()
+    for name in names:
+        for token in attrs.get(name, "").split():
+            words = {w.lower() for w in PARTS.findall(token)}
+            if words <= MARKS | GENERIC | {"header"}:
+                out |= words & (MARKS | {"header"})
+    return out
+
+
+def beside(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+    """Whether the element is something other than article text, by its kind, its role or because it is hidden."""
     if (tag in DROPPED and not (in_article and tag in KEPT_INSIDE)) or (tag == "header" and not in_article):
         return True
     if not attrs:
@@ -74,12 +90,19 @@ def beside(tag: str, attrs: dict[str, str], in_article: bool, headed: Callable[[
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")):
         return True
+    return False
+
+
+def marked(tag: str, attrs: dict[str, str], in_article: bool, headed: Callable[[], bool] = lambda: False) -> bool:
+    """Whether a class or id says that the element isn't article text; `headed` tells whether it starts with a heading."""
+    if not attrs or tag in ("html", "body"):
+        return False
     if in_article:
-        marks = words_of(attrs, ("class",)) & MARKS if tag in CONTAINERS else set()
+        marks = marks_of(attrs, ("class",)) & MARKS if tag in CONTAINERS else set()
         return bool(marks) and (tag != "section" or not marks.isdisjoint(SURE) or not headed()) or (
-            tag in ("div", "ul", "ol") and not words_of(attrs, ("id",)).isdisjoint(SURE))
-    return tag not in ("html", "body", "article", "main") and not words_of(attrs).isdisjoint(MARKS) or (
-        tag not in ("html", "body") and "header" in words_of(attrs) and tag != "h1")
+            tag in ("div", "ul", "ol") and not marks_of(attrs, ("id",)).isdisjoint(SURE))
+    marks = marks_of(attrs)
+    return tag not in ("article", "main") and not marks.isdisjoint(MARKS) or "header" in marks and tag != "h1"
 
 
 class Page:
@@ -89,8 +112,10 @@ class Page:
         self.tag, self.parent, self.good, self.has_blocks = ["#root"], [-1], [False], [False]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
         self.stack = [0]
+        self.marked: list[int] = []  # elements that their class or id marks
         self.dropping = 0  # height of the stack at which a left-out element stands; 0: none
         self.open: dict[str, int] = {}
+        self.paragraphs: list[int] = []  # heights of the stack at which p elements stand
         self.text: list[str] = []
         self.linked = 0
         self.read(source)
@@ -121,7 +146,7 @@ class Page:
         if tag in BLOCK:
             self.flush()
             if self.open.get("p"):
-                self.end_to(len(self.stack) - 1 - [self.tag[n] for n in reversed(self.stack)].index("p"))
+                self.end_to(self.paragraphs[-1])
         if tag == "br":
             self.text.append(" ")
         if tag in ALIKE:
@@ -137,9 +162,17 @@ class Page:
         self.has_blocks.append(False)
         if tag in BLOCK:
             self.has_blocks[parent] = True
+        if tag == "p":
+            self.paragraphs.append(len(self.stack))
         self.stack.append(node)
         self.open[tag] = self.open.get(tag, 0) + 1
-        if not self.dropping and beside(tag, attrs, bool(self.open.get("article") or self.open.get("main")), headed):
+        if self.dropping:
+            return
+        inside = bool(self.open.get("article") or self.open.get("main"))
+        said = marked(tag, attrs, inside, headed)
+        if said and tag in BLOCK:
+            self.marked.append(node)
+        if said and tag not in BLOCK or beside(tag, attrs, inside):
             self.flush()
             self.dropping = len(self.stack)
 
@@ -170,6 +203,8 @@ class Page:
         for n in self.stack[height:]:
             self.open[self.tag[n]] -= 1
         del self.stack[height:]
+        while self.paragraphs and self.paragraphs[-1] >= height:
+            self.paragraphs.pop()
         if self.dropping > len(self.stack):
             self.text.clear()
             self.linked, self.dropping = 0, 0
@@ -188,8 +223,26 @@ class Page:
         self.text.clear()
         self.linked = 0
 
+    def leave_out(self) -> None:
+        """Drop the blocks of marked elements that hold no article or main and not most of the text."""
+        n = len(self.tag)
+        size, holds = [0] * n, [t in ("article", "main") for t in self.tag]
+        for owner, text, _ in self.blocks:
+            size[owner] += len(text)
+        for node in range(n - 1, 0, -1):
+            size[self.parent[node]] += size[node]
+            holds[self.parent[node]] |= holds[node]
+        out = [False] * n
+        for node in self.marked:
+            out[node] = not holds[node] and 2 * size[node] <= size[0]
+        for node in range(1, n):
+            out[node] |= out[self.parent[node]]
+        self.blocks = [b for b in self.blocks if not out[b[0]]]
+
     def main_blocks(self) -> list[str]:
         """The texts of the blocks in the best container and its good siblings."""
+        if self.marked:
+            self.leave_out()
         if not self.blocks:
             return []
         n = len(self.tag)

@@ -295,6 +295,31 @@ def test_article_parts_stay_whatever_their_ids():
         assert html_text.main_text(page).split("\n\n") == want
 
 
+PROSE = "<p>A first paragraph, with some words, and more of them.</p><p>A second one, which follows it, and ends.</p>"
+
+
+def test_marks_that_are_part_of_a_class_or_hold_the_article_drop_nothing():
+    want = "A first paragraph, with some words, and more of them.\n\nA second one, which follows it, and ends."
+    for page in ('<div class="content has-sidebar">%s</div>', '<div id="page" class="no-sidebar"><article>%s</article></div>',
+                 '<div class="wrap with-banner"><main>%s</main></div>', '<div class="post sponsored-free">%s</div>', '<div class="page-header-fixed">%s</div>',
+                 '<article><div class="has-related entry-content">%s</div></article>', '<article><div class="related-work">%s</div></article>',
+                 '<div class="banner"><article>%s</article></div>', '<div class="widget">%s</div><div class="sidebar">Other, words</div>'):
+        assert html_text.main_text("<body>" + page % PROSE + "</body>") == want, page
+    assert "One, two" in html_text.main_text('<article><p>A, b.</p><table class="search results"><tr><td>One, two</td></tr></table></article>')
+    assert html_text.main_text(f'<body><div class="cookie-notice">We, use, cookies</div><div class="site-footer">The, end</div><div>{PROSE}</div></body>') == want
+
+
+def test_nested_pages_are_read_in_linear_time():
+    import time
+    took = []
+    for n in (2000, 16_000):
+        page = "<div><p>a, b " * n
+        start = time.perf_counter()
+        html_text.main_text(page)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 24 * took[0] + 0.05
+
+
 def test_pages_rows(spark):
     data = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "v", "<article><h1>A</h1><p>b", "y")]
     out = html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string, text string"))
