@@ -7,6 +7,10 @@ part of one more. A source is cut into blocks by hash and every epoch visits the
 permutation; the last epoch takes blocks, then documents of one block, until the budget is reached
 (the document that crosses it is the last one).
 
+The sources stay on the cluster, however many they are: the bisection only asks for sums of powers of
+the shares, for several exponents a pass. Blocks hold about `block_tokens` tokens, so their number follows
+the source's size; their running sums are taken over ranges of the permutation.
+
 A token is a word; a text without words (null or empty too) costs one. A null source is a source of
 its own. Repeated rows share their place in the order and are taken or left together. An empty
 table gives an empty table. Other columns pass through.
@@ -15,73 +19,75 @@ table gives an empty table. Other columns pass through.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callfunnel.llm.common import stored, whole, words
 
-MAX_SOURCES = 100_000  # one row a source reaches the driver; more are refused
-STEPS = 60
-
+CUTS, PASSES = 15, 13  # exponents tried in a pass; 16 ** 13 parts of [0, 1]
+RANGE_BITS = 10  # of the 60 bits of a block's place: the ranges of its running sum
 
-def weights(shares: list[float], alpha: float) -> list[float]:
-    powers = [p ** alpha for p in shares]
-    total = math.fsum(powers)
-    return [x / total for x in powers]
+#: For some exponents a: the sums over sources of p^a and of p^a ln p, p being a source's share.
+Moments = Callable[[list[float]], list[tuple[float, float]]]
 
 
-def entropy(shares: list[float], alpha: float) -> float:
-    return -math.fsum(w * math.log(w) for w in weights(shares, alpha) if w > 0)
+def entropy(alpha: float, powers: float, logs: float) -> float:
+    """Of the mixture at `alpha`, from its moments."""
+    return math.log(powers) - alpha * logs / powers
 
 
-def repeats(shares: list[float], alpha: float, budget: float) -> float:
-    """Epochs of the source that is seen most often, for a budget in corpora."""
-    return max(budget * w / p for w, p in zip(weights(shares, alpha), shares))
+def repeats(alpha: float, powers: float, smallest: float, budget: float) -> float:
+    """Epochs of the source that is seen most often, the one with the smallest share, for a budget in corpora."""
+    return budget * smallest ** (alpha - 1.0) / powers
 
 
-def bisect(reached) -> float:
-    """The largest alpha in [0, 1] at which `reached` still holds, if it holds up to some alpha."""
+def bisect(reached: Callable[[list[float]], list[bool]]) -> float:
+    """The largest number in [0, 1] at which `reached` still holds, if it holds up to some number."""
     low, high = 0.0, 1.0
-    if reached(high):
+    if reached([high])[0]:
         return high
-    for _ in range(STEPS):
-        mid = (low + high) / 2
-        low, high = (mid, high) if reached(mid) else (low, mid)
+    for _ in range(PASSES):
+        inner = [low + (high - low) * i / (CUTS + 1) for i in range(1, CUTS + 1)]
+        ends = [low, *inner, high]
+        n = sum(reached(inner))
+        low, high = ends[n], ends[n + 1]
     return low
 
 
-def exponent(shares: list[float], budget: float, entropy_share: float, max_repeats: float) -> float:
+def exponent(moments: Moments, n_sources: int, smallest: float, budget: float, entropy_share: float, max_repeats: float) -> float:
     """Alpha for an entropy of `entropy_share` of the highest possible, and `max_repeats` epochs at most."""
-    if len(shares) < 2:
+    if n_sources < 2:
         return 1.0
-    target = entropy_share * math.log(len(shares))
-    alpha = bisect(lambda a: entropy(shares, a) >= target)
-    if repeats(shares, alpha, budget) <= max_repeats:
+    target = entropy_share * math.log(n_sources)
+    alpha = bisect(lambda tried: [entropy(a, *m) >= target for a, m in zip(tried, moments(tried))])
+    few = lambda tried: [repeats(a, m[0], smallest, budget) <= max_repeats for a, m in zip(tried, moments(tried))]
+    if few([alpha])[0]:
         return alpha
-    return 1.0 - bisect(lambda a: repeats(shares, 1.0 - a, budget) <= max_repeats)
+    return 1.0 - bisect(lambda tried: few([1.0 - a for a in tried]))
+
 
+def plans(sizes: DataFrame, budget: float = 1.0, entropy_share: float = 0.95, max_repeats: float = 4.0,
+          block_tokens: int = 1 << 18) -> DataFrame:
+    """Per source of `sizes` (source, n): n_blocks, epochs (whole ones), rest (tokens of the epoch after them), all long.
 
-@dataclass(frozen=True)
-class Plan:
-    source: str | None
-    n_blocks: int
-    epochs: int  # whole ones
-    rest: int  # tokens of the epoch after them
+    The budget is a multiple of the corpus. One row reaches the driver in each pass.
+    """
+    total, k, least = sizes.agg(F.sum("n"), F.count("*"), F.min("n")).first()
+    share = F.col("n") / F.lit(float(total or 1))
 
+    def moments(tried: list[float]) -> list[tuple[float, float]]:
+        powers = [F.pow(share, F.lit(a)) for a in tried]
+        row = sizes.agg(*[F.sum(p) for p in powers], *[F.sum(p * F.log(share)) for p in powers]).first()
+        return list(zip(row[:len(tried)], row[len(tried):]))
 
-def plans(sizes: list[tuple[str | None, int]], budget: float = 1.0, entropy_share: float = 0.95, max_repeats: float = 4.0,
-          block_tokens: int = 1 << 18, max_blocks: int = 1024) -> list[Plan]:
-    """The budget is a multiple of the corpus; a block is larger than `block_tokens` where `max_blocks` are reached."""
-    total = sum(n for _, n in sizes)
-    shares = [n / total for _, n in sizes]
-    alpha = exponent(shares, budget, entropy_share, max_repeats) if sizes else 1.0
-    out = []
-    for (source, n), w in zip(sizes, weights(shares, alpha) if sizes else []):
-        tokens = math.floor(w * (budget * total) + 0.5)
-        out.append(Plan(source, max(1, min(max_blocks, -(-n // block_tokens))), tokens // n, tokens % n))
-    return out
+    alpha = exponent(moments, k, (least or 1) / float(total or 1), budget, entropy_share, max_repeats)
+    powers = moments([alpha])[0][0] if k else 1.0
+    tokens = F.floor(F.pow(share, F.lit(alpha)) / F.lit(powers) * F.lit(budget * (total or 0)) + 0.5)
+    return (sizes.withColumn("tokens", tokens.cast("long"))
+            .select("source", F.expr(f"(n + {block_tokens - 1}) div {block_tokens}").alias("n_blocks"),
+                    F.expr("tokens div n").alias("epochs"), F.expr("tokens % n").alias("rest")))
 
 
 def number(*parts: Column | str | int) -> Column:
@@ -99,22 +105,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
                       F.greatest(F.size(words(whole(docs[text_col]))), F.lit(1)).cast("long").alias("_cost"),
                       number(seed, F.coalesce(docs[id_col].cast("string"), F.lit("-")), F.md5(whole(docs[text_col]))).alias("_h"))
     light = row.select("_source", "_cost", "_h")
-    sums = light.groupBy("_source").agg(F.sum("_cost").alias("n"))
-    sizes = [(r["_source"], r["n"]) for r in sums.limit(MAX_SOURCES + 1).collect()]
-    if len(sizes) > MAX_SOURCES:
-        raise ValueError(f"over {MAX_SOURCES} sources")
-    sizes.sort(key=lambda x: (x[0] is not None, x[0]))
-    plan = F.broadcast(docs.sparkSession.createDataFrame(  # at most MAX_SOURCES rows
-        [(p.source, p.n_blocks, p.epochs, p.rest) for p in plans(sizes, **targets)],
-        "p_source string, n_blocks int, epochs long, rest long"))
+    sizes = stored(light.groupBy(F.col("_source").alias("source")).agg(F.sum("_cost").alias("n")), "sizes")
+    # written, so the planner knows its size: broadcast if small, else joined by source, where AQE splits a hot one
+    plan = stored(plans(sizes, **targets).withColumnRenamed("source", "p_source"), "plan")
     same = F.col("_source").eqNullSafe(F.col("p_source"))
-    block = F.pmod(number(seed, "block", F.col("_h")), F.col("n_blocks")).cast("int")
+    block = F.pmod(number(seed, "block", F.col("_h")), F.col("n_blocks"))
     name = F.coalesce(F.concat(F.lit("="), F.col("_source")), F.lit("-"))
     placed = light.join(plan, same).withColumn("block", block)
     blocks = (placed.groupBy("_source", "block", "epochs", "rest").agg(F.sum("_cost").alias("tokens"))
-              .withColumn("order", number(seed, name, F.col("epochs"), F.col("block"))))
+              .withColumn("order", number(seed, name, F.col("epochs"), F.col("block")))
+              .withColumn("range", F.shiftright("order", 60 - RANGE_BITS)))
     running = "sum({}) OVER (PARTITION BY {} ORDER BY {} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    blocks = blocks.withColumn("upto", F.expr(running.format("tokens", "_source", "`order`")))
+    blocks = stored(blocks, "orders")
+    ranges = blocks.groupBy(F.col("_source").alias("r_source"), F.col("range").alias("r_range")).agg(F.sum("tokens").alias("r_tokens"))
+    ranges = ranges.withColumn("r_before", F.expr(running.format("r_tokens", "r_source", "r_range")) - F.col("r_tokens"))
+    blocks = blocks.join(ranges, F.col("_source").eqNullSafe(F.col("r_source")) & (F.col("range") == F.col("r_range")))
+    blocks = blocks.withColumn("upto", F.col("r_before") + F.expr(running.format("tokens", "_source, range", "`order`")))
     blocks = stored(blocks.filter("upto - tokens < rest").select(
         F.col("_source").alias("b_source"), F.col("block").alias("b_block"), (F.col("upto") - F.col("tokens")).alias("before"),
         "tokens", "rest"), "blocks")
@@ -159,7 +165,7 @@ h(step, low, high) AS (
         FROM (SELECT step, low, high, CASE WHEN step = 0 THEN 1 ELSE (low + high) / 2 END AS mid FROM h WHERE step < 61) a) b),
 a AS (SELECT CASE WHEN (SELECT k FROM g) < 2 THEN 1 ELSE low END AS alpha FROM h WHERE step = 61),
 q AS (SELECT source, n, CAST(floor(pow(share, alpha) / (SELECT sum(pow(share, alpha)) FROM p, a) * total + 0.5) AS BIGINT) AS tokens FROM p, a, g),
-pl AS (SELECT source, greatest(1, least(1024, CAST(ceil(n / 262144.0) AS BIGINT))) AS n_blocks, tokens // n AS epochs, tokens % n AS rest FROM q),
+pl AS (SELECT source, CAST(ceil(n / 262144.0) AS BIGINT) AS n_blocks, tokens // n AS epochs, tokens % n AS rest FROM q),
 x AS (SELECT d.*, epochs, rest, CAST('0x' || substr(md5('1|block|' || CAST(h AS VARCHAR)), 1, 15) AS BIGINT) % n_blocks AS block,
              coalesce('=' || d.source, '-') AS name FROM d JOIN pl ON d.source IS NOT DISTINCT FROM pl.source),
 b AS (SELECT source, block, rest, sum(cost) AS tokens, CAST('0x' || substr(md5('1|' || name || '|' || epochs || '|' || block), 1, 15) AS BIGINT) AS ord

@@ -8,6 +8,7 @@ from collections import Counter
 import public_tokenizers
 import pytest
 from data import SCHEMA, rows, table
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from callfunnel.llm import bpe, html_text, license_scan, line_dedup, mixing, pii, quality_classifier, quality_rules
@@ -134,7 +135,8 @@ def test_mixture_meets_its_weights(spark):
     docs = spark.createDataFrame(data, "doc_id int, text string, source string")
     out = mixing.mix(docs, entropy_share=0.5, max_repeats=30.0, block_tokens=500)
     got = Counter(r.source for r in out.collect())
-    plan = {p.source: p for p in mixing.plans([(None, 1), ("big", 30_000), ("small", 1000)], entropy_share=0.5, max_repeats=30.0)}
+    sizes = spark.createDataFrame([(None, 1), ("big", 30_000), ("small", 1000)], "source string, n long")
+    plan = {p.source: p for p in mixing.plans(sizes, entropy_share=0.5, max_repeats=30.0).collect()}
     for source, cost in (("big", 10), ("small", 10), (None, 1)):
         p = plan[source]
         n = {"big": 3000, "small": 100, None: 1}[source]
@@ -145,12 +147,26 @@ def test_mixture_meets_its_weights(spark):
 
 
 def test_exponent_limits():
-    shares = [0.9, 0.06, 0.04]
     import math
-    a = mixing.exponent(shares, 1.0, 0.9, 100.0)
-    assert math.isclose(mixing.entropy(shares, a), 0.9 * math.log(3), rel_tol=1e-9)
-    b = mixing.exponent(shares, 1.0, 0.9, 2.0)
-    assert b > a and mixing.repeats(shares, b, 1.0) <= 2.0 + 1e-9
+    shares = [0.9, 0.06, 0.04]
+    mixed = lambda a: [p ** a / sum(q ** a for q in shares) for p in shares]
+    moments = lambda tried: [(sum(p ** a for p in shares), sum(p ** a * math.log(p) for p in shares)) for a in tried]
+    a = mixing.exponent(moments, 3, 0.04, 1.0, 0.9, 100.0)
+    assert math.isclose(-sum(w * math.log(w) for w in mixed(a)), 0.9 * math.log(3), rel_tol=1e-9)
+    b = mixing.exponent(moments, 3, 0.04, 1.0, 0.9, 2.0)
+    assert b > a and math.isclose(max(w / p for w, p in zip(mixed(b), shares)), 2.0, rel_tol=1e-9)
+
+
+def test_many_sources_and_many_blocks(spark):
+    docs = spark.range(120_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id")).alias("source"), F.lit("w w w").alias("text"))
+    out = mixing.mix(docs)                                 # equal shares: every source once
+    assert out.count() == 120_000 and out.select("source").distinct().count() == 120_000
+    one = docs.limit(20_000).withColumn("source", F.lit("one"))
+    half = mixing.mix(one, budget=0.5, block_tokens=3)     # blocks of a few documents, beyond any fixed number
+    n_blocks = half.select("block_order").distinct().count()
+    assert n_blocks > 3000 and half.count() == 10_000
+    places = sorted(r.block_order for r in mixing.mix(one, block_tokens=3).select("block_order").distinct().collect())
+    assert sorted(r.block_order for r in half.select("block_order").distinct().collect()) == places[:n_blocks]
 
 
 def test_licenses_are_found_in_any_spelling(spark):
