@@ -11,13 +11,20 @@ look-alikes that are none (dates, versions, prices, plain numbers), and on a bou
 corpus's own windows, in which the base spans are the truth.
 
 Null text counts as empty: no spans. Null or repeated ids keep their rows; columns other than id
-and text are not read. Patterns run in time linear in the text, and windows don't grow with it.
+and text are not read. Patterns run in time linear in the text. Windows that meet are one window; it
+is read as a stream and cut wherever no candidate segment spans the border, which changes no result.
+Where candidates overlap without end, as in a table of numbers, features are held for BLOCK segments
+at a time, and 16 numbers or fewer a segment are kept for the dynamic program.
 """
 
 from __future__ import annotations
 
 import random
 import re
+from array import array
+from collections import deque
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +37,7 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS, MAX_CHARS, MAX_DIGITS, MAX_GROUPS = 24, 80, 24, 8  # of an entity; the segments of the dynamic program are bounded
 MIN_POSTERIOR = 0.9
 SAMPLE_DOCS, SAMPLE_WINDOWS, MADE = 4000, 300, 900
+BLOCK, SLICE = 1024, 64  # segments whose features are held; texts read at a time
 
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
@@ -131,82 +139,158 @@ def features(span: str, before: str, after: str, cue: str) -> list[float]:
 K = len(features("1", "", "", ""))
 
 
-def candidates(text: str, fixed: list[tuple[int, int, int]]) -> tuple[list[int], list[tuple[int, int]], np.ndarray]:
-    """Token borders of a window; candidate segments (first token, token after the last) and their features.
+def tokens(text: str, fixed: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, inside a fixed span) of the tokens, which are also cut at the ends of `fixed` spans."""
+    spans = sorted((s, e) for _, s, e in fixed if s < e)
+    cuts = sorted({p for span in spans for p in span})
+    c = at = reach = 0
+    for m in TOKENS.finditer(text):
+        start, end = m.span()
+        while start < end:
+            while c < len(cuts) and cuts[c] <= start:
+                c += 1
+            stop = min(end, cuts[c]) if c < len(cuts) else end
+            while at < len(spans) and spans[at][0] < stop:
+                reach, at = max(reach, spans[at][1]), at + 1
+            yield start, stop, reach > start
+            start = stop
+
+
+def segments_from(text: str, fixed: list[tuple[int, int, int]]) -> Iterator[tuple[int, list[tuple[int, list[float]]]]]:
+    """Per token, in order: its start, and the candidate segments from it as (token after the last, features).
 
-    `fixed` spans (in the window's characters) are segments that nothing else may overlap.
+    `fixed` spans are segments that nothing else may overlap. MAX_TOKENS tokens are looked ahead.
     """
-    borders = {0, len(text)} | {m.start() for m in TOKENS.finditer(text)} | {p for _, s, e in fixed for p in (s, e)}
-    at = sorted(borders)
-    held = [any(s < e2 and s2 < e for _, s2, e2 in fixed) for s, e in zip(at, at[1:])]
-    tokens = [text[s:e] for s, e in zip(at, at[1:])]
-    segments, rows, cue = [], [], ""
-    for i, token in enumerate(tokens):
-        if token[0].isalpha():
-            before_cue, cue = cue, token.lower()
-        else:
-            before_cue = cue
-        if held[i] or not (token[0].isalnum() or token in "+(") or token.isspace():
-            continue
-        digits = groups = 0
-        for j in range(i + 1, min(len(tokens), i + MAX_TOKENS) + 1):
-            last = tokens[j - 1]
-            if held[j - 1] or "\n" in last or at[j] - at[i] > MAX_CHARS:
-                break
-            if last[0] in "0123456789":
-                digits, groups = digits + len(last), groups + 1
-                if digits > MAX_DIGITS or groups > MAX_GROUPS:
+    stream = tokens(text, fixed)
+    ahead = deque(islice(stream, MAX_TOKENS))
+    i, cue = 0, ""
+    while ahead:
+        start, stop, held = ahead[0]
+        first, found, alpha = text[start], [], text[start].isalpha()
+        before_cue = cue
+        if alpha:
+            cue = text[start:stop].lower()
+        if not held and (first.isalnum() or first in "+(") and not text[start:stop].isspace():
+            digits = groups = 0
+            for j, (s, e, inside) in enumerate(ahead, i + 1):
+                last = text[s:e]
+                if inside or "\n" in last or e - start > MAX_CHARS:
                     break
-            if not last[0].isalnum():
+                if last[0] in "0123456789":
+                    digits, groups = digits + len(last), groups + 1
+                    if digits > MAX_DIGITS or groups > MAX_GROUPS:
+                        break
+                if not last[0].isalnum():
+                    continue
+                span = text[start:e]
+                if digits >= 7 or (digits >= 4 and first.isdigit() and last[0].isdigit() and j - i >= 7) or ((
+                        "@" in span or AT.search(span)) and last.isalpha() and text[start:stop].isalnum() and ("." in span or "dot" in span)):
+                    found.append((j, features(span, text[start - 1:start] if start else "", text[e:e + 1], before_cue if alpha else cue)))
+        yield start, found
+        ahead.popleft()
+        ahead.extend(islice(stream, 1))
+        i += 1
+
+
+def candidates(text: str, fixed: list[tuple[int, int, int]]) -> tuple[list[int], list[tuple[int, int]], np.ndarray]:
+    """Token borders of a short window; candidate segments (first token, token after the last) and their features."""
+    at, segments, rows = [], [], []
+    for i, (start, found) in enumerate(segments_from(text, fixed)):
+        at.append(start)
+        segments += [(i, j) for j, _ in found]
+        rows += [x for _, x in found]
+    return [*at, len(text)], segments, np.array(rows, float).reshape(-1, K)
+
+
+def stretches(text: str, fixed: list[tuple[int, int, int]], w: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Token borders, segments and their scores by kind, of each stretch of overlapping candidates.
+
+    No candidate spans the border of two stretches, so each is decoded by itself.
+    """
+    at, pairs, scores, rows, reach = array("i"), array("i"), [], [], 0
+
+    def score() -> None:
+        if rows:
+            scores.append(np.array(rows, float) @ w.T)
+            rows.clear()
+
+    def result() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        score()
+        return np.array(at), np.array(pairs).reshape(-1, 2), np.concatenate(scores)
+
+    base = 0
+    for i, (start, found) in enumerate(segments_from(text, fixed)):
+        if pairs and i >= reach:
+            at.append(start)
+            yield result()
+            at, pairs = array("i"), array("i")
+            scores.clear()
+        if not pairs:
+            if not found:
                 continue
-            span = text[at[i]:at[j]]
-            if digits >= 7 or (digits >= 4 and token[0].isdigit() and last[0].isdigit() and j - i >= 7) or ((
-                    "@" in span or AT.search(span)) and last.isalpha() and token.isalnum() and ("." in span or "dot" in span)):
-                segments.append((i, j))
-                rows.append(features(span, text[at[i] - 1:at[i]], text[at[j]:at[j] + 1], before_cue if token[0].isalpha() else cue))
-    return at, segments, np.array(rows, float).reshape(-1, K)
-
-
-def forward_backward(n: int, segments: list[tuple[int, int]], score: np.ndarray) -> np.ndarray:
-    """Posterior of every (segment, kind); single tokens outside segments score 0."""
-    ending: list[list[int]] = [[] for _ in range(n + 1)]
-    starting: list[list[int]] = [[] for _ in range(n + 1)]
-    for k, (i, j) in enumerate(segments):
-        ending[j].append(k)
-        starting[i].append(k)
-    total = np.logaddexp.reduce(score, axis=1) if len(segments) else np.empty(0)
-    alpha, beta = [0.0] * (n + 1), [0.0] * (n + 1)
+            base = i
+        at.append(start)
+        for j, x in found:
+            pairs.extend((i - base, j - base))
+            rows.append(x)
+            reach = max(reach, j)
+        if len(rows) >= BLOCK:
+            score()
+    if pairs:
+        at.append(len(text))
+        yield result()
+
+
+def by_end(n: int, segments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Segments in order of their end, and where those of each end 0..n+1 begin."""
+    order = np.argsort(segments[:, 1], kind="stable")
+    return order, np.searchsorted(segments[order, 1], np.arange(n + 2))
+
+
+def forward_backward(n: int, segments, score: np.ndarray) -> np.ndarray:
+    """Posterior of every (segment, kind); single tokens outside segments score 0. Segments are in order of their first token."""
+    if not len(segments):
+        return score
+    segments = np.asarray(segments)
+    (first, last), total = segments.T, np.logaddexp.reduce(score, axis=1)
+    order, end = by_end(n, segments)
+    start = np.searchsorted(first, np.arange(n + 2))
+    alpha, beta = np.zeros(n + 1), np.zeros(n + 1)
     for j in range(1, n + 1):
-        terms = [alpha[j - 1], *(alpha[segments[k][0]] + total[k] for k in ending[j])]
-        alpha[j] = terms[0] if len(terms) == 1 else float(np.logaddexp.reduce(terms))
+        alpha[j] = alpha[j - 1]
+        if end[j] < end[j + 1]:
+            k = order[end[j]:end[j + 1]]
+            alpha[j] = np.logaddexp.reduce(np.append(alpha[j - 1], alpha[first[k]] + total[k]))
     for i in range(n - 1, -1, -1):
-        terms = [beta[i + 1], *(beta[segments[k][1]] + total[k] for k in starting[i])]
-        beta[i] = terms[0] if len(terms) == 1 else float(np.logaddexp.reduce(terms))
-    around = np.array([alpha[i] + beta[j] for i, j in segments]) - alpha[n]
-    return np.exp(np.minimum(score + around[:, None], 0.0)) if len(segments) else score
+        beta[i] = beta[i + 1]
+        if start[i] < start[i + 1]:
+            k = slice(start[i], start[i + 1])
+            beta[i] = np.logaddexp.reduce(np.append(beta[i + 1], beta[last[k]] + total[k]))
+    around = alpha[first] + beta[last] - alpha[n]
+    return np.exp(np.minimum(score + around[:, None], 0.0))
 
 
-def best_path(n: int, segments: list[tuple[int, int]], score: np.ndarray) -> list[tuple[int, int]]:
+def best_path(n: int, segments, score: np.ndarray) -> list[tuple[int, int]]:
     """(segment, kind) of the highest-scoring segmentation."""
-    kind = score.argmax(axis=1) if len(segments) else []
-    ending: list[list[int]] = [[] for _ in range(n + 1)]
-    for k, (_, j) in enumerate(segments):
-        ending[j].append(k)
-    best, via = [0.0] * (n + 1), [-1] * (n + 1)
+    if not len(segments):
+        return []
+    segments, kind, top = np.asarray(segments), score.argmax(axis=1), score.max(axis=1)
+    order, end = by_end(n, segments)
+    best, via = np.zeros(n + 1), np.full(n + 1, -1)
     for j in range(1, n + 1):
         best[j] = best[j - 1]
-        for k in ending[j]:
-            value = best[segments[k][0]] + score[k, kind[k]]
+        for k in order[end[j]:end[j + 1]]:
+            value = best[segments[k, 0]] + top[k]
             if value > best[j]:
                 best[j], via[j] = value, k
     out, j = [], n
     while j:
-        k = via[j]
+        k = int(via[j])
         if k < 0:
             j -= 1
         else:
             out.append((k, int(kind[k])))
-            j = segments[k][0]
+            j = int(segments[k, 0])
     return out[::-1]
 
 
@@ -291,14 +375,12 @@ def added_spans(text: str, base: list[tuple[int, int, int]], w: np.ndarray) -> l
             if places[p][1] > low:
                 fixed.append((places[p][2], max(places[p][0], low) - low, min(places[p][1], high) - low))
             p += 1
-        at, segments, x = candidates(text[low:high], fixed)
-        if not segments:
-            continue
-        score, n = x @ w.T, len(at) - 1
-        chosen = best_path(n, segments, score)
-        if chosen:
-            sure = forward_backward(n, segments, score)
-            out += [(kind, low + at[segments[k][0]], low + at[segments[k][1]]) for k, kind in chosen if sure[k, kind] >= MIN_POSTERIOR]
+        for at, segments, score in stretches(text[low:high], fixed, w):
+            n = len(at) - 1
+            chosen = best_path(n, segments, score)
+            if chosen:
+                sure = forward_backward(n, segments, score)
+                out += [(kind, low + int(at[segments[k, 0]]), low + int(at[segments[k, 1]])) for k, kind in chosen if sure[k, kind] >= MIN_POSTERIOR]
     return out
 
 
@@ -334,9 +416,12 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     def run(batches):
         for batch in batches:
-            base = [base_spans(t) for t in batch.column(1).to_pylist()]
-            more = [added_spans(t, b, weights.value) for t, b in zip(batch.column(1).to_pylist(), base)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(shown, base), layout), pa.array(map(shown, more), layout)], ["doc_id", "base", "added"])
+            for part in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
+                both = []
+                for text in map(pa.StringScalar.as_py, part.column(1)):
+                    base = base_spans(text)
+                    both.append((shown(base), shown(added_spans(text, base, weights.value))))
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, layout) for x in zip(*both))], ["doc_id", "base", "added"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(docs[id_col].alias("doc_id"), whole(docs[text_col]).alias("text")).mapInArrow(run, f"doc_id {kind}, base {span}, added {span}")

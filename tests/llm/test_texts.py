@@ -269,6 +269,72 @@ def test_field_adds_other_spellings_and_no_lookalikes():
     assert hits >= 0.75 * n and wrong <= 0.02 * none
 
 
+def segmentations(n, segments, at=0):
+    """Every way to read tokens `at`..n as segments (their numbers) and single tokens."""
+    if at == n:
+        yield []
+        return
+    yield from segmentations(n, segments, at + 1)
+    for k, (i, j) in enumerate(segments):
+        if i == at:
+            yield from ([k, *rest] for rest in segmentations(n, segments, j))
+
+
+def test_dynamic_program_equals_all_segmentations():
+    import itertools
+
+    import numpy as np
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        n = int(rng.integers(1, 8))
+        every = [(i, j) for i in range(n) for j in range(i + 1, n + 1)]
+        segments = [every[k] for k in sorted(rng.permutation(len(every))[:6])]
+        score = rng.normal(0, 2, (len(segments), 4))
+        mass, place, best = 0.0, np.zeros_like(score), (0.0, [])
+        for way in segmentations(n, segments):
+            for kinds in itertools.product(range(4), repeat=len(way)):
+                value = sum(score[k, c] for k, c in zip(way, kinds))
+                mass += np.exp(value)
+                for k, c in zip(way, kinds):
+                    place[k, c] += np.exp(value)
+                if value > best[0]:
+                    best = (value, list(zip(way, kinds)))
+        assert np.allclose(pii.forward_backward(n, segments, score), place / mass, atol=1e-12)
+        assert pii.best_path(n, segments, score) == best[1]
+
+
+def test_stretches_equal_the_whole_window():
+    import numpy as np
+    import random
+    rng, w = random.Random(5), np.random.default_rng(5).normal(0, 1, (4, pii.K))
+    for _ in range(300):
+        text = " ".join(rng.choice(("word", "12 34 56 78", "555-1234567", "a at b dot com", "x@y", "(212) 555", ", and", "2024-01-02 11")) for _ in range(rng.randint(0, 14)))
+        cut = sorted(rng.sample(range(len(text) + 1), 2)) if len(text) > 3 else None
+        fixed = [(0, *cut)] if cut and rng.random() < 0.5 else []
+        at, segments, x = pii.candidates(text, fixed)
+        score = x @ w.T
+        want = sum(score[k, kind] for k, kind in pii.best_path(len(at) - 1, segments, score))
+        sure = pii.forward_backward(len(at) - 1, segments, score)
+        got, spans, posterior = 0.0, [], []
+        for part, pairs, values in pii.stretches(text, fixed, w):
+            got += sum(values[k, kind] for k, kind in pii.best_path(len(part) - 1, pairs, values))  # values, as equal spans tie
+            spans += [(part[i], part[j]) for i, j in pairs]
+            posterior.append(pii.forward_backward(len(part) - 1, pairs, values))
+        assert np.isclose(got, want) and spans == [(at[i], at[j]) for i, j in segments]
+        assert np.allclose(np.concatenate([*posterior, np.empty((0, 4))]), sure, atol=1e-9)
+
+
+def test_number_tables_in_bounded_memory():
+    import tracemalloc
+
+    import numpy as np
+    text = "1234 567 89 " * 10_000
+    tracemalloc.start()
+    pii.added_spans(text, pii.base_spans(text), np.zeros((4, pii.K)) - 1.0)
+    assert tracemalloc.get_traced_memory()[1] < 300 * len(text)  # bytes
+    tracemalloc.stop()
+
+
 def test_personal_data_rows(spark, docs):
     got = {}
     for r in pii.report(docs).collect():
