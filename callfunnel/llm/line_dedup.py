@@ -1,7 +1,13 @@
 """Line dedup by site-relative frequency: lines on too large a share of a host's pages are boilerplate.
 
-Pages with the same text count as one page, so a copied article is not taken for boilerplate. A
-line is compared without the white space around it; lines without a word are never dropped.
+Boilerplate is what a host repeats on pages that are otherwise its own: a line on more than 1 % of
+them, and on 5 at least. Pages with the same text count as one page. Near copies of an article don't
+count at all, so that its lines are not taken for boilerplate: a page is such a copy if more than half
+of its paragraph ends (first and last five words of lines of ten words or more) are frequent on the
+host, on more than half that share of all its pages. Short lines such as menus give no paragraph ends,
+so they can't make a copy of a page. Lines are dropped from all pages, copies too.
+
+A line is compared without the white space around it; lines without a word are never dropped.
 
 Null text stays null and counts as an empty page; a null host is a host of its own. A text whose
 lines all go becomes empty. Repeated rows are treated alike, an empty table gives an empty table,
@@ -13,8 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callfunnel.llm.common import stored, whole
+from callfunnel.llm.common import let, stored, whole, words
 
+END_WORDS = 5
 AROUND = " \t\r\x0b\x0c"
 
 
@@ -24,24 +31,43 @@ def line_key(line: Column) -> Column:
     return F.when(bare != "", F.xxhash64(bare))
 
 
-def boilerplate(docs: DataFrame, host_col: str, text_col: str, max_ratio: float, min_pages: int) -> DataFrame:
-    """(host, lines): per host the hashes of lines on more than `max_ratio` of its pages.
+def paragraph_ends(text: Column) -> Column:
+    """Distinct hashes of the first and of the last five words of every line of ten words or more."""
+    def ends(line: Column) -> Column:
+        some = F.array(*[F.xxhash64(F.slice(words(line), at, END_WORDS)) for at in (1, -END_WORDS)])
+        return F.when(F.size(words(line)) >= 2 * END_WORDS, some).otherwise(F.array().cast("array<bigint>"))
+
+    return F.array_distinct(F.flatten(F.transform(F.split(text, "\n"), ends)))
 
-    A host has at most (mean distinct lines per page) / max_ratio such lines, so the array is bounded.
-    Copies of a page, lines and hosts are combined before each shuffle.
+
+def frequent(pages: DataFrame, keys: Column, max_ratio: float, min_pages: int, name: str) -> DataFrame:
+    """(host, `name`): per host the keys on more than `max_ratio` of the distinct `pages` (host, page, text), and on `min_pages`.
+
+    A host has at most (mean distinct keys per page) / max_ratio such keys, so the array is bounded.
+    Copies of a page, keys and hosts are combined before each shuffle.
     """
-    pages = docs.select(docs[host_col].cast("string").alias("host"), whole(docs[text_col]).alias("text")).select(
-        "host", F.xxhash64("text").alias("page"), "text")
-    lines = pages.select("host", "page", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), line_key))).alias("line"))
-    counts = (lines.filter("line IS NOT NULL").distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
+    each = pages.select("host", "page", F.explode(F.array_distinct(keys)).alias("key"))
+    counts = (each.filter("key IS NOT NULL").distinct().groupBy("host", "key").agg(F.count("*").alias("n"))
               .filter(F.col("n") >= min_pages))
     totals = pages.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("total"))
-    frequent = counts.join(totals.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of"))).filter(
+    found = counts.join(totals.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of"))).filter(
         F.col("n") > F.col("total") * max_ratio)
-    return frequent.groupBy("host").agg(F.array_sort(F.collect_set("line")).alias("lines"))
+    return found.groupBy("host").agg(F.array_sort(F.collect_set("key")).alias(name))
+
+
+def boilerplate(docs: DataFrame, host_col: str, text_col: str, max_ratio: float, min_pages: int) -> DataFrame:
+    """(host, lines): per host the hashes of lines on more than `max_ratio` of its pages that aren't near copies."""
+    pages = docs.select(docs[host_col].cast("string").alias("host"), whole(docs[text_col]).alias("text")).select(
+        "host", F.xxhash64("text").alias("page"), "text")
+    ends = stored(frequent(pages, paragraph_ends(F.col("text")), max_ratio / 2, min_pages, "ends"), "ends")
+    ends = ends.select(F.col("host").alias("e_host"), "ends")
+    mostly = lambda keys: 2 * F.size(F.array_intersect(keys, F.col("ends"))) > F.size(keys)
+    copy = F.col("ends").isNotNull() & let(paragraph_ends(F.col("text")), mostly)
+    own = pages.join(ends, F.col("host").eqNullSafe(F.col("e_host")), "left").filter(~copy).select("host", "page", "text")
+    return frequent(own, F.transform(F.split("text", "\n"), line_key), max_ratio, min_pages, "lines")
 
 
-def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_ratio: float = 0.1,
+def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_ratio: float = 0.01,
                      min_pages: int = 5) -> DataFrame:
     """`docs` with boilerplate lines taken out of `text_col`.
 
@@ -73,9 +99,16 @@ ORACLE = r"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
 l AS (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM t),
 k AS (SELECT l.r, i, line, source, text, trim(line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS bare FROM l JOIN t ON t.r = l.r),
-c AS (SELECT source, bare, count(DISTINCT text) AS n FROM k WHERE bare <> '' GROUP BY source, bare),
-p AS (SELECT source, count(DISTINCT text) AS total FROM t GROUP BY source),
-b AS (SELECT c.source, bare FROM c JOIN p ON c.source IS NOT DISTINCT FROM p.source WHERE n >= 5 AND n > total * CAST(0.1 AS DOUBLE)),
+n AS (SELECT source, count(DISTINCT text) AS total FROM t GROUP BY source),
+g AS (SELECT r, source, text, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws FROM k),
+e AS (SELECT DISTINCT r, source, text, unnest([array_to_string(ws[1:5], ' '), array_to_string(ws[len(ws) - 4:len(ws)], ' ')]) AS ending FROM g WHERE len(ws) >= 10),
+f AS (SELECT e.source, ending FROM e JOIN n ON e.source IS NOT DISTINCT FROM n.source
+      GROUP BY e.source, ending, total HAVING count(DISTINCT text) >= 5 AND count(DISTINCT text) > total * (CAST(0.01 AS DOUBLE) / 2)),
+copies AS (SELECT e.r FROM e LEFT JOIN f ON e.source IS NOT DISTINCT FROM f.source AND e.ending = f.ending
+           GROUP BY e.r HAVING 2 * count(f.ending) > count(*)),
+c AS (SELECT source, bare, count(DISTINCT text) AS n FROM k WHERE bare <> '' AND r NOT IN (SELECT r FROM copies) GROUP BY source, bare),
+p AS (SELECT source, count(DISTINCT text) AS total FROM t WHERE r NOT IN (SELECT r FROM copies) GROUP BY source),
+b AS (SELECT c.source, bare FROM c JOIN p ON c.source IS NOT DISTINCT FROM p.source WHERE n >= 5 AND n > total * CAST(0.01 AS DOUBLE)),
 kept AS (SELECT k.r, i, line FROM k WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.source IS NOT DISTINCT FROM k.source AND b.bare = k.bare)),
 j AS (SELECT r, string_agg(line, chr(10) ORDER BY i) AS text FROM kept GROUP BY r)
 SELECT doc_id, CAST(len(string_split(t.text, chr(10))) AS BIGINT) AS n_lines,

@@ -130,6 +130,21 @@ def test_boilerplate_lines_go(spark):
     assert got[41] is None and got[42] == "shared" and got[43] == ""
 
 
+def test_near_copies_are_not_boilerplate(spark):
+    words = [f"w{i}" for i in range(120)]
+
+    def copy(k):
+        """Four lines of 30 words, one word of 120 changed."""
+        changed = [*words[:k % 120], f"c{k}", *words[k % 120 + 1:]]
+        return "\n".join(" ".join(changed[i:i + 30]) for i in range(0, 120, 30))
+
+    article = [(i, copy(i), "a") for i in range(100)]
+    own = [(1000 + i, "Home\n" + " ".join(f"p{i}x{j}" for j in range(20)) + "\nAll rights reserved by the owners of this site since long ago", "a") for i in range(200)]
+    got = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(spark.createDataFrame(article + own, "doc_id int, text string, source string")).collect()}
+    assert all(got[i] == text for i, text, _ in article)                      # a third of the host's pages
+    assert all(got[i] == text.split("\n")[1] for i, text, _ in own)
+
+
 def test_mixture_meets_its_weights(spark):
     data = [(i, "w " * 10, "big") for i in range(3000)] + [(i, "w " * 10, "small") for i in range(3000, 3100)] + [(-1, None, None)]
     docs = spark.createDataFrame(data, "doc_id int, text string, source string")
