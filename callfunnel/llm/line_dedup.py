@@ -19,65 +19,72 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callfunnel.llm.common import let, stored, whole, words
+from callfunnel.llm.common import drop_stored, stored, whole, words
 
 END_WORDS = 5
 AROUND = " \t\r\x0b\x0c"
 
 
-def line_key(line: Column) -> Column:
-    """Hash of the trimmed line; null for a line without a word."""
-    bare = F.btrim(line, F.lit(AROUND))
-    return F.when(bare != "", F.xxhash64(bare))
+def bare(line: Column) -> Column:
+    return F.btrim(line, F.lit(AROUND))
+
+
+def line_keys(text: Column) -> Column:
+    """Distinct hashes of the trimmed lines that hold a word."""
+    held = F.filter(F.transform(F.split(text, "\n"), bare), lambda line: line != "")
+    return F.array_distinct(F.transform(held, lambda line: F.xxhash64(line)))
 
 
 def paragraph_ends(text: Column) -> Column:
     """Distinct hashes of the first and of the last five words of every line of ten words or more."""
-    def ends(line: Column) -> Column:
-        some = F.array(*[F.xxhash64(F.slice(words(line), at, END_WORDS)) for at in (1, -END_WORDS)])
-        return F.when(F.size(words(line)) >= 2 * END_WORDS, some).otherwise(F.array().cast("array<bigint>"))
-
-    return F.array_distinct(F.flatten(F.transform(F.split(text, "\n"), ends)))
+    long = F.filter(F.transform(F.split(text, "\n"), words), lambda ws: F.size(ws) >= 2 * END_WORDS)
+    ends = F.transform(long, lambda ws: F.array(*[F.xxhash64(F.slice(ws, at, END_WORDS)) for at in (1, -END_WORDS)]))
+    return F.array_distinct(F.flatten(ends))
 
 
-def frequent(pages: DataFrame, keys: Column, max_ratio: float, min_pages: int, name: str) -> DataFrame:
-    """(host, `name`): per host the keys on more than `max_ratio` of the distinct `pages` (host, page, text), and on `min_pages`.
+def frequent(pages: DataFrame, keys: str, max_ratio: float, min_pages: int, name: str) -> DataFrame:
+    """(host, `name`): per host the keys on more than `max_ratio` of the `pages` (host, `keys`), and on `min_pages`.
 
     A host has at most (mean distinct keys per page) / max_ratio such keys, so the array is bounded.
-    Copies of a page, keys and hosts are combined before each shuffle.
+    Keys and hosts are combined before each shuffle.
     """
-    each = pages.select("host", "page", F.explode(F.array_distinct(keys)).alias("key"))
-    counts = (each.filter("key IS NOT NULL").distinct().groupBy("host", "key").agg(F.count("*").alias("n"))
+    counts = (pages.select("host", F.explode(keys).alias("key")).groupBy("host", "key").agg(F.count("*").alias("n"))
               .filter(F.col("n") >= min_pages))
-    totals = pages.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("total"))
-    found = counts.join(totals.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of"))).filter(
-        F.col("n") > F.col("total") * max_ratio)
+    totals = pages.groupBy(F.col("host").alias("of")).agg(F.count("*").alias("total"))
+    found = counts.join(totals, F.col("host").eqNullSafe(F.col("of"))).filter(F.col("n") > F.col("total") * max_ratio)
     return found.groupBy("host").agg(F.array_sort(F.collect_set("key")).alias(name))
 
 
+def distinct_pages(docs: DataFrame, host_col: str, text_col: str) -> DataFrame:
+    """(host, ends, keys), one row per distinct text of a host; texts are read once and only hashes leave the task."""
+    text = docs.select(docs[host_col].cast("string").alias("host"), whole(docs[text_col]).alias("text"))
+    hashes = text.select("host", F.xxhash64("text").alias("page"), paragraph_ends(F.col("text")).alias("ends"),
+                         line_keys(F.col("text")).alias("keys"))
+    return hashes.dropDuplicates(["host", "page"]).select("host", "ends", "keys")
+
+
 def boilerplate(docs: DataFrame, host_col: str, text_col: str, max_ratio: float, min_pages: int) -> DataFrame:
     """(host, lines): per host the hashes of lines on more than `max_ratio` of its pages that aren't near copies."""
-    pages = docs.select(docs[host_col].cast("string").alias("host"), whole(docs[text_col]).alias("text")).select(
-        "host", F.xxhash64("text").alias("page"), "text")
-    ends = stored(frequent(pages, paragraph_ends(F.col("text")), max_ratio / 2, min_pages, "ends"), "ends")
-    ends = ends.select(F.col("host").alias("e_host"), "ends")
-    mostly = lambda keys: 2 * F.size(F.array_intersect(keys, F.col("ends"))) > F.size(keys)
-    copy = F.col("ends").isNotNull() & let(paragraph_ends(F.col("text")), mostly)
-    own = pages.join(ends, F.col("host").eqNullSafe(F.col("e_host")), "left").filter(~copy).select("host", "page", "text")
-    return frequent(own, F.transform(F.split("text", "\n"), line_key), max_ratio, min_pages, "lines")
+    pages = stored(distinct_pages(docs, host_col, text_col), "pages")
+    common = stored(frequent(pages, "ends", max_ratio / 2, min_pages, "common"), "ends")
+    of = common.select(F.col("host").alias("of"), "common")
+    copy = F.col("common").isNotNull() & (2 * F.size(F.array_intersect("ends", "common")) > F.size("ends"))
+    own = pages.join(of, F.col("host").eqNullSafe(F.col("of")), "left").filter(~copy).select("host", "keys")
+    known = stored(frequent(own, "keys", max_ratio, min_pages, "lines"), "boilerplate")
+    drop_stored(docs.sparkSession, pages, common)
+    return known
 
 
 def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_ratio: float = 0.01,
                      min_pages: int = 5) -> DataFrame:
     """`docs` with boilerplate lines taken out of `text_col`.
 
-    The table of lines is written first, so that the planner knows its size: a small one is
-    broadcast, a large one is joined by host, where AQE splits a hot host.
+    The table of lines is a written one, so the planner knows its size: a small one is broadcast,
+    a large one is joined by host, where AQE splits a hot host.
     """
-    known = stored(boilerplate(docs, host_col, text_col, max_ratio, min_pages), "boilerplate")
-    known = known.select(F.col("host").alias("_host"), F.col("lines").alias("_lines"))
-    kept = F.array_join(F.filter(F.split(docs[text_col], "\n"), lambda line: ~F.coalesce(
-        F.array_contains(known["_lines"], line_key(line)), F.lit(False))), "\n")
+    known = boilerplate(docs, host_col, text_col, max_ratio, min_pages).select(F.col("host").alias("_host"), F.col("lines").alias("_lines"))
+    kept = F.array_join(F.filter(F.split(docs[text_col], "\n"), lambda line: ~F.array_contains(
+        known["_lines"], F.xxhash64(bare(line)))), "\n")
     names = [f"`{c}`" for c in docs.columns]
     out = docs.join(known, docs[host_col].cast("string").eqNullSafe(known["_host"]), "left")
     return out.select(*[F.when(known["_lines"].isNull(), docs[text_col]).otherwise(kept).alias(text_col)
