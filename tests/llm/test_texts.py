@@ -60,6 +60,17 @@ def test_quality_verdicts(spark):
     assert got[2][0] and got[3][0] and not got[4][0]
 
 
+def test_rules_take_files_that_are_not_parquet(spark, tmp_path):
+    docs = table(spark).select("doc_id", "text", "_host")
+    path = str(tmp_path / "rows")
+    docs.repartition(8).write.json(path)
+    read = spark.read.schema("doc_id long, text string, _host string").json(path)
+    count = lambda d: sorted(map(str, quality_rules.apply_rules(d).collect()))
+    assert count(read) == count(docs)
+    other = docs.withColumnRenamed("text", "body")
+    assert quality_rules.apply_rules(other, text_col="body").count() == quality_rules.apply_rules(docs).count()
+
+
 def test_cascade_order_does_not_change_the_verdict(spark, docs):
     rules = quality_rules.base_rules() + quality_rules.method_rules()
     text = quality_rules.whole(docs["text"])
