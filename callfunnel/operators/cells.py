@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from callfunnel.operators.status import GRAIN, TABS, outcome_kind
 
 TAB_ORDER = {t: i for i, t in enumerate(TABS)}
+COUNTS = ("calls", "elig", "rx", "cv", "nc", "nr", "ne")
+FILTERS = ("provider_name", "ctype", "diag")
 
 
 def grain_cells(tabs: DataFrame) -> DataFrame:
@@ -64,7 +66,7 @@ def _ratio(num: Column, den: Column) -> Column:
 
 def weekly_metrics(cells: DataFrame, by=("wk", "tab")) -> DataFrame:
     """Week-on-week metrics per tab: calls, eligible, prescribed, converted, gaps, ratios."""
-    g = cells.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("calls", "elig", "rx", "cv", "nc", "nr", "ne")])
+    g = cells.groupBy(*by).agg(*[F.sum(c).alias(c) for c in COUNTS])
     return g.select(
         *by, "calls", "elig", F.col("rx").alias("prescribed"), F.col("cv").alias("converted"),
         F.col("nc").alias("not_converted"), F.col("nr").alias("not_prescribed"), F.col("ne").alias("not_eligible"),
@@ -85,6 +87,28 @@ def weekly_filtered(cells: DataFrame, providers=None, ctypes=None, diags=None) -
     return weekly_metrics(c)
 
 
+def filter_cube(cells: DataFrame, by=("wk", "tab")) -> DataFrame:
+    """level, `by`, the filters and the counts, for each of the eight sets of filters that a reader may leave open.
+
+    `level` has a bit per filter (4 provider, 2 call type, 1 diagnosis) that is set where the filter is open,
+    so an open filter's NULL isn't taken for a missing name. Cells are combined per task before the one shuffle.
+    """
+    sets = [[*by, *[f for i, f in enumerate(FILTERS) if not level >> (len(FILTERS) - 1 - i) & 1]] for level in range(1 << len(FILTERS))]
+    g = cells.groupingSets(sets, *by, *FILTERS)
+    return g.agg(F.grouping_id().alias("level"), *[F.sum(c).alias(c) for c in COUNTS])
+
+
+def weekly_from_cube(cube: DataFrame, providers=None, ctypes=None, diags=None) -> DataFrame:
+    """`weekly_filtered` read from the cube: the rows of one level, restricted to the chosen values."""
+    chosen = dict(zip(FILTERS, (providers, ctypes, diags)))
+    level = sum(1 << (len(FILTERS) - 1 - i) for i, f in enumerate(FILTERS) if not chosen[f])
+    c = cube.filter(F.col("level") == level)
+    for f, values in chosen.items():
+        if values:
+            c = c.filter(F.col(f).isin(*values))
+    return weekly_metrics(c)
+
+
 def reason_breakdown(reasons: DataFrame) -> DataFrame:
     """Reason totals for both gaps (and not-eligible) per tab."""
     return reasons.groupBy("tab", "kind", "reason").agg(F.sum("n").alias("n"))

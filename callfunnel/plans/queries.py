@@ -302,6 +302,10 @@ def weekly_filtered(c: Ctx) -> DataFrame:
     return CE.weekly_filtered(c.cells, **WEEKLY_FILTER)
 
 
+def filter_cube(c: Ctx) -> DataFrame:
+    return CE.filter_cube(c.cells)
+
+
 def reason_breakdown(c: Ctx) -> DataFrame:
     return CE.reason_breakdown(c.reasons)
 
@@ -396,7 +400,7 @@ _FUNCS = [
     call_base, call_type, join_call_dims, join_presence_flags, call_rollup, join_latest_diag,
     eligibility, status_long, *[_tab(t) for t in S.TABS], funnel_grain, funnel_cells, funnel_reason_counts,
     grain_cells, grain_reason_counts, cell_envelope, reconcile_totals, weekly_metrics, weekly_filtered,
-    reason_breakdown, dim_weeks, dim_providers, dim_ctype, dim_diag, reason_dictionary, reasons_ranked,
+    filter_cube, reason_breakdown, dim_weeks, dim_providers, dim_ctype, dim_diag, reason_dictionary, reasons_ranked,
     publish_rows, publish_er, publish_doc, run_stamp, protect_roundtrip, unique_keys_audit,
 ]
 

@@ -471,6 +471,9 @@ ON_ADAPTERS = {
         + ", ".join(f"(SELECT count(*) FROM settled WHERE tab = '{t}') AS {t}" for t in TABS) + ") q) r",
     "weekly_metrics": _weekly(),
     "weekly_filtered": _weekly("WHERE ctype IN ('Online SC', 'Offline SC') AND diag IN ('Others', 'STI', 'MH')"),
+    "filter_cube": f"""SELECT GROUPING(provider_name, ctype, diag) AS level, wk, tab, provider_name, ctype, diag, {
+        ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("calls", "elig", "rx", "cv", "nc", "nr", "ne"))} FROM cells
+        GROUP BY wk, tab, CUBE (provider_name, ctype, diag)""",
     "reason_breakdown": "SELECT tab, kind, reason, count(*) AS n FROM settled WHERE kind <> 'cv' GROUP BY ALL",
     "dim_weeks": "SELECT wk, ix AS wk_ix FROM week_ix",
     "dim_providers": "SELECT provider_name, ix AS provider_ix FROM provider_pos",

@@ -222,3 +222,16 @@ def test_diagnosis_text_and_label_agree_with_the_flags(spark):
     flags = {r.encounter_id: r.diag_cat for r in R.diagnosis_per_encounter(t.encounters, t.form_answers).collect()}
     assert {k: v[0] for k, v in got.items()} == {0: "alpha,zeta", 1: None, 2: None, 3: None}
     assert {k: v[1] for k, v in got.items()} == flags
+
+
+def test_a_filter_is_a_lookup_in_the_cube(spark):
+    rows = [(f"2025-01-0{6 + i % 2}", p, c, d, t, *[i + k for k in range(7)])
+            for i, (p, c, d, t) in enumerate((p, c, d, t) for p in ("A", "B", None) for c in ("x", "y") for d in ("STI", None) for t in ("meds", "tests"))]
+    cells = spark.createDataFrame(rows, "wk string, provider_name string, ctype string, diag string, tab string, " + ", ".join(f"{c} long" for c in CE.COUNTS))
+    cube = CE.filter_cube(cells)
+    for chosen in ({}, {"providers": ["A"]}, {"providers": ["A", "B"], "diags": ["STI"]}, {"ctypes": ["x"]},
+                   {"providers": ["B"], "ctypes": ["y", "x"], "diags": ["STI"]}, {"providers": ["nobody"]}):
+        want = sorted(map(str, CE.weekly_filtered(cells, **chosen).collect()))
+        assert sorted(map(str, CE.weekly_from_cube(cube, **chosen).collect())) == want
+    # a missing name is a value of its own, not an open filter
+    assert cube.filter("level = 3 AND provider_name IS NULL").count() == cells.filter("provider_name IS NULL").select("wk", "tab").distinct().count()
