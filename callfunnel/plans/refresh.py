@@ -69,7 +69,7 @@ class RefreshOutputs:
 
     def release(self) -> None:
         """Delete the intermediate tables, once the outputs are published or no longer needed."""
-        discard(*self.stores, self.encoded.stored)
+        discard(*self.stores, *self.encoded.stored)
 
 
 def refresh(spark: SparkSession, t: Tables, cfg: FunnelConfig, previous: RL.Release | None = None) -> RefreshOutputs:

@@ -104,6 +104,27 @@ def test_cells_without_a_provider_name_are_published(spark, updated):
     assert _document(f"{d}/doc.js")["providers"] == [None, "Dr A"]
 
 
+def _above_facts(df) -> str:
+    """The optimized plan's steps that get a row for each fact of a cell."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan[:plan.index("Generate explode")]
+
+
+def test_er_facts_get_their_names_by_cell(out):
+    assert _above_facts(P.decode_er(out.encoded)).count("Join ") == 1  # the reasons; weeks and providers are below
+
+
+def test_cells_are_dealt_out_by_their_key_once(spark, out):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        enc = P.encode_outputs(out.cells, out.reasons, out.funnel)
+        for df, most in ((enc.rows, 1), (enc.er, 2)):  # er: its reasons are counted by cell and label first
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning(") == most, plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_drift_stops_publishing(spark, out, updated):
     d = tempfile.mkdtemp(prefix="callfunnel-doc-")
     bad = replace(out, totals=CE.reconcile_totals(out.tabs.filter("tab <> 'meds' OR elig = 1")))
