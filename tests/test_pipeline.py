@@ -114,6 +114,10 @@ def test_er_facts_get_their_names_by_cell(out):
     assert _above_facts(P.decode_er(out.encoded)).count("Join ") == 1  # the reasons; weeks and providers are below
 
 
+def test_row_facts_get_their_names_by_cell(out):
+    assert _above_facts(P.decode_rows(out.encoded)).count("Join ") == 1
+
+
 def test_cells_are_dealt_out_by_their_key_once(spark, out):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
