@@ -129,6 +129,24 @@ def test_cells_are_dealt_out_by_their_key_once(spark, out):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_document_does_not_deal_out_rows_to_find_the_first(spark, out, updated):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        names = "wk string, provider_name string, ctype string, diag string, wk_ix long, provider_ix long, ctype_ix long, diag_ix long, "
+        rows, er = (spark.range(9).selectExpr(*[f"CAST(id AS {c.split()[1]}) AS {c.split()[0]}" for c in f"{names}{j} string".split(", ")]) for j in ("row_json", "er_json"))
+        plan = P.document_lines(replace(out.encoded, rows=rows, er=er), updated)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastNestedLoopJoin" in plan or "BroadcastHashJoin" in plan
+        assert "SortMergeJoin" not in plan and "hashpartitioning(wk_ix" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_published_document_query_reads_written_rows(spark):
+    plan = Q.QUERIES["publish_doc"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_json" in plan and "collect_list" not in plan  # the rows' reasons aren't gathered once more for the document
+
+
 def test_drift_stops_publishing(spark, out, updated):
     d = tempfile.mkdtemp(prefix="callfunnel-doc-")
     bad = replace(out, totals=CE.reconcile_totals(out.tabs.filter("tab <> 'meds' OR elig = 1")))
