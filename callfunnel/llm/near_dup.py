@@ -50,6 +50,7 @@ MISSED = 3e-6  # share of links at similarity 0.8 that no tree may show
 BITS = 256  # of the sketch: one of each of as many MinHash values
 BITS_APART = 60  # at similarity 0.8 the mean is 25.6, the deviation 4.8
 BLOCK = 256  # classes of a block in the second search
+KEY_BITS = 24  # log2 of the most bits of a key filter, 4 MB as a table
 KNOWN_WORDS = 300_000  # memory bound of the word-hash memo; it is emptied when full
 
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -223,11 +224,30 @@ class _Overlaps:
         return 100 * both >= percent * (len(mine) + self.size - both)
 
 
+def key_filter(keys: DataFrame, *cols: str):
+    """A function (df, columns) -> (rows that may have one of the keys, rows that surely have none).
+
+    Keys are hashed to about eight bits each, 64 bits to a row of a table of at most 2^18 rows, so that rows
+    which can't join are told without a shuffle, however many keys there are. An exact join has to follow.
+    """
+    bits = min(KEY_BITS, max(10, (8 * keys.count()).bit_length()))
+    at = lambda names: F.pmod(F.xxhash64(*names), F.lit(1 << bits))
+    words = stored(keys.select(at(cols).alias("_at")).groupBy(F.shiftright("_at", 6).alias("_word"))
+                   .agg(F.expr("bit_or(shiftleft(1L, CAST(_at & 63 AS INT)))").alias("_bits")), "filter")
+
+    def split(df: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
+        marked = df.withColumn("_at", at(names)).join(F.broadcast(words), F.shiftright("_at", 6) == F.col("_word"), "left")
+        may = F.expr("coalesce(shiftright(_bits, CAST(_at & 63 AS INT)) & 1, 0) = 1")
+        return marked.filter(may).select(*df.columns), marked.filter(~may).select(*df.columns)
+
+    return split
+
+
 def whole_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """(node, members): the sets of the nodes, as 64-bit hashes, made again from one text of each class."""
     wanted = stored(classes.select("node", "rep").join(nodes.select("node").distinct(), "node", "left_semi"), "wanted")
-    texts = docs.select(docs[id_col].alias("rep"), docs[text_col].alias("text")).join(
-        wanted.select("rep").distinct(), "rep", "left_semi")
+    texts, _ = key_filter(wanted, "rep")(docs.select(docs[id_col].alias("rep"), docs[text_col].alias("text")), "rep")
+    texts = texts.join(wanted.select("rep").distinct(), "rep", "left_semi")
 
     def sets(batches):
         known = _Hashes()
@@ -264,7 +284,7 @@ def region_links(classes: DataFrame, components: DataFrame, trees: int, depth: i
         F.explode(heads).alias("region"), "node", F.coalesce("component", "node").alias("component"))
     mixed = stored(rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                    .filter("lo <> hi").select("region"), "mixed")
-    members = stored(rows.join(mixed, "region", "left_semi"), "members")
+    members = stored(key_filter(mixed, "region")(rows, "region")[0].join(mixed, "region", "left_semi"), "members")
     main = (members.groupBy("region", "component").agg(F.count("*").alias("size"))
             .groupBy("region").agg(F.max_by("component", F.struct("size", "component")).alias("main")))
     minors = stored(members.join(main, "region").filter("component <> main"), "minors")
@@ -400,13 +420,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
 
     Verdicts are by id and text, so rows that share an id stand or go each by its text. Of rows that
     repeat the same id and text one stays, rows without an id all stay. Keys that go are written
-    first, so the planner knows their size: few are broadcast, many are joined by key.
+    first, so the planner knows their size: few are broadcast, many are joined by key, with those
+    texts alone that a filter of the keys lets through.
     """
     name = F.xxhash64(docs[text_col])
     keyed = docs.select(F.when(docs[id_col].isNotNull(), F.struct(docs[id_col].alias("id"), name.alias("name"))).alias("key"), docs[text_col].alias("text"))
     verdicts = near_duplicates(keyed, "key", "text", shingle, percent)
     gone = stored(verdicts.filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id.id").alias("_gone"), F.col("doc_id.name").alias("_name")).distinct(), "gone")
-    left = docs.join(gone, (docs[id_col] == gone["_gone"]) & (name == gone["_name"]), "left_anti")
+    may, stay = key_filter(gone, "_gone", "_name")(docs.withColumn("_text_name", name), id_col, "_text_name")
+    may = may.join(gone, (may[id_col] == gone["_gone"]) & (may["_text_name"] == gone["_name"]), "left_anti")
+    left = stay.unionByName(may).drop("_text_name")
     named = left.filter(left[id_col].isNotNull())
     twice = stored(named.groupBy(named[id_col].alias("_id")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_id"), "twice")
     once = left.join(twice, left[id_col] == twice["_id"], "left_anti")

@@ -66,3 +66,19 @@ def test_mixture_and_tokens(spark, steps):
 
 def test_run_equals_its_stages(spark, steps):
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, steps[5].collect()))
+
+
+def test_texts_that_cannot_go_are_not_dealt_out(spark):
+    from callfunnel.llm import near_dup
+    keys = spark.range(0, 4000, 40).selectExpr("id AS k")
+    rows = spark.range(4000).selectExpr("nullif(id, 3999) AS id", "repeat(chr(97 + CAST(id % 26 AS INT)), 5) AS text")
+    may, stay = near_dup.key_filter(keys, "k")(rows, "id")
+    assert may.columns == stay.columns == rows.columns
+    assert may.count() + stay.count() == 4000
+    assert may.join(keys, may.id == keys.k, "left_semi").count() == 100  # every key is let through
+    assert may.count() < 1000  # and few others are
+    words = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, f"{words} {i % 3}" if i < 9 else f"other words of text number {i} only") for i in range(30)] + [(None, words)], "doc_id long, text string")
+    kept = near_dup.keep_one(docs)
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [0, *range(9, 30)]
+    assert "_bits" in kept._jdf.queryExecution().optimizedPlan().toString()
