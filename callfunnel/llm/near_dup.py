@@ -36,13 +36,12 @@ import hashlib
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callfunnel.llm.common import drop_stored, stored
+from callfunnel.llm.common import TEXT_ROWS, drop_stored, stored
 
 SORTED_TREES = 6
 TAIL = 6  # further values that order a region in the sorted trees
@@ -51,7 +50,7 @@ BITS = 256  # of the sketch: one of each of as many MinHash values
 BITS_APART = 60  # at similarity 0.8 the mean is 25.6, the deviation 4.8
 BLOCK = 256  # classes of a block in the second search
 KEY_BITS = 24  # log2 of the most bits of a key filter, 4 MB as a table
-KNOWN_WORDS = 300_000  # memory bound of the word-hash memo; it is emptied when full
+KNOWN_WORDS = 60_000  # memory bound of the word-hash memo; it is emptied when full
 
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 SKETCH = ("b1", "b2", "b3", "b4")
@@ -259,7 +258,7 @@ def whole_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: st
     kind = docs.schema[id_col].dataType.simpleString()
     found = (texts.mapInArrow(sets, f"rep {kind}, node long, members binary").join(wanted, ["rep", "node"], "left_semi")
              .dropDuplicates(["node"]))
-    out = stored(found.select("node", "members"), "sets")
+    out = stored(found.select("node", "members"), "sets", TEXT_ROWS)
     drop_stored(docs.sparkSession, wanted)
     return out
 
@@ -320,36 +319,39 @@ def region_links(classes: DataFrame, components: DataFrame, trees: int, depth: i
     other = sets.select(*[F.col(c).alias(c) for c in sets.columns])  # columns of their own for the other side
     right = tag(right, 0).unionByName(tag(lower, 1)).withColumn("bucket", bucket).join(other, "node")
 
-    def parts(rows: pd.DataFrame) -> dict:
+    def parts(rows: pa.Table) -> dict:
         out: dict[tuple, list[int]] = {}
-        for at, key in enumerate(zip(rows["kind"], rows["group"], rows["i"], rows["j"])):
+        for at, key in enumerate(zip(*(rows[c].to_pylist() for c in ("kind", "group", "i", "j")))):
             out.setdefault(key, []).append(at)
         return out
 
-    def search(_, asking: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+    def columns(rows: pa.Table, at: list[int]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        members = rows["members"]
+        return rows["node"].to_numpy()[at], rows["own"].to_numpy()[at], [np.frombuffer(members[k].as_buffer(), np.uint64) for k in at]
+
+    def search(_, asking: pa.Table, there: pa.Table) -> pa.Table:
         a, b = [], []
-        held_rows = parts(there)
-        for key, rows in parts(asking).items():
+        held_rows = parts(there) if there.num_rows else {}
+        for key, rows in (parts(asking) if held_rows and asking.num_rows else {}).items():
             if key not in held_rows:
                 continue
-            one, two = asking.iloc[rows], there.iloc[held_rows[key]]
-            node, own, same = two["node"].to_numpy(), two["own"].to_numpy(), {}
-            shared = _Overlaps([np.frombuffer(m, np.uint64) for m in two["members"]])
+            node, own, sets = columns(there, held_rows[key])
+            shared, same = _Overlaps(sets), {}
 
             def root(c, same=same):
                 while same.setdefault(c, c) != c:
                     c = same[c]
                 return c
 
-            for mine, mine_own, members in zip(one["node"], one["own"], one["members"]):
-                for k in np.flatnonzero(shared.linked(np.frombuffer(members, np.uint64), percent) & (own != mine_own)):
+            for mine, mine_own, members in zip(*columns(asking, rows)):
+                for k in np.flatnonzero(shared.linked(members, percent) & (own != mine_own)):
                     if root(mine_own) != root(own[k]):
                         same[root(mine_own)] = root(own[k])
                         a.append(mine)
                         b.append(node[k])
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    links = stored(left.groupBy("bucket").cogroup(right.groupBy("bucket")).applyInPandas(search, "a long, b long"), "links")
+    links = stored(left.groupBy("bucket").cogroup(right.groupBy("bucket")).applyInArrow(search, "a long, b long"), "links")
     drop_stored(classes.sparkSession, mixed, members, minors, asked, held, shape, sets)
     return links
 
@@ -387,7 +389,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id)."""
     spark = docs.sparkSession
     trees, depth = forest(docs.count())
-    rows = stored(features(docs, id_col, text_col, shingle, trees * depth), "features")
+    rows = stored(features(docs, id_col, text_col, shingle, trees * depth), "features", TEXT_ROWS)
     classes = stored(rows.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig"),
         *[F.any_value(b).alias(b) for b in SKETCH]), "classes")
@@ -432,6 +434,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     left = stay.unionByName(may).drop("_text_name")
     named = left.filter(left[id_col].isNotNull())
     twice = stored(named.groupBy(named[id_col].alias("_id")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_id"), "twice")
+    if twice.isEmpty():
+        return left  # the texts are read half as often
     once = left.join(twice, left[id_col] == twice["_id"], "left_anti")
     again = named.join(twice, named[id_col] == twice["_id"], "left_semi").dropDuplicates([id_col, text_col])
     return once.unionByName(again)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callfunnel.llm import bpe, line_dedup, mixing, near_dup, quality_rules
-from callfunnel.llm.common import drop_stored, stored, table
+from callfunnel.llm.common import TEXT_ROWS, drop_stored, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -39,7 +39,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per row: doc_id, its number of tokens, SHA-256 of its ids and of the text they decode to."""
-    return bpe.encode_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return stored(bpe.encode_digests(docs, public_tokenizers.path("word_bpe_49k.json")), "token-ids", TEXT_ROWS)
 
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("near duplicates", near_duplicates),

@@ -1,6 +1,7 @@
 """The pipeline's stages, each on what the one before it kept."""
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import public_tokenizers
@@ -82,3 +83,29 @@ def test_texts_that_cannot_go_are_not_dealt_out(spark):
     kept = near_dup.keep_one(docs)
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [0, *range(9, 30)]
     assert "_bits" in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_move_in_small_batches(spark):
+    from callfunnel.llm import common, near_dup
+
+    def sizes(batches):
+        for b in batches:
+            yield b.select(["n"]).slice(0, 0) if not b.num_rows else type(b).from_pydict({"n": [b.num_rows]})
+
+    before = {k: spark.conf.get(k) for k in common.BATCHES}
+    found = stored(spark.range(0, 3000, 1, 1).selectExpr("id AS n").mapInArrow(sizes, "n long"), "sizes", common.TEXT_ROWS)
+    got = [r.n for r in found.collect()]
+    assert sum(got) == 3000 and max(got) <= common.TEXT_ROWS
+    with pytest.raises(ValueError), common.small_batches(spark, 5):
+        assert {spark.conf.get(k) for k in common.BATCHES} == {"5"}
+        raise ValueError
+    assert {k: spark.conf.get(k) for k in common.BATCHES} == before
+
+    known = near_dup._Hashes()
+    tracemalloc.start()
+    try:
+        for at in range(0, 200_000, 1000):
+            near_dup.shingle_set(" ".join(f"word{i}" for i in range(at, at + 1000)), known)
+        assert tracemalloc.get_traced_memory()[0] < 16 << 20
+    finally:
+        tracemalloc.stop()
